@@ -1 +1,76 @@
-"""Queries."""
+"""Tables written to text, CSV or label files and read back."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from catalog import tables as T
+from catalog.health import KEYS
+from catalog.registry import r, register, rounded
+from fleetwane.operators.columns import distinct_truth
+from fleetwane.operators.labels import label_failures
+from fleetwane.session import scratch_dir
+from fleetwane.sources import readers, writers
+
+COLUMNS = ("unit", "time_in_cycles", "reading_id", "sensor_1", "sensor_2", "sensor_4")
+
+
+def _path(spark, name: str) -> str:
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@register(
+    "read_whitespace_text",
+    f"WITH {T.TELEMETRY} SELECT unit, time_in_cycles, CAST(reading_id AS DOUBLE) AS reading_id, "
+    f"{r('sensor_1', 'sensor_1')}, {r('sensor_2', 'sensor_2')}, {r('sensor_4', 'sensor_4')} FROM telemetry",
+)
+def _(spark, folder):
+    """Text with leading, double and trailing blanks; missing readings are written as NaN."""
+    path = _path(spark, "text")
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("NaN")) for c in COLUMNS]
+    T.telemetry(spark, folder).select(F.concat(F.lit(" "), F.concat_ws("  ", *fields), F.lit("  "))).write.text(path)
+    return rounded(readers.read_whitespace_text(spark, path, COLUMNS))
+
+
+@register(
+    "read_csv_table",
+    f"WITH {T.LABELED} SELECT unit, time_in_cycles, CAST(RUL AS DOUBLE) AS \"RUL\", failure_binary, "
+    f"{r('sensor_2', 'sensor_2')}, {r('sensor_4', 'sensor_4')} FROM labeled",
+)
+def _(spark, folder):
+    path = _path(spark, "labelled") + ".csv"
+    df = label_failures(T.telemetry(spark, folder))
+    writers.write_table(df.select("unit", "time_in_cycles", "RUL", "failure_binary", "sensor_2", "sensor_4"), path, format="csv")
+    return rounded(readers.read_csv_table(spark, path))
+
+
+@register("write_table", f"WITH {T.TELEMETRY} SELECT {KEYS}, {r('sensor_2', 'sensor_2')} FROM telemetry")
+def _(spark, folder):
+    path = _path(spark, "telemetry")
+    df = T.telemetry(spark, folder).select("unit", "time_in_cycles", "reading_id", "sensor_2")
+    writers.write_table(df, path, by_unit=8)
+    return rounded(readers.read_required(spark, path, ("unit", "time_in_cycles")))
+
+
+@register(
+    "read_first_existing",
+    f"WITH {T.LABELED} SELECT DISTINCT unit, RUL FROM labeled",
+)
+def _(spark, folder):
+    path = _path(spark, "truth")
+    writers.write_table(label_failures(T.telemetry(spark, folder)).select("unit", "RUL"), path)
+    found = readers.read_first_existing(spark, [path + "-missing", f"{folder}/events.parquet", path])
+    return distinct_truth(found)
+
+
+@register(
+    "read_positional_labels",
+    f"WITH {T.TRUTH} SELECT row_number() OVER (ORDER BY unit) AS unit, RUL FROM truth",
+)
+def _(spark, folder):
+    """One number per line; line i belongs to the i-th unit."""
+    path = _path(spark, "labels")
+    T.truth(spark, folder).orderBy("unit").select(F.col("RUL").cast("string")).write.text(path)
+    return readers.read_positional_labels(spark, path)

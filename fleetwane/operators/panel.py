@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from fleetwane.schema import TIME, UNIT
-from fleetwane.session import store
+from fleetwane.session import local_table, store
 
 # Rows of one unit that a single task may sort; larger units are cut into segments.
 HOT_ROWS = 2_000_000
@@ -99,7 +99,7 @@ def over_units(
         return _whole_units(df, ordered, per_unit, head, head_rows, unit, order)
 
     key_type = df.schema[unit].dataType.simpleString()
-    keys = df.sparkSession.createDataFrame([(key,) for key, _ in hot], f"`{unit}` {key_type}")
+    keys = local_table(df.sparkSession, [(key,) for key, _ in hot], f"`{unit}` {key_type}")
     keys = F.broadcast(keys)  # at most total rows / hot_rows of them
     regular = _whole_units(
         df.join(keys, unit, "left_anti"), ordered, per_unit, head, head_rows, unit, order

@@ -7,13 +7,19 @@ one task, which readings with billions of distinct values do not survive.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Cells per narrowing pass; two passes leave about 1/CELLS^2 of a column to sort.
+from fleetwane.session import local_table
+
+# Readings of one column that one task may sort; beyond that the range is narrowed first.
+SORTABLE = 1_000_000
+# Cells per narrowing pass, and the most passes: each leaves about 1/CELLS of the range.
 CELLS = 4096
+MAX_PASSES = 8
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -26,106 +32,101 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _cell(value, low, high, cells: int):
     """The equal-width cell of a value in [low, high]; the last cell is closed."""
-    share = F.try_divide(value - low, high - low)
-    return F.coalesce(F.least(F.floor(share * cells), F.lit(cells - 1)), F.lit(0)).cast("int")
+    share = (value - low) / (high - low)
+    return F.when(low < high, F.least(F.floor(share * cells), F.lit(cells - 1))).otherwise(0).cast("int")
 
 
-def _narrow(values: DataFrame, targets: DataFrame, group: str) -> DataFrame:
-    """One pass: find the cell of each target rank, and its rank within that cell.
+def _inside(values: DataFrame, cells: list[tuple]) -> DataFrame:
+    """The readings inside the given (column, cell, low, high) intervals; at most one per wanted rank."""
+    table = local_table(values.sparkSession, cells, "column string, cell int, low double, high double")
+    return values.join(F.broadcast(table), "column").filter(F.col("value").between(F.col("low"), F.col("high")))
 
-    values
-        (column, ``group``, low, high, value): the readings still in question.
-    targets
-        (column, ``group``, rank, place): wanted rank and its place among those readings.
-    """
-    counted = values.groupBy("column", group, _cell(F.col("value"), F.col("low"), F.col("high"), CELLS).alias("cell")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
-    )
-    # At most CELLS rows per group.
-    before = F.sum("n").over(Window.partitionBy("column", group).orderBy("cell")) - F.col("n")
-    placed = counted.withColumn("before", before)
-    return (
-        placed.join(targets, ["column", group])
-        .filter((F.col("place") >= F.col("before")) & (F.col("place") < F.col("before") + F.col("n")))
-        .select(
-            "column",
-            F.concat_ws("/", group, "cell").alias(group),
-            "low",
-            "high",
-            "rank",
-            (F.col("place") - F.col("before")).alias("place"),
-        )
-    )
 
-
-def _within(values: DataFrame, targets: DataFrame, group: str) -> DataFrame:
-    """The readings inside the target cells. There are at most as many cells as targets."""
-    cells = targets.select("column", group, "low", "high").distinct()
-    inside = F.col("v.value").between(F.col("c.low"), F.col("c.high")) & (F.col("v.column") == F.col("c.column"))
-    return values.select("column", "value").alias("v").join(F.broadcast(cells).alias("c"), inside).select(
-        "c.column", group, "low", "high", "value"
+def _placed(counted: DataFrame, targets: list[tuple], order: str) -> DataFrame:
+    """The counted group that holds each (column, cell, rank, place), with the place inside it."""
+    table = local_table(counted.sparkSession, targets, "column string, cell int, rank bigint, place bigint")
+    upto = F.sum("n").over(Window.partitionBy("column", "cell").orderBy(order))
+    before = F.col("upto") - F.col("n")
+    return (
+        counted.withColumn("upto", upto)
+        .join(F.broadcast(table), ["column", "cell"])
+        .filter((F.col("place") >= before) & (F.col("place") < F.col("upto")))
+        .withColumn("place", F.col("place") - before)
     )
 
 
-def order_statistics(values: DataFrame, ranks: DataFrame) -> DataFrame:
+def order_statistics(values: DataFrame, ranks: dict[str, tuple[int, float, float, set[int]]], *, sortable: int = SORTABLE) -> DataFrame:
     """(column, rank, value): exact order statistics, ranks counted from 0.
 
-    Two passes count readings in equal-width cells and follow the wanted ranks into
-    theirs; the few readings of the last cells are grouped by value and counted off.
-    Equal readings are counted, never sorted, so copies of one value cost nothing.
+    ``ranks`` holds (count, smallest, largest, wanted ranks) per column. While the
+    readings around a wanted rank are more than one task should sort, they are counted in
+    equal-width cells and the rank is followed into its cell; only those few cell bounds
+    come to the driver. What is left is grouped by value and counted off. Equal readings
+    are counted, never sorted, so copies of one value cost nothing.
     """
-    extremes = values.groupBy("column").agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    group = "path"
-    # One row per profiled column.
-    first = values.join(F.broadcast(extremes), "column").withColumn(group, F.lit("0"))
-    targets = ranks.select("column", F.lit("0").alias(group), "rank", F.col("rank").alias("place"))
-    targets = _narrow(first, targets, group)
-    targets = _narrow(_within(values, targets, group), targets, group)
-    last = _within(values, targets, group).groupBy("column", group, "value").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("column", group).orderBy("value"))
-    return (
-        last.withColumn("upto", upto)
-        .join(targets.select("column", group, "rank", "place"), ["column", group])
-        .filter((F.col("place") < F.col("upto")) & (F.col("place") >= F.col("upto") - F.col("n")))
-        .select("column", "rank", "value")
-    )
+    # rank -> (low, high, readings, place among them)
+    found = {
+        (column, rank): (low, high, n, rank)
+        for column, (n, low, high, wanted) in ranks.items()
+        for rank in wanted
+    }
+    for _ in range(MAX_PASSES):
+        wide = {t: f for t, f in found.items() if f[2] > sortable and f[0] < f[1]}
+        if not wide:
+            break
+        cells, targets = _cells(wide)
+        part = _cell(F.col("value"), F.col("low"), F.col("high"), CELLS)
+        counted = (
+            _inside(values, cells)
+            .groupBy("column", "cell", part.alias("part"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        )
+        for row in _placed(counted, targets, "part").collect():  # one row per wanted rank
+            found[row["column"], row["rank"]] = (row["low"], row["high"], row["n"], row["place"])
+    cells, targets = _cells(found)
+    counted = _inside(values, cells).groupBy("column", "cell", "value").agg(F.count(F.lit(1)).alias("n"))
+    return _placed(counted, targets, "value").select("column", "rank", "value")
 
 
-def percentiles(values: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+def _cells(found: dict) -> tuple[list[tuple], list[tuple]]:
+    """Distinct intervals with numbers, and the ranks wanted in each."""
+    numbers: dict[tuple, int] = {}
+    targets = []
+    for (column, rank), (low, high, _, place) in found.items():
+        number = numbers.setdefault((column, low, high), len(numbers))
+        targets.append((column, number, rank, place))
+    return [(column, number, low, high) for (column, low, high), number in numbers.items()], targets
+
+
+def percentiles(values: DataFrame, probabilities: Sequence[float], *, sortable: int = SORTABLE) -> DataFrame:
     """(column, probability, value) with linear interpolation between neighbours."""
-    position = (F.col("n") - 1) * F.col("probability")
-    wanted = (
-        values.groupBy("column")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("probability", F.explode(F.array(*(F.lit(float(p)) for p in probabilities))))
-        .select(
-            "column",
-            "probability",
-            F.floor(position).alias("lower"),
-            F.ceil(position).alias("upper"),
-            (position - F.floor(position)).alias("share"),
-        )
-    )
-    ranks = wanted.select("column", F.explode(F.array("lower", "upper")).alias("rank")).distinct()
-    found = order_statistics(values, ranks)
-    # Two ranks per column and probability.
-    ends = wanted.select(
-        "column", "probability", "share", F.explode(F.array("lower", "upper")).alias("rank")
-    ).distinct()
+    extremes = values.groupBy("column").agg(F.count(F.lit(1)), F.min("value"), F.max("value"))
+    ranks, wanted = {}, []
+    for column, n, low, high in extremes.collect():  # one row per profiled column
+        lower = [math.floor((n - 1) * p) for p in probabilities]
+        upper = [math.ceil((n - 1) * p) for p in probabilities]
+        ranks[column] = (n, low, high, {*lower, *upper})
+        wanted += [
+            (column, float(p), a, b, (n - 1) * p - a) for p, a, b in zip(probabilities, lower, upper)
+        ]
+    schema = "column string, probability double, lower bigint, upper bigint, share double"
+    table = local_table(values.sparkSession, wanted, schema)
+    ends = table.withColumn("rank", F.explode(F.array("lower", "upper")))
     low, high = F.min("value"), F.max("value")
     return (
-        ends.join(found, ["column", "rank"])
+        order_statistics(values, ranks, sortable=sortable)
+        .join(F.broadcast(ends), ["column", "rank"])
         .groupBy("column", "probability", "share")
-        .agg(low.alias("low"), high.alias("high"))
-        .select("column", "probability", (F.col("low") + (F.col("high") - F.col("low")) * F.col("share")).alias("value"))
+        .agg((low + (high - low) * F.col("share")).alias("value"))
+        .select("column", "probability", "value")
     )
 
 
-def quartiles(values: DataFrame) -> DataFrame:
+def quartiles(values: DataFrame, *, sortable: int = SORTABLE) -> DataFrame:
     """(column, q1, median, q3)."""
     at = lambda p: F.max(F.when(F.col("probability") == p, F.col("value")))
     return (
-        percentiles(values, (0.25, 0.5, 0.75))
+        percentiles(values, (0.25, 0.5, 0.75), sortable=sortable)
         .groupBy("column")
         .agg(at(0.25).alias("q1"), at(0.5).alias("median"), at(0.75).alias("q3"))
     )
@@ -164,20 +165,35 @@ def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def histogram(df: DataFrame, columns: Sequence[str], *, bins: int = 30) -> DataFrame:
-    """Counts in equal-width bins per column, empty bins included, last bin closed."""
+    """Counts in equal-width bins per column, empty bins included, last bin closed.
+
+    A value belongs to the bin whose edges enclose it; the computed position is corrected
+    where rounding put it next to an edge. A constant column gets the unit interval
+    around its value.
+    """
     values = long_values(df, columns)
-    extremes = values.groupBy("column").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    pad = F.when(F.min("value") == F.max("value"), 0.5).otherwise(0.0)
+    extremes = values.groupBy("column").agg(
+        (F.min("value") - pad).alias("low"), (F.max("value") + pad).alias("high")
+    )
+    value, low, high = F.col("value"), F.col("low"), F.col("high")
+
+    def edge(number):
+        return low + (high - low) / bins * number
+
+    near = _cell(value, low, high, bins)
+    exact = near - (value < edge(near)).cast("int") + ((value >= edge(near + 1)) & (near < bins - 1)).cast("int")
     counts = (
         values.join(F.broadcast(extremes), "column")  # one row per profiled column
-        .groupBy("column", _cell(F.col("value"), F.col("low"), F.col("high"), bins).alias("bin"))
+        .groupBy("column", exact.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    width = (F.col("high") - F.col("low")) / bins
+    number = F.col("bin")
     edges = extremes.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).select(
         "column",
         "bin",
-        (F.col("low") + width * F.col("bin")).alias("bin_start"),
-        (F.col("low") + width * (F.col("bin") + 1)).alias("bin_end"),
+        edge(number).alias("bin_start"),
+        F.when(number == bins - 1, high).otherwise(edge(number + 1)).alias("bin_end"),
     )
     return edges.join(counts, ["column", "bin"], "left").select(
         "column", "bin", "bin_start", "bin_end", F.coalesce("n", F.lit(0)).alias("n")

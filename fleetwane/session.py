@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -32,3 +36,11 @@ def store(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A small table made on the driver, known to the optimizer with its exact size."""
+    fields = to_arrow_schema(T.StructType.fromDDL(schema))
+    columns = list(zip(*rows)) if rows else [[] for _ in fields]
+    arrays = [pa.array(values, type=field.type) for values, field in zip(columns, fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=fields), schema)

@@ -85,7 +85,7 @@ def read_or_skip(spark: SparkSession, path: str, required: Iterable[str] = ()) -
         return None
 
 
-def read_firstexisting(spark: SparkSession, paths: Sequence[str], required: Iterable[str] = (UNIT, RUL)) -> DataFrame | None:
+def read_first_existing(spark: SparkSession, paths: Sequence[str], required: Iterable[str] = (UNIT, RUL)) -> DataFrame | None:
     """The first path that exists and has the required columns; None if there is none."""
     needed = tuple(required)
     for path in paths:

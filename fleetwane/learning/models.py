@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import time
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -134,10 +135,32 @@ def train_and_evaluate(
     family: str, params: Mapping, train: DataFrame, test: DataFrame, features: Sequence[str]
 ) -> TrainedRun:
     """Fit on ``train``, predict ``test``, compute the metrics."""
+    with model_inputs(train, test, features) as (prepared, held_out):
+        return fit_and_measure(family, params, prepared, held_out, features)
+
+
+@contextmanager
+def model_inputs(train: DataFrame, test: DataFrame, features: Sequence[str]):
+    """Both sides as model inputs, kept for the passes of training.
+
+    A fit reads its input many times (imputation, split candidates, trees); without this
+    each pass would compute the features again.
+    """
+    tables = [prepare_model_input(t, features, keep=[RUL]).persist() for t in (train, test)]
+    try:
+        yield tables
+    finally:
+        for table in tables:
+            table.unpersist()
+
+
+def fit_and_measure(
+    family: str, params: Mapping, train: DataFrame, test: DataFrame, features: Sequence[str]
+) -> TrainedRun:
+    """Train and measure on prepared model inputs."""
     started = time.time()
-    model = model_pipeline(family, params, features).fit(prepare_model_input(train, features, keep=[RUL]))
-    predicted = model.transform(prepare_model_input(test, features, keep=[RUL]))
-    metrics = regression_metrics(predicted).first().asDict()
+    model = model_pipeline(family, params, features).fit(train)
+    metrics = regression_metrics(model.transform(test)).first().asDict()
     return TrainedRun(family, dict(params), list(features), model, metrics, started=started)
 
 

@@ -10,8 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
-from fleetwane.learning.models import BOOSTED, FOREST, LEAFWISE, TrainedRun, prepare_model_input, train_and_evaluate
-from fleetwane.schema import RUL
+from fleetwane.learning.models import BOOSTED, FOREST, LEAFWISE, TrainedRun, fit_and_measure, model_inputs
 
 # The parameter grids of the three model families.
 GRIDS: dict[str, dict[str, list]] = {
@@ -65,14 +64,9 @@ def random_search(
     """
     trials = sample_params(GRIDS[family], n, seed=seed) if trials is None else list(trials)
     spark = train.sparkSession
-    tables = [prepare_model_input(t, features, keep=[RUL]).persist() for t in (train, test)]
-    try:
-        with ThreadPoolExecutor(parallel) as pool:
-            fit = inheritable_thread_target(lambda p: train_and_evaluate(family, p, *tables, features))
-            runs = list(pool.map(fit, trials))
-    finally:
-        for table in tables:
-            table.unpersist()
+    with model_inputs(train, test, features) as tables, ThreadPoolExecutor(parallel) as pool:
+        fit = inheritable_thread_target(lambda params: fit_and_measure(family, params, *tables, features))
+        runs = list(pool.map(fit, trials))
     rows = [
         (i, json.dumps(r.params, sort_keys=True), r.run_id, *(r.metrics[m] for m in ("MAE", "RMSE", "R2", "Max Error")))
         for i, r in enumerate(runs)

@@ -14,11 +14,10 @@ def pair_correlation(x: str, y: str) -> Column:
 
     The built-in ``corr`` fails with a division by zero on constant columns in ANSI mode.
     """
-    left = F.when(F.col(y).isNotNull(), F.col(x).cast("double"))
-    right = F.when(F.col(x).isNotNull(), F.col(y).cast("double"))
-    varies = (F.min(left) < F.max(left)) & (F.min(right) < F.max(right))
-    ratio = F.try_divide(F.covar_pop(left, right), F.stddev_pop(left) * F.stddev_pop(right))
-    return F.when(varies, ratio)
+    left, right = F.col(x).cast("double"), F.col(y).cast("double")
+    # The regr_ sums use only rows where both sides are present; a constant side gives 0.
+    spread = F.sqrt(F.regr_sxx(right, left)) * F.sqrt(F.regr_syy(right, left))
+    return F.try_divide(F.regr_sxy(right, left), spread)
 
 
 def lower_triangle(df: DataFrame, sensors: Sequence[str]) -> DataFrame:

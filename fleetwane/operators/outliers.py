@@ -15,12 +15,11 @@ from fleetwane.schema import TIME, UNIT
 def _moments(sensors: Sequence[str]) -> dict[str, Column]:
     """Per-unit mean and deviation of each sensor.
 
-    The deviation is NULL when any reading is missing, and for constant units, whose
-    computed deviation may differ from 0 in the last digit.
+    The deviation is NULL when any reading is missing.
     """
-    usable = {s: (F.count(s) == F.count(F.lit(1))) & (F.min(s) < F.max(s)) for s in sensors}
+    complete = {s: F.count(s) == F.count(F.lit(1)) for s in sensors}
     return {f"__mean_{s}": F.avg(s) for s in sensors} | {
-        f"__std_{s}": F.when(usable[s], F.stddev_pop(s)) for s in sensors
+        f"__std_{s}": F.when(complete[s], F.stddev_pop(s)) for s in sensors
     }
 
 

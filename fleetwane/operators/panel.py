@@ -4,8 +4,9 @@ Two tools:
 
 ``with_unit_aggregates``
     brings an aggregate of a unit back to each of its rows. The aggregate is combined
-    on the map side, and the join is an ordinary equi-join, which adaptive execution
-    broadcasts when the aggregate is small and splits when one unit is skewed.
+    on the map side. Up to a checked number of units it is broadcast and the rows are not
+    shuffled at all; beyond that it is an ordinary join, in which adaptive execution
+    splits a unit that is skewed.
 
 ``over_units``
     evaluates *ordered* window expressions (rolling frames, lag) per unit. A window
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from fleetwane.schema import TIME, UNIT
-from fleetwane.session import local_table, store
+from fleetwane.session import local_table, sized, store
 
 # Rows of one unit that a single task may sort; larger units are cut into segments.
 HOT_ROWS = 2_000_000
@@ -39,7 +40,7 @@ def with_unit_aggregates(df: DataFrame, aggregates: Mapping[str, Column], *, uni
         .groupBy(unit)
         .agg(*(expression.alias(name) for name, expression in aggregates.items()))
     )
-    return df.join(per_unit, unit, "left").select(*df.columns, *names)
+    return df.join(sized(per_unit), unit, "left").select(*df.columns, *names)
 
 
 def first_n_per_unit(df: DataFrame, n: int, *, unit: str = UNIT, order: Sequence[str] = (TIME,)) -> DataFrame:

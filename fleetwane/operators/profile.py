@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from fleetwane.session import local_table
 
 # Readings of one column that one task may sort; beyond that the range is narrowed first.
-SORTABLE = 1_000_000
+SORTABLE = 100_000
 # Cells per narrowing pass, and the most passes: each leaves about 1/CELLS of the range.
 CELLS = 4096
 MAX_PASSES = 8
@@ -203,10 +203,12 @@ def histogram(df: DataFrame, columns: Sequence[str], *, bins: int = 30) -> DataF
 def kde_curve(df: DataFrame, columns: Sequence[str], *, points: int = 200) -> DataFrame:
     """Gaussian kernel density on a grid from smallest to largest value (Scott bandwidth).
 
-    The grid has a fixed size and is combined on the map side, so ``points`` rows per
-    column and task are shuffled.
+    Readings are grouped by value first: instruments report a limited number of digits,
+    so far fewer distinct values than readings meet the grid. The grid has a fixed size
+    and its sums are combined on the map side.
     """
     values = long_values(df, columns)
+    weighted = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("copies"))
     shape = values.groupBy("column").agg(
         F.min("value").alias("low"),
         F.max("value").alias("high"),
@@ -217,11 +219,11 @@ def kde_curve(df: DataFrame, columns: Sequence[str], *, points: int = 200) -> Da
     grid = F.sequence(F.lit(0), F.lit(points - 1))
     distance = F.try_divide(F.col("low") + F.col("step") * F.col("point") - F.col("value"), F.col("bandwidth"))
     sums = (
-        values.join(F.broadcast(shape.withColumn("step", step)), "column")  # one row per profiled column
+        weighted.join(F.broadcast(shape.withColumn("step", step)), "column")  # one row per profiled column
         .withColumn("point", F.explode(grid))
         .groupBy("column", "point")
         .agg(
-            F.sum(F.exp(distance * distance * -0.5)).alias("weight"),
+            F.sum(F.exp(distance * distance * -0.5) * F.col("copies")).alias("weight"),
             F.any_value("low").alias("low"),
             F.any_value("step").alias("step"),
             F.any_value("n").alias("n"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fleetwane.functions import health as H
 from fleetwane.operators.columns import filter_unit
 from fleetwane.schema import RISK, RISK_LEVELS, RUL, TIME, UNIT
+from fleetwane.session import sized
 
 
 def risk_distribution(df: DataFrame) -> DataFrame:
@@ -49,7 +50,7 @@ def compare_with_truth(
     left = predictions.withColumnRenamed(RUL, "RUL_pred")
     right = truth.select(UNIT, F.col(RUL).alias("RUL_true"))
     pred, true = F.col("RUL_pred"), F.col("RUL_true")
-    return left.join(right, UNIT).select(
+    return left.join(sized(right), UNIT).select(
         *left.columns, "RUL_true", H.absolute_error(true, pred).alias("error"), H.signed_error(true, pred).alias("delta")
     )
 

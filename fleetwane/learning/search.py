@@ -65,7 +65,8 @@ def random_search(
     trials = sample_params(GRIDS[family], n, seed=seed) if trials is None else list(trials)
     spark = train.sparkSession
     with model_inputs(train, test, features) as tables, ThreadPoolExecutor(parallel) as pool:
-        fit = inheritable_thread_target(lambda params: fit_and_measure(family, params, *tables, features))
+        in_session = inheritable_thread_target(spark)
+        fit = in_session(lambda params: fit_and_measure(family, params, *tables, features))
         runs = list(pool.map(fit, trials))
     rows = [
         (i, json.dumps(r.params, sort_keys=True), r.run_id, *(r.metrics[m] for m in ("MAE", "RMSE", "R2", "Max Error")))

@@ -190,6 +190,15 @@ def _(spark, folder):
     return columns.distinct_units(T.telemetry(spark, folder), 2)
 
 
+@register(
+    "unit_list",
+    f"WITH {T.TELEMETRY} SELECT string_agg(CAST(unit AS VARCHAR), ', ' ORDER BY unit) AS units "
+    "FROM (SELECT DISTINCT unit FROM telemetry ORDER BY unit LIMIT 3) u",
+)
+def _(spark, folder):
+    return columns.unit_list(T.telemetry(spark, folder), 3)
+
+
 @register("distinct_truth", f"WITH {T.LABELED} SELECT DISTINCT unit, RUL FROM labeled")
 def _(spark, folder):
     from fleetwane.operators.labels import label_rul

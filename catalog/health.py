@@ -191,23 +191,28 @@ def _(spark, folder):
 BULK_S = T.BULK_SENSORS
 
 
+# Deviations of prices in the ten thousands: the last exact decimals are fewer.
+COARSE = {"sensor_3_rolling_std": 3}
+
+
 @register(
     "sensor_health_features_bulk",
-    f"WITH {T.BULK}, {T.feature_sql('bulk', BULK_S, T.BULK_ORDER, window=10)} SELECT unit, count(*) AS n, "
+    f"WITH {T.BULK}, {T.feature_sql('bulk', BULK_S, T.BULK_ORDER, window=10)} "
+    "SELECT unit, time_in_cycles, l_orderkey, l_linenumber, RUL, failure_binary, "
     + ", ".join(
-        f"sum({s}_degraded)::BIGINT AS {s}_degraded, {r(f'sum({s}_baseline)', f'{s}_baseline', 3)}, "
-        f"{r(f'sum({s}_rolling_mean)', f'{s}_rolling_mean', 3)}, {r(f'sum({s}_rolling_std)', f'{s}_rolling_std', 3)}, "
-        f"{r(f'sum({s}_cycle_change)', f'{s}_cycle_change', 3)}"
+        f"{s}_{f}" if f == "degraded" else r(f"{s}_{f}", f"{s}_{f}", COARSE.get(f"{s}_{f}", 6))
         for s in BULK_S
+        for f in FAMILIES
     )
-    + " FROM features GROUP BY unit",
+    + " FROM features",
 )
 def _(spark, folder):
     df = health.sensor_health_features(
         T.bulk(spark, folder), BULK_S, rolling_window=10, failure_threshold=30, order=T.BULK_ORDER
     )
-    sums = [F.sum(f"{s}_{f}").alias(f"{s}_{f}") for s in BULK_S for f in FAMILIES]
-    return rounded(df.groupBy("unit").agg(F.count(F.lit(1)).alias("n"), *sums), 3)
+    names = [f"{s}_{f}" for s in BULK_S for f in FAMILIES]
+    keys = ("unit", "time_in_cycles", "l_orderkey", "l_linenumber")
+    return rounded(df.select(*keys, "RUL", "failure_binary", *names), **COARSE)
 
 
 @register(

@@ -60,10 +60,13 @@ def _(spark, folder):
     return rounded(runs.best_trial(T.trials(spark, folder)))
 
 
-def _split_features(spark, folder):
-    features = health.sensor_health_features(
+def _features(spark, folder):
+    return health.sensor_health_features(
         T.telemetry(spark, folder), T.TELEMETRY_SENSORS, failure_threshold=30, with_score=True, order=T.ORDER
     )
+
+
+def _split(features):
     train, test = split.split_rows(features, key=("unit", *T.ORDER))
     return train, test, feature_columns(features)
 
@@ -79,7 +82,7 @@ def _train(name: str, family: str) -> None:
     @register(name)
     def _(spark, folder):
         """Metrics of one model trained on the whole table."""
-        run = models.train_and_evaluate(family, SMALL[family], *_split_features(spark, folder))
+        run = models.train_and_evaluate(family, SMALL[family], *_split(_features(spark, folder)))
         row = [(family, *(float(run.metrics[m]) for m in METRICS))]
         return spark.createDataFrame(row, "family string, MAE double, RMSE double, R2 double, `Max Error` double")
 
@@ -91,23 +94,23 @@ _train("train_boosted_leafwise", models.LEAFWISE)
 
 @register("feature_importances")
 def _(spark, folder):
-    return models.train_and_evaluate(models.FOREST, SMALL[models.FOREST], *_split_features(spark, folder)).importances
+    return models.train_and_evaluate(models.FOREST, SMALL[models.FOREST], *_split(_features(spark, folder))).importances
 
 
 @register("split_count_importances")
 def _(spark, folder):
-    return models.train_and_evaluate(models.LEAFWISE, SMALL[models.LEAFWISE], *_split_features(spark, folder)).importances
+    return models.train_and_evaluate(models.LEAFWISE, SMALL[models.LEAFWISE], *_split(_features(spark, folder))).importances
 
 
 @register("random_search")
 def _(spark, folder):
     trials = [dict(SMALL[models.FOREST], max_depth=d) for d in (3, 5)]
-    _, table = search.random_search(models.FOREST, *_split_features(spark, folder), trials=trials)
+    _, table = search.random_search(models.FOREST, *_split(_features(spark, folder)), trials=trials)
     return runs.best_trial(table)
 
 
 @register("score_batch")
 def _(spark, folder):
-    train, test, features = _split_features(spark, folder)
-    run = models.train_and_evaluate(models.FOREST, SMALL[models.FOREST], train, test, features)
-    return jobs.score_batch(run.model, features, train.unionByName(test), keep=("unit", *T.ORDER))
+    features = _features(spark, folder)
+    run = models.train_and_evaluate(models.FOREST, SMALL[models.FOREST], *_split(features))
+    return jobs.score_batch(run.model, run.features, features, keep=("unit", *T.ORDER))

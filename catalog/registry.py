@@ -23,10 +23,16 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round all doubles, so that the last bits of two engines do not matter."""
+def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
+    """Round all doubles, so that the last bits of two engines do not matter.
+
+    ``special`` names columns with other digits (large values have fewer exact decimals).
+    """
     return df.select(
-        *(F.round(F.col(f"`{c}`"), digits).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in df.dtypes)
+        *(
+            F.round(F.col(f"`{c}`"), special.get(c, digits)).alias(c) if t == "double" else F.col(f"`{c}`")
+            for c, t in df.dtypes
+        )
     )
 
 

@@ -85,6 +85,21 @@ def _(spark, folder):
     return rounded(_keys(df, "RUL_pred", "RUL_true", "error", "delta"))
 
 
+@register(
+    "compare_with_labels",
+    f"""WITH {T.PREDICTIONS}, {T.LABELED},
+    firsts AS (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY time_in_cycles, reading_id) AS rn FROM predictions),
+    points AS (SELECT unit, RUL, row_number() OVER (PARTITION BY unit ORDER BY time_in_cycles, reading_id) AS rn FROM labeled)
+    SELECT p.unit, {r('p.RUL', 'RUL_pred')}, t.RUL AS "RUL_true", {r('abs(t.RUL - p.RUL)', 'error')}, {r('p.RUL - t.RUL', 'delta')}
+    FROM firsts p JOIN points t ON p.unit = t.unit AND p.rn = 1 AND t.rn = 1""",
+)
+def _(spark, folder):
+    """First prediction against the first label of each unit, the labels being one per cycle."""
+    truth = labels.label_rul(T.telemetry(spark, folder)).select("unit", "RUL").dropDuplicates()
+    df = risk.compare_with_truth(T.predictions(spark, folder), truth, grain="first", tiebreak=TIE)
+    return rounded(df.select("unit", "RUL_pred", "RUL_true", "error", "delta"))
+
+
 @register(
     "risk_distribution",
     f"{P} SELECT l.level AS risk_level, count(p.unit) AS n FROM (VALUES ('High'), ('Medium'), ('Low')) l(level) "

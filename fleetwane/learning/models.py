@@ -26,6 +26,9 @@ from fleetwane.operators.metrics import regression_metrics
 from fleetwane.schema import RUL
 from fleetwane.sources.writers import read_feature_columns, write_feature_columns, write_importances
 
+# Memory per task for split statistics: more nodes are grown per pass over the data.
+SPLIT_MEMORY_MB = 1024
+
 # The deepest tree Spark grows; stands in for an unlimited depth.
 MAX_DEPTH = 30
 
@@ -36,6 +39,7 @@ def train_forest(params: Mapping) -> RandomForestRegressor:
     """n_estimators, max_depth (None: unlimited), min_samples_leaf, max_features, random_state."""
     return RandomForestRegressor(
         labelCol=RUL,
+        maxMemoryInMB=SPLIT_MEMORY_MB,
         numTrees=params.get("n_estimators", 100),
         maxDepth=params.get("max_depth") or MAX_DEPTH,
         minInstancesPerNode=params.get("min_samples_leaf", 1),
@@ -48,6 +52,7 @@ def train_boosted(params: Mapping) -> GBTRegressor:
     """n_estimators, max_depth, learning_rate, subsample, colsample_bytree, random_state."""
     return GBTRegressor(
         labelCol=RUL,
+        maxMemoryInMB=SPLIT_MEMORY_MB,
         maxIter=params.get("n_estimators", 100),
         maxDepth=params.get("max_depth", 6),
         stepSize=params.get("learning_rate", 0.3),
@@ -61,6 +66,7 @@ def train_boosted_leafwise(params: Mapping) -> GBTRegressor:
     """n_estimators, num_leaves, learning_rate, random_state."""
     return GBTRegressor(
         labelCol=RUL,
+        maxMemoryInMB=SPLIT_MEMORY_MB,
         maxIter=params.get("n_estimators", 100),
         maxDepth=math.ceil(math.log2(params.get("num_leaves", 31))),
         stepSize=params.get("learning_rate", 0.1),

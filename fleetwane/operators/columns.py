@@ -103,6 +103,12 @@ def distinct_units(df: DataFrame, n: int | None = None) -> DataFrame:
     return units if n is None else units.limit(n)
 
 
+def unit_list(df: DataFrame, n: int) -> DataFrame:
+    """One text with the first ``n`` units, as a comparison heading names them."""
+    chosen = distinct_units(df, n)
+    return chosen.agg(F.concat_ws(", ", F.array_sort(F.collect_list(UNIT)).cast("array<string>")).alias("units"))
+
+
 def distinct_truth(df: DataFrame) -> DataFrame:
     """Distinct (unit, RUL)."""
     return df.select(UNIT, RUL).dropDuplicates()

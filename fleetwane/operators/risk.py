@@ -41,14 +41,16 @@ def compare_with_truth(
 ) -> DataFrame:
     """Predictions beside the true RUL with absolute and signed error.
 
-    ``truth`` has one row per unit. ``grain`` 'last' or 'first' compares one prediction
-    per unit, 'all' every prediction with its unit's truth. Units without a partner are
-    left out.
+    ``grain`` 'first' or 'last' compares one prediction per unit, 'all' every prediction.
+    Each unit has one truth: where ``truth`` lists a unit at several points of its life
+    (RUL falls by the cycle), the earliest, or with 'last' the latest, so that rows are
+    never multiplied. Units without a partner are left out.
     """
     if grain != "all":
         predictions = edge_per_unit(predictions, last=grain == "last", tiebreak=tiebreak)
     left = predictions.withColumnRenamed(RUL, "RUL_pred")
-    right = truth.select(UNIT, F.col(RUL).alias("RUL_true"))
+    point = F.min(RUL) if grain == "last" else F.max(RUL)
+    right = truth.filter(F.col(UNIT).isNotNull()).groupBy(UNIT).agg(point.alias("RUL_true"))
     pred, true = F.col("RUL_pred"), F.col("RUL_true")
     return left.join(sized(right), UNIT).select(
         *left.columns, "RUL_true", H.absolute_error(true, pred).alias("error"), H.signed_error(true, pred).alias("delta")

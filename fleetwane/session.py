@@ -49,7 +49,7 @@ def sized(df: DataFrame, *, rows: int = BROADCAST_ROWS) -> DataFrame:
     Counting needs only the key columns. Without the hint the join shuffles both sides,
     and adaptive execution splits the partitions of skewed keys.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:

@@ -113,15 +113,13 @@ PERCENTILES_SQL = (
 
 @register("percentiles", PERCENTILES_SQL)
 def _(spark, folder):
-    values = profile.long_values(T.bulk(spark, folder), T.BULK_SENSORS)
-    return rounded(profile.percentiles(values, PERCENTILES))
+    return rounded(profile.percentiles(T.bulk(spark, folder), T.BULK_SENSORS, PERCENTILES))
 
 
 @register("percentiles_narrowed", PERCENTILES_SQL)
 def _(spark, folder):
     """The same when a task may sort no more than 100 readings."""
-    values = profile.long_values(T.bulk(spark, folder), T.BULK_SENSORS)
-    return rounded(profile.percentiles(values, PERCENTILES, sortable=100))
+    return rounded(profile.percentiles(T.bulk(spark, folder), T.BULK_SENSORS, PERCENTILES, sortable=100))
 
 
 @register(

@@ -108,10 +108,7 @@ def format_metric(value: Column, digits: int = 2, suffix: str = "cycles") -> Col
 def sensor_kind(name: Column) -> Column:
     """Classify a feature name by its suffix; anything else is a raw reading."""
     kinds = ("baseline", "degraded", "rolling_mean", "rolling_std", "cycle_change")
-    result = F
-    for kind in kinds:
-        result = result.when(name.endswith(kind), kind)
-    return result.otherwise("raw")
+    return F.coalesce(*(F.when(name.endswith(kind), kind) for kind in kinds), F.lit("raw"))
 
 
 def sensor_title(name: Column) -> Column:

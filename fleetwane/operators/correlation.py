@@ -1,58 +1,55 @@
-"""Pearson correlation of all sensor pairs in one aggregation."""
+"""Pearson correlation of all sensor pairs in one pass."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def pair_correlation(x: str, y: str) -> Column:
-    """Pairwise-complete correlation; NULL where either side does not vary.
+def _pair_table(df: DataFrame, sensors: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
+    """(a, b, correlation) of the given pairs of sensor positions, pairwise complete.
 
-    The built-in ``corr`` fails with a division by zero on constant columns in ANSI mode.
+    Each row meets a constant list of pairs inside the map task and is combined there, so
+    one row per pair and task is shuffled. Hundreds of aggregates side by side would be
+    too wide for compiled code. The regr_ sums use only rows where both sides are present,
+    and a constant side gives 0, hence NULL; the built-in ``corr`` would fail on it in
+    ANSI mode.
     """
-    left, right = F.col(x).cast("double"), F.col(y).cast("double")
-    # The regr_ sums use only rows where both sides are present; a constant side gives 0.
-    spread = F.sqrt(F.regr_sxx(right, left)) * F.sqrt(F.regr_syy(right, left))
-    return F.try_divide(F.regr_sxy(right, left), spread)
+    listed = F.inline(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs)))
+    sums = (
+        df.select(F.array(*(F.col(s).cast("double") for s in sensors)).alias("readings"))
+        .select("readings", listed)
+        .select("a", "b", F.get("readings", F.col("a")).alias("x"), F.get("readings", F.col("b")).alias("y"))
+        .groupBy("a", "b")
+        .agg(F.regr_sxy("y", "x").alias("xy"), F.regr_sxx("y", "x").alias("xx"), F.regr_syy("y", "x").alias("yy"))
+    )
+    ratio = F.try_divide(F.col("xy"), F.sqrt(F.col("xx") * F.col("yy")))
+    return sums.select("a", "b", ratio.alias("correlation"))
+
+
+def _named(table: DataFrame, sensors: Sequence[str], first: str, second: str) -> DataFrame:
+    names = F.array(*(F.lit(s) for s in sensors))
+    return table.select(
+        F.get(names, F.col(first)).alias("sensor_a"), F.get(names, F.col(second)).alias("sensor_b"), "correlation"
+    )
 
 
 def lower_triangle(df: DataFrame, sensors: Sequence[str]) -> DataFrame:
     """(sensor_a, sensor_b, correlation) for each pair once, the later sensor first."""
-    pairs = list(combinations(range(len(sensors)), 2))
-    wide = df.agg(*(pair_correlation(sensors[i], sensors[j]).alias(f"p{i}_{j}") for i, j in pairs))
-    entries = F.array(
-        *(
-            F.struct(
-                F.lit(sensors[j]).alias("sensor_a"),
-                F.lit(sensors[i]).alias("sensor_b"),
-                F.col(f"p{i}_{j}").alias("correlation"),
-            )
-            for i, j in pairs
-        )
-    )
-    return wide.select(F.inline(entries))
+    pairs = [(a, b) for b in range(len(sensors)) for a in range(b)]
+    return _named(_pair_table(df, sensors, pairs), sensors, "b", "a")
 
 
 def correlation_matrix(df: DataFrame, sensors: Sequence[str]) -> DataFrame:
     """The full matrix in long form, the diagonal included (NULL for constant sensors)."""
-    pairs = list(combinations(range(len(sensors)), 2))
-    varies = [F.when(F.min(s) < F.max(s), F.lit(1.0)).alias(f"d{i}") for i, s in enumerate(sensors)]
-    wide = df.agg(
-        *(pair_correlation(sensors[i], sensors[j]).alias(f"p{i}_{j}") for i, j in pairs), *varies
+    pairs = [(a, b) for b in range(len(sensors)) for a in range(b + 1)]
+    sides = F.array(
+        F.struct(F.col("a").alias("i"), F.col("b").alias("j")), F.struct(F.col("b").alias("i"), F.col("a").alias("j"))
     )
-
-    def entry(i: int, j: int) -> Column:
-        value = f"d{i}" if i == j else f"p{min(i, j)}_{max(i, j)}"
-        return F.struct(
-            F.lit(sensors[i]).alias("sensor_a"), F.lit(sensors[j]).alias("sensor_b"), F.col(value).alias("correlation")
-        )
-
-    cells = range(len(sensors))
-    return wide.select(F.inline(F.array(*(entry(i, j) for i in cells for j in cells))))
+    mirrored = _pair_table(df, sensors, pairs).select(F.inline(F.array_distinct(sides)), "correlation")
+    return _named(mirrored, sensors, "i", "j")
 
 
 def redundant_pairs(df: DataFrame, sensors: Sequence[str], *, limit: float = 0.9) -> DataFrame:

@@ -28,6 +28,8 @@ from fleetwane.session import local_table, sized, store
 
 # Rows of one unit that a single task may sort; larger units are cut into segments.
 HOT_ROWS = 2_000_000
+# A shuffle into many more partitions costs more than somewhat longer segments.
+MAX_SEGMENTS = 16_384
 
 _SEGMENT, _ARRIVAL, _COPY, _RANK, _TARGETS = "__segment", "__arrival", "__copy", "__rank", "__targets"
 
@@ -105,7 +107,7 @@ def over_units(
     regular = _whole_units(
         df.join(keys, unit, "left_anti"), ordered, per_unit, head, head_rows, unit, order
     )
-    segments = math.ceil(2 * sum(rows for _, rows in hot) / hot_rows)
+    segments = min(math.ceil(2 * sum(rows for _, rows in hot) / hot_rows), MAX_SEGMENTS)
     split = _split_units(
         df.join(keys, unit, "left_semi"), ordered, lookback, per_unit, head, head_rows, unit, order, segments
     )

@@ -10,9 +10,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from fleetwane.functions.health import null_if_nan
+from fleetwane.operators.quality import per_column
 from fleetwane.session import local_table
 
 # Readings of one column that one task may sort; beyond that the range is narrowed first.
@@ -98,35 +100,59 @@ def _cells(found: dict) -> tuple[list[tuple], list[tuple]]:
     return [(column, number, low, high) for (column, low, high), number in numbers.items()], targets
 
 
-def percentiles(values: DataFrame, probabilities: Sequence[float], *, sortable: int = SORTABLE) -> DataFrame:
-    """(column, probability, value) with linear interpolation between neighbours."""
-    extremes = values.groupBy("column").agg(F.count(F.lit(1)), F.min("value"), F.max("value"))
+def _moments(df: DataFrame, columns: Sequence[str]) -> list[Row]:
+    """count, mean, std, min, max of each column: one aggregation over the wide table, one row per column."""
+    reading = lambda c: null_if_nan(F.col(c).cast("double"))
+    measures = {
+        "count": lambda c: F.count(reading(c)),
+        "mean": lambda c: F.avg(reading(c)),
+        "std": lambda c: F.stddev_samp(reading(c)),
+        "min": lambda c: F.min(reading(c)),
+        "max": lambda c: F.max(reading(c)),
+    }
+    return per_column(df, columns, measures).collect()
+
+
+def _interpolated(
+    df: DataFrame, moments: Sequence[Row], probabilities: Sequence[float], sortable: int
+) -> DataFrame:
+    """(column, probability, value) given the counts and extremes of the columns."""
     ranks, wanted = {}, []
-    for column, n, low, high in extremes.collect():  # one row per profiled column
-        lower = [math.floor((n - 1) * p) for p in probabilities]
-        upper = [math.ceil((n - 1) * p) for p in probabilities]
-        ranks[column] = (n, low, high, {*lower, *upper})
+    for m in moments:
+        if not m["count"]:
+            continue
+        positions = [(m["count"] - 1) * p for p in probabilities]
+        ends = [(math.floor(x), math.ceil(x)) for x in positions]
+        ranks[m["column"]] = (m["count"], m["min"], m["max"], {rank for pair in ends for rank in pair})
         wanted += [
-            (column, float(p), a, b, (n - 1) * p - a) for p, a, b in zip(probabilities, lower, upper)
+            (m["column"], float(p), rank, x - low)
+            for p, x, (low, high) in zip(probabilities, positions, ends)
+            for rank in {low, high}
         ]
-    schema = "column string, probability double, lower bigint, upper bigint, share double"
-    table = local_table(values.sparkSession, wanted, schema)
-    ends = table.withColumn("rank", F.explode(F.array("lower", "upper")))
+    schema = "column string, probability double, rank bigint, share double"
+    table = local_table(df.sparkSession, wanted, schema)
     low, high = F.min("value"), F.max("value")
     return (
-        order_statistics(values, ranks, sortable=sortable)
-        .join(F.broadcast(ends), ["column", "rank"])
+        order_statistics(long_values(df, list(ranks)), ranks, sortable=sortable)
+        .join(F.broadcast(table), ["column", "rank"])
         .groupBy("column", "probability", "share")
         .agg((low + (high - low) * F.col("share")).alias("value"))
         .select("column", "probability", "value")
     )
 
 
-def quartiles(values: DataFrame, *, sortable: int = SORTABLE) -> DataFrame:
+def percentiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], *, sortable: int = SORTABLE
+) -> DataFrame:
+    """(column, probability, value) with linear interpolation between neighbours."""
+    return _interpolated(df, _moments(df, columns), probabilities, sortable)
+
+
+def _quartiles(df: DataFrame, moments: Sequence[Row], sortable: int = SORTABLE) -> DataFrame:
     """(column, q1, median, q3)."""
     at = lambda p: F.max(F.when(F.col("probability") == p, F.col("value")))
     return (
-        percentiles(values, (0.25, 0.5, 0.75), sortable=sortable)
+        _interpolated(df, moments, (0.25, 0.5, 0.75), sortable)
         .groupBy("column")
         .agg(at(0.25).alias("q1"), at(0.5).alias("median"), at(0.75).alias("q3"))
     )
@@ -134,15 +160,10 @@ def quartiles(values: DataFrame, *, sortable: int = SORTABLE) -> DataFrame:
 
 def describe_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std (sample), min, quartiles and max of numeric columns."""
-    values = long_values(df, columns)
-    moments = values.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    return moments.join(quartiles(values), "column").select(
+    moments = _moments(df, columns)
+    schema = "column string, count bigint, mean double, std double, min double, max double"
+    table = local_table(df.sparkSession, [tuple(m) for m in moments], schema)
+    return table.join(F.broadcast(_quartiles(df, moments)), "column", "left").select(
         "column", "count", "mean", "std", "min", "q1", "median", "q3", "max"
     )
 
@@ -243,12 +264,12 @@ def box_stats(df: DataFrame, columns: Sequence[str], *, reach: float = 1.5) -> D
     """Quartiles, whiskers, outliers beyond them, range, variance and skewness per column."""
     values = long_values(df, columns)
     spread = (F.col("q3") - F.col("q1")) * reach
-    fences = quartiles(values).select(
+    fences = _quartiles(df, _moments(df, columns)).select(
         "*", (F.col("q1") - spread).alias("fence_low"), (F.col("q3") + spread).alias("fence_high")
     )
     value = F.col("value")
     inside = value.between(F.col("fence_low"), F.col("fence_high"))
-    whiskers = (
+    return (
         values.join(F.broadcast(fences), "column")  # one row per profiled column
         .groupBy("column")
         .agg(
@@ -263,4 +284,3 @@ def box_stats(df: DataFrame, columns: Sequence[str], *, reach: float = 1.5) -> D
             F.when(F.max(value) > F.min(value), F.skewness(value)).alias("skewness"),
         )
     )
-    return whiskers

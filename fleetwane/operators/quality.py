@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _per_column(df: DataFrame, columns: Sequence[str], measures: dict) -> DataFrame:
+def per_column(df: DataFrame, columns: Sequence[str], measures: dict) -> DataFrame:
     """One row per column from a single aggregation over the table."""
     totals = df.agg(
         *(make(c).alias(f"{i}_{measure}") for i, c in enumerate(columns) for measure, make in measures.items())
@@ -24,13 +24,13 @@ def _per_column(df: DataFrame, columns: Sequence[str], measures: dict) -> DataFr
 
 def null_counts(df: DataFrame, *, dataset: str | None = None) -> DataFrame:
     """NULLs per column."""
-    counts = _per_column(df, df.columns, {"nulls": lambda c: F.count_if(F.col(c).isNull())})
+    counts = per_column(df, df.columns, {"nulls": lambda c: F.count_if(F.col(c).isNull())})
     return counts if dataset is None else counts.select(F.lit(dataset).alias("dataset"), "*")
 
 
 def table_info(df: DataFrame) -> DataFrame:
     """Type, non-null count and row count per column, with the column's position."""
-    counts = _per_column(
+    counts = per_column(
         df,
         df.columns,
         {"non_null": lambda c: F.count(F.col(c)), "rows": lambda c: F.count(F.lit(1))},
@@ -56,7 +56,7 @@ def constant_column_table(df: DataFrame, columns: Sequence[str] | None = None) -
     Smallest = largest value, which partial aggregates answer without a distinct count.
     """
     names = df.columns if columns is None else list(columns)
-    return _per_column(
+    return per_column(
         df,
         names,
         {"is_constant": lambda c: F.coalesce(F.min(F.col(c)) == F.max(F.col(c)), F.lit(False))},

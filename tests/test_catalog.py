@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import same
+from conftest import plan_of, same
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the test tables")
@@ -29,6 +29,8 @@ def test_query_equals_sql(spark, duck, name):
     rows = [tuple(r[names.index(c)] for c in df.columns) for r in result.fetchall()]
     assert sorted(names) == sorted(df.columns)
     assert same(df.collect(), rows)
+    plan = plan_of(df)
+    assert not any(node in plan for node in ("Python", "Cartesian", "NestedLoop"))
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))

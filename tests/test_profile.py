@@ -23,13 +23,22 @@ def test_percentiles_equal_numpy(table, sortable):
     p = (0.0, 0.013, 0.25, 0.5, 0.75, 0.999, 1.0)
     found = {
         (r["column"], r["probability"]): r["value"]
-        for r in profile.percentiles(profile.long_values(table, ["a", "b", "c"]), p, sortable=sortable).collect()
+        for r in profile.percentiles(table, ["a", "b", "c"], p, sortable=sortable).collect()
     }
     for name, data in (("a", UNIFORM), ("b", TAILED), ("c", COPIES[:-1])):
         for x in p:
             assert found[name, x] == pytest.approx(np.percentile(data, 100 * x), rel=1e-12, abs=1e-300)
 
 
+def test_columns_without_readings(spark):
+    df = spark.createDataFrame([(1.0, None), (float("nan"), None), (3.0, None)], "a double, b double")
+    rows = profile.percentiles(df, ["a", "b"], (0.5,)).collect()
+    assert same(rows, [("a", 0.5, 2.0)])
+    described = {r["column"]: r for r in profile.describe_table(df, ["a", "b"]).collect()}
+    assert described["b"]["count"] == 0 and described["b"]["median"] is None
+    assert described["a"]["count"] == 2 and described["a"]["mean"] == 2.0
+
+
 def test_describe(table):
     rows = {r["column"]: r for r in profile.describe_table(table, ["a", "c"]).collect()}
     assert rows["c"]["count"] == 2999

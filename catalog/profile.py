@@ -158,8 +158,8 @@ def _(spark, folder):
     f"WITH {T.TELEMETRY} "
     + " UNION ALL ".join(
         f"""SELECT '{s}' AS "column", {r('any_value(q1)', 'q1')}, {r('any_value(q2)', 'median')}, {r('any_value(q3)', 'q3')},
-        {r(f'min({s}) FILTER (WHERE {s} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))', 'whisker_low')},
-        {r(f'max({s}) FILTER (WHERE {s} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))', 'whisker_high')},
+        {r(f'least(min({s}) FILTER (WHERE {s} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), any_value(q1))', 'whisker_low')},
+        {r(f'greatest(max({s}) FILTER (WHERE {s} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), any_value(q3))', 'whisker_high')},
         count({s}) FILTER (WHERE {s} NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS outliers,
         {r(f'max({s}) - min({s})', 'range')}, {r(f'var_samp({s})', 'variance')},
         {r(f'CASE WHEN max({s}) > min({s}) THEN avg(pow({s} - mu, 3)) / pow(stddev_pop({s}), 3) END', 'skewness')}

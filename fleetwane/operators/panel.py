@@ -34,6 +34,11 @@ MAX_SEGMENTS = 16_384
 _SEGMENT, _ARRIVAL, _COPY, _RANK, _TARGETS = "__segment", "__arrival", "__copy", "__rank", "__targets"
 
 
+def ascending(order: Sequence[str]) -> list[Column]:
+    """Sort keys with missing values last, so that a row without a cycle is never a unit's first."""
+    return [F.col(c).asc_nulls_last() for c in order]
+
+
 def with_unit_aggregates(df: DataFrame, aggregates: Mapping[str, Column], *, unit: str = UNIT) -> DataFrame:
     """Add per-unit aggregates to every row; rows without a unit get NULL."""
     names = list(aggregates)
@@ -51,7 +56,7 @@ def first_n_per_unit(df: DataFrame, n: int, *, unit: str = UNIT, order: Sequence
     Spark limits each group before the shuffle, so at most ``n`` rows per unit and map
     task travel, however long a unit is.
     """
-    ranked = Window.partitionBy(unit).orderBy(*order)
+    ranked = Window.partitionBy(unit).orderBy(*ascending(order))
     return (
         df.filter(F.col(unit).isNotNull())
         .withColumn(_RANK, F.row_number().over(ranked))
@@ -116,7 +121,7 @@ def over_units(
 
 def _whole_units(df, ordered, per_unit, head, head_rows, unit, order) -> DataFrame:
     whole = Window.partitionBy(unit)
-    sequence = whole.orderBy(*order)
+    sequence = whole.orderBy(*ascending(order))
     columns = df.columns
     if head:
         df = df.withColumn(_RANK, F.row_number().over(sequence))
@@ -138,14 +143,12 @@ def _split_units(df, ordered, lookback, per_unit, head, head_rows, unit, order,
     # Only rows of hot units come here.
     arrived = store(df.withColumn(_ARRIVAL, F.monotonically_increasing_id()), "arrived")
     sequence = (*order, _ARRIVAL)
-    rows = store(
-        arrived.repartitionByRange(segments, unit, *sequence).withColumn(_SEGMENT, F.spark_partition_id()),
-        "segments",
-    )
+    ranges = arrived.repartitionByRange(segments, unit, *ascending(sequence))
+    rows = store(ranges.withColumn(_SEGMENT, F.spark_partition_id()), "segments")
 
     # The last rows of each segment, copied to the following segments that reach them.
-    backwards = Window.partitionBy(unit, _SEGMENT).orderBy(*(F.col(c).desc() for c in sequence))
-    following = Window.partitionBy(unit).orderBy(_SEGMENT, *sequence).rowsBetween(1, max(lookback, 1))
+    backwards = Window.partitionBy(unit, _SEGMENT).orderBy(*(F.col(c).desc_nulls_first() for c in sequence))
+    following = Window.partitionBy(unit).orderBy(_SEGMENT, *ascending(sequence)).rowsBetween(1, max(lookback, 1))
     copies = (
         rows.withColumn(_RANK, F.row_number().over(backwards))
         .filter(F.col(_RANK) <= lookback)
@@ -154,7 +157,7 @@ def _split_units(df, ordered, lookback, per_unit, head, head_rows, unit, order,
         .withColumn(_SEGMENT, F.explode(_TARGETS))
         .select(*rows.columns, F.lit(True).alias(_COPY))
     )
-    in_segment = Window.partitionBy(unit, _SEGMENT).orderBy(*sequence)
+    in_segment = Window.partitionBy(unit, _SEGMENT).orderBy(*ascending(sequence))
     result = (
         rows.withColumn(_COPY, F.lit(False))
         .unionByName(copies)

@@ -261,7 +261,10 @@ def kde_curve(df: DataFrame, columns: Sequence[str], *, points: int = 200) -> Da
 
 
 def box_stats(df: DataFrame, columns: Sequence[str], *, reach: float = 1.5) -> DataFrame:
-    """Quartiles, whiskers, outliers beyond them, range, variance and skewness per column."""
+    """Quartiles, whiskers, outliers beyond the fences, range, variance and skewness per column.
+
+    A whisker ends at the last reading inside the fence, but never inside the box.
+    """
     values = long_values(df, columns)
     spread = (F.col("q3") - F.col("q1")) * reach
     fences = _quartiles(df, _moments(df, columns)).select(
@@ -276,8 +279,8 @@ def box_stats(df: DataFrame, columns: Sequence[str], *, reach: float = 1.5) -> D
             F.any_value("q1").alias("q1"),
             F.any_value("median").alias("median"),
             F.any_value("q3").alias("q3"),
-            F.min(F.when(inside, value)).alias("whisker_low"),
-            F.max(F.when(inside, value)).alias("whisker_high"),
+            F.least(F.min(F.when(inside, value)), F.any_value("q1")).alias("whisker_low"),
+            F.greatest(F.max(F.when(inside, value)), F.any_value("q3")).alias("whisker_high"),
             F.count_if(~inside).alias("outliers"),
             (F.max(value) - F.min(value)).alias("range"),
             F.var_samp(value).alias("variance"),

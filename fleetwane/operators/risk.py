@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetwane.functions import health as H
 from fleetwane.operators.columns import filter_unit
+from fleetwane.operators.panel import ascending
 from fleetwane.schema import RISK, RISK_LEVELS, RUL, TIME, UNIT
 from fleetwane.session import sized
 
@@ -59,7 +60,7 @@ def compare_with_truth(
 
 def first_match(df: DataFrame, unit, *, tiebreak: tuple[str, ...] = ()) -> DataFrame:
     """The first row of a unit."""
-    return filter_unit(df, unit).orderBy(TIME, *tiebreak).limit(1)
+    return filter_unit(df, unit).orderBy(*ascending((TIME, *tiebreak))).limit(1)
 
 
 def inference_summary(df: DataFrame) -> DataFrame:

@@ -117,6 +117,16 @@ def test_row_without_unit_is_dropped(spark, sample):
     assert health.sensor_health_features(more, S).count() == 12
 
 
+def test_row_without_cycle_is_not_among_the_first(spark):
+    rows = [(1, None, 1000.0, 1.0)] + [(1, t, 10.0, 1.0) for t in range(1, 9)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for hot_rows in (10**9, 3):
+        features = health.sensor_health_features(df, S, hot_rows=hot_rows)
+        assert {r.sensor_1_baseline for r in features.collect()} == {10.0}
+        assert features.filter("time_in_cycles IS NULL").first().sensor_1_cycle_change == 990.0
+    assert health.sensor_baselines(df, S).first().sensor_1 == 10.0
+
+
 def test_zscore_of_incomplete_unit_is_missing(spark):
     df = frame(spark, [1, 2, None, 4], [1, 2, 3, 40])
     rows = outliers.unit_zscores(df, S, threshold=1.5).collect()

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetwane.functions import health as H
+from fleetwane.operators.panel import join_per_unit
 from fleetwane.schema import FAILURE, RUL, TIME, UNIT, MissingColumnsError
-from fleetwane.session import sized
 
 
 def rename_columns(df: DataFrame, names: Mapping[str, str] | Sequence[str]) -> DataFrame:
@@ -93,7 +93,7 @@ def filter_unit(df: DataFrame, unit) -> DataFrame:
 def filter_units(df: DataFrame, units: Iterable | DataFrame) -> DataFrame:
     """Rows of the chosen units: a list of them, or a table with a unit column."""
     if isinstance(units, DataFrame):
-        return df.join(sized(units.select(UNIT).distinct()), UNIT, "left_semi")
+        return join_per_unit(df, units.select(UNIT).distinct(), how="left_semi")
     return df.filter(F.col(UNIT).isin(list(units)))
 
 

@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetwane.functions import health as H
-from fleetwane.operators.panel import HOT_ROWS, first_n_per_unit, over_units
+from fleetwane.operators.panel import HOT_ROWS, first_n_per_unit, join_per_unit, over_units
 from fleetwane.schema import FAILURE, FAILURE_THRESHOLD, RUL, TIME, UNIT, require_columns
-from fleetwane.session import sized
 
 BASELINE, DEGRADED = "_baseline", "_degraded"
 ROLLING_MEAN, ROLLING_STD, CYCLE_CHANGE = "_rolling_mean", "_rolling_std", "_cycle_change"
@@ -28,7 +27,7 @@ def sensor_baselines(
 def merge_baselines(df: DataFrame, baselines: DataFrame) -> DataFrame:
     """Join per-unit baselines to the rows, with the suffix ``_baseline``."""
     named = {c: f"{c}{BASELINE}" for c in baselines.columns if c != UNIT}
-    return df.join(sized(baselines.withColumnsRenamed(named)), UNIT, "inner").select(*df.columns, *named.values())
+    return join_per_unit(df, baselines.withColumnsRenamed(named), how="inner").select(*df.columns, *named.values())
 
 
 def degraded_flags(df: DataFrame, sensors: Sequence[str], *, threshold: float = 0.75) -> DataFrame:

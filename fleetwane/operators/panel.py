@@ -4,9 +4,8 @@ Two tools:
 
 ``with_unit_aggregates``
     brings an aggregate of a unit back to each of its rows. The aggregate is combined
-    on the map side. Up to a checked number of units it is broadcast and the rows are not
-    shuffled at all; beyond that it is an ordinary join, in which adaptive execution
-    splits a unit that is skewed.
+    on the map side and joined by ``join_per_unit``: broadcast up to a checked number of
+    units, so that rows are not shuffled at all; beyond that shuffled, hot units apart.
 
 ``over_units``
     evaluates *ordered* window expressions (rolling frames, lag) per unit. A window
@@ -24,10 +23,12 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from fleetwane.schema import TIME, UNIT
-from fleetwane.session import local_table, sized, store
+from fleetwane.session import local_table, store
 
 # Rows of one unit that a single task may sort; larger units are cut into segments.
 HOT_ROWS = 2_000_000
+# Rows of a per-unit table (a key and some numbers, so at most ~200 MB) that are broadcast.
+BROADCAST_UNITS = 1_000_000
 # A shuffle into many more partitions costs more than somewhat longer segments.
 MAX_SEGMENTS = 16_384
 
@@ -39,15 +40,45 @@ def ascending(order: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in order]
 
 
-def with_unit_aggregates(df: DataFrame, aggregates: Mapping[str, Column], *, unit: str = UNIT) -> DataFrame:
+def join_per_unit(
+    df: DataFrame,
+    per_unit: DataFrame,
+    *,
+    how: str = "left",
+    unit: str = UNIT,
+    broadcast_units: int = BROADCAST_UNITS,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Join a table with one row per unit to the rows of a panel ('left', 'inner', 'left_semi').
+
+    Up to ``broadcast_units`` rows, counted first, ``per_unit`` is broadcast and the panel
+    is not shuffled. Beyond, the rows are shuffled by unit, except those of hot units,
+    whose few partners are broadcast, and those without a unit, which have no partner.
+    """
+    if per_unit.count() <= broadcast_units:
+        return df.join(F.broadcast(per_unit), unit, how)
+    rows = df.filter(F.col(unit).isNotNull())
+    hot = hot_units(rows, unit=unit, hot_rows=hot_rows)
+    if hot:
+        keys = _key_table(df, hot, unit)
+        few = F.broadcast(per_unit.join(keys, unit, "left_semi"))
+        regular = rows.join(keys, unit, "left_anti").join(per_unit, unit, how)
+        joined = regular.unionByName(rows.join(keys, unit, "left_semi").join(few, unit, how))
+    else:
+        joined = rows.join(per_unit, unit, how)
+    if how == "left":
+        joined = joined.unionByName(df.filter(F.col(unit).isNull()), allowMissingColumns=True)
+    return joined
+
+
+def with_unit_aggregates(df: DataFrame, aggregates: Mapping[str, Column], *, unit: str = UNIT, **limits: int) -> DataFrame:
     """Add per-unit aggregates to every row; rows without a unit get NULL."""
-    names = list(aggregates)
     per_unit = (
         df.filter(F.col(unit).isNotNull())
         .groupBy(unit)
         .agg(*(expression.alias(name) for name, expression in aggregates.items()))
     )
-    return df.join(sized(per_unit), unit, "left").select(*df.columns, *names)
+    return join_per_unit(df, per_unit, unit=unit, **limits).select(*df.columns, *aggregates)
 
 
 def first_n_per_unit(df: DataFrame, n: int, *, unit: str = UNIT, order: Sequence[str] = (TIME,)) -> DataFrame:
@@ -75,6 +106,12 @@ def hot_units(df: DataFrame, *, unit: str = UNIT, hot_rows: int = HOT_ROWS) -> l
     return [(row[0], row[1]) for row in counts.filter(F.col("rows") > hot_rows).collect()]
 
 
+def _key_table(df: DataFrame, hot: list[tuple], unit: str) -> DataFrame:
+    """The hot units, broadcast: at most total rows / ``hot_rows`` keys."""
+    kind = df.schema[unit].dataType.simpleString()
+    return F.broadcast(local_table(df.sparkSession, [(key,) for key, _ in hot], f"`{unit}` {kind}"))
+
+
 def over_units(
     df: DataFrame,
     ordered: Mapping[str, Callable[[WindowSpec], Column]],
@@ -106,9 +143,7 @@ def over_units(
     if not hot:
         return _whole_units(df, ordered, per_unit, head, head_rows, unit, order)
 
-    key_type = df.schema[unit].dataType.simpleString()
-    keys = local_table(df.sparkSession, [(key,) for key, _ in hot], f"`{unit}` {key_type}")
-    keys = F.broadcast(keys)  # at most total rows / hot_rows of them
+    keys = _key_table(df, hot, unit)
     regular = _whole_units(
         df.join(keys, unit, "left_anti"), ordered, per_unit, head, head_rows, unit, order
     )

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from fleetwane.functions import health as H
 from fleetwane.operators.columns import filter_unit
-from fleetwane.operators.panel import ascending
+from fleetwane.operators.panel import ascending, join_per_unit
 from fleetwane.schema import RISK, RISK_LEVELS, RUL, TIME, UNIT
-from fleetwane.session import sized
 
 
 def risk_distribution(df: DataFrame) -> DataFrame:
@@ -20,13 +19,17 @@ def risk_distribution(df: DataFrame) -> DataFrame:
 
 def top_high_risk(df: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` predictions with the lowest RUL."""
-    order = [RUL, UNIT, *([TIME] if TIME in df.columns else [])]
-    return df.orderBy(*order).limit(n)
+    return df.orderBy(*_urgency(df)).limit(n)
+
+
+def _urgency(df: DataFrame) -> list[str]:
+    """Lowest RUL first. The cycle also keeps equal predictions of one unit sortable in parallel."""
+    return [c for c in (RUL, UNIT, TIME) if c in df.columns]
 
 
 def prediction_table(df: DataFrame) -> DataFrame:
     """unit, RUL and alert text, lowest RUL first."""
-    return df.select(UNIT, RUL, H.alert_label(F.col(RISK)).alias("Alert")).orderBy(RUL, UNIT)
+    return df.orderBy(*_urgency(df)).select(UNIT, RUL, H.alert_label(F.col(RISK)).alias("Alert"))
 
 
 def edge_per_unit(df: DataFrame, *, last: bool = True, tiebreak: tuple[str, ...] = ()) -> DataFrame:
@@ -53,7 +56,7 @@ def compare_with_truth(
     point = F.min(RUL) if grain == "last" else F.max(RUL)
     right = truth.filter(F.col(UNIT).isNotNull()).groupBy(UNIT).agg(point.alias("RUL_true"))
     pred, true = F.col("RUL_pred"), F.col("RUL_true")
-    return left.join(sized(right), UNIT).select(
+    return join_per_unit(left, right, how="inner").select(
         *left.columns, "RUL_true", H.absolute_error(true, pred).alias("error"), H.signed_error(true, pred).alias("delta")
     )
 

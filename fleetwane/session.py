@@ -8,7 +8,6 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -39,19 +38,6 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-# Rows of a table that may be broadcast: a unit key and some numbers, so at most ~200 MB.
-BROADCAST_ROWS = 1_000_000
-
-
-def sized(df: DataFrame, *, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``rows`` rows, else as it is.
-
-    Counting needs only the key columns. Without the hint the join shuffles both sides,
-    and adaptive execution splits the partitions of skewed keys.
-    """
-    return F.broadcast(df) if df.count() <= rows else df
-
-
 def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A small table made on the driver, known to the optimizer with its exact size."""
     fields = to_arrow_schema(T.StructType.fromDDL(schema))

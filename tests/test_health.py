@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan_of, same
 from fleetwane.operators import health, outliers, panel
@@ -175,6 +176,26 @@ def test_identical_copies_of_a_row_are_spread(spark):
     assert same(split.collect(), whole.collect())
 
 
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
+def test_many_units_are_joined_with_hot_units_apart(spark, folder, how):
+    more = spark.createDataFrame([(None, 3, 1, 1.0, 1.0), (77, 3, 1, 1.0, 1.0)], big_panel(spark).schema)
+    big_panel(spark).unionByName(more).write.parquet(f"{folder}/panel")
+    df = spark.read.parquet(f"{folder}/panel")
+    per_unit = df.filter("unit <> 77").groupBy("unit").agg(F.max("time_in_cycles").alias("last"))
+    expected = df.join(per_unit, "unit", how).collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        for hot_rows in (100, 10**9):
+            joined = panel.join_per_unit(df, per_unit, how=how, broadcast_units=0, hot_rows=hot_rows)
+            assert same(joined.collect(), expected)
+            plan = plan_of(joined).split("Initial Plan")[0]
+            assert "SortMergeJoin" in plan and ("BroadcastHashJoin" in plan) == (hot_rows == 100)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def test_hot_units_are_found(spark):
     df = big_panel(spark)
     assert panel.hot_units(df, hot_rows=100) == [(0, 400)]

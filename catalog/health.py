@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from catalog import tables as T
 from catalog.registry import r, register, rounded
-from fleetwane.functions import health as H
 from fleetwane.operators import health, labels, outliers, panel
 
 S = T.TELEMETRY_SENSORS

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from catalog import tables as T
 from catalog.registry import r, register, rounded
 from fleetwane.operators import correlation, profile, quality

@@ -120,14 +120,21 @@ def preview(df: DataFrame, n: int = 5, *, order: Sequence[str] = (UNIT, TIME)) -
 
 
 def melt_sensors(
-    df: DataFrame, sensors: Sequence[str], *, ids: Sequence[str] = (UNIT, TIME), name: str = "Sensor", value: str = "Value"
+    df: DataFrame,
+    sensors: Sequence[str],
+    *,
+    ids: Sequence[str] = (UNIT, TIME),
+    name: str = "Sensor",
+    value: str = "Value",
 ) -> DataFrame:
     """Wide to long: one row per reading."""
     doubles = [F.col(s).cast("double").alias(s) for s in sensors]
     return df.select(*ids, *doubles).unpivot(list(ids), list(sensors), name, value)
 
 
-def trend_series(df: DataFrame, sensor: str, *, unit=None, units: Sequence | None = None, tiebreak: Sequence[str] = ()) -> DataFrame:
+def trend_series(
+    df: DataFrame, sensor: str, *, unit=None, units: Sequence | None = None, tiebreak: Sequence[str] = ()
+) -> DataFrame:
     """The series of one column for one unit, several, or all."""
     if unit is not None:
         df = filter_unit(df, unit)

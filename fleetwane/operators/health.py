@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetwane.functions import health as H
 from fleetwane.operators.panel import HOT_ROWS, first_n_per_unit, join_per_unit, over_units
-from fleetwane.schema import FAILURE, FAILURE_THRESHOLD, RUL, TIME, UNIT, require_columns
+from fleetwane.schema import FAILURE, RUL, TIME, UNIT, require_columns
 
 BASELINE, DEGRADED = "_baseline", "_degraded"
 ROLLING_MEAN, ROLLING_STD, CYCLE_CHANGE = "_rolling_mean", "_rolling_std", "_cycle_change"

@@ -57,7 +57,9 @@ def _placed(counted: DataFrame, targets: list[tuple], order: str) -> DataFrame:
     )
 
 
-def order_statistics(values: DataFrame, ranks: dict[str, tuple[int, float, float, set[int]]], *, sortable: int = SORTABLE) -> DataFrame:
+def order_statistics(
+    values: DataFrame, ranks: dict[str, tuple[int, float, float, set[int]]], *, sortable: int = SORTABLE
+) -> DataFrame:
     """(column, rank, value): exact order statistics, ranks counted from 0.
 
     ``ranks`` holds (count, smallest, largest, wanted ranks) per column. While the

@@ -53,7 +53,9 @@ def summary_view(predictions: DataFrame, n: int = 5) -> dict[str, DataFrame]:
     return {"top_high_risk": urgent, "risk_distribution": risk_distribution(levels)}
 
 
-def overview_view(features: DataFrame, column: str, *, unit=None, units: Sequence | None = None, tiebreak: Sequence[str] = ()) -> DataFrame:
+def overview_view(
+    features: DataFrame, column: str, *, unit=None, units: Sequence | None = None, tiebreak: Sequence[str] = ()
+) -> DataFrame:
     """The trend of a derived column with its display title."""
     title = H.sensor_title(F.lit(column))
     return trend_series(features, column, unit=unit, units=units, tiebreak=tiebreak).withColumn("title", title)

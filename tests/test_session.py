@@ -1,19 +1,29 @@
+from types import SimpleNamespace
+
 import pytest
 
 from conftest import same
 from fleetwane import session
 
 
-def test_shared_folder_comes_from_the_session(spark, folder):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", f"{folder}/shared/")
-    try:
-        assert session.scratch_dir(spark) == f"{folder}/shared"
-        stored = session.store(spark.range(3), "numbers")
-        assert same(stored.collect(), [(0,), (1,), (2,)])
-        assert all("/shared/numbers-" in f for f in stored.inputFiles())
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+def cluster(**settings):
+    conf = SimpleNamespace(get=lambda name, default=None: settings.get(name.replace(".", "_"), default))
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="yarn"))
+
+
+def test_shared_folder_comes_from_the_session():
+    assert session.scratch_dir(cluster(spark_checkpoint_dir="hdfs:///shared/")) == "hdfs:///shared"
+
+
+def test_a_cluster_without_shared_folder_is_an_error():
+    with pytest.raises(ValueError):
+        session.scratch_dir(cluster())
+
+
+def test_stored_table(spark):
+    stored = session.store(spark.range(3), "numbers")
+    assert same(stored.collect(), [(0,), (1,), (2,)])
+    assert all(session.scratch_dir(spark) in f for f in stored.inputFiles())
 
 
 @pytest.mark.parametrize("rows", [[], [(1, "a", None), (2, None, 0.5)]])

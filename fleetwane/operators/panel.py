@@ -4,8 +4,7 @@ Two tools:
 
 ``with_unit_aggregates``
     brings an aggregate of a unit back to each of its rows. The aggregate is combined
-    on the map side and joined by ``join_per_unit``: broadcast up to a checked number of
-    units, so that rows are not shuffled at all; beyond that shuffled, hot units apart.
+    on the map side and joined by ``join_per_unit``: broadcast up to a checked size, so that rows are not shuffled at all; beyond that shuffled, hot units apart.
 
 ``over_units``
     evaluates *ordered* window expressions (rolling frames, lag) per unit. A window
@@ -27,8 +26,8 @@ from fleetwane.session import local_table, store
 
 # Rows of one unit that a single task may sort; larger units are cut into segments.
 HOT_ROWS = 2_000_000
-# Rows of a per-unit table (a key and some numbers, so at most ~200 MB) that are broadcast.
-BROADCAST_UNITS = 1_000_000
+# Values (rows x columns) of a per-unit table that is broadcast: numbers, so about 160 MB.
+BROADCAST_VALUES = 20_000_000
 # A shuffle into many more partitions costs more than somewhat longer segments.
 MAX_SEGMENTS = 16_384
 
@@ -46,16 +45,16 @@ def join_per_unit(
     *,
     how: str = "left",
     unit: str = UNIT,
-    broadcast_units: int = BROADCAST_UNITS,
+    broadcast_values: int = BROADCAST_VALUES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join a table with one row per unit to the rows of a panel ('left', 'inner', 'left_semi').
 
-    Up to ``broadcast_units`` rows, counted first, ``per_unit`` is broadcast and the panel
+    Up to ``broadcast_values`` values, counted first, ``per_unit`` is broadcast and the panel
     is not shuffled. Beyond, the rows are shuffled by unit, except those of hot units,
     whose few partners are broadcast, and those without a unit, which have no partner.
     """
-    if per_unit.count() <= broadcast_units:
+    if per_unit.count() * len(per_unit.columns) <= broadcast_values:
         return df.join(F.broadcast(per_unit), unit, how)
     rows = df.filter(F.col(unit).isNotNull())
     hot = hot_units(rows, unit=unit, hot_rows=hot_rows)
@@ -134,8 +133,8 @@ def over_units(
     head
         name -> (aggregate function, column) over the first ``head_rows`` rows of the unit.
 
-    Rows without a unit are dropped. ``order`` should be total; rows that tie are taken
-    in arrival order.
+    Rows without a unit are dropped. ``order`` should be total: which of two rows that tie
+    comes first is not defined.
     """
     per_unit, head = dict(per_unit or {}), dict(head or {})
     df = df.filter(F.col(unit).isNotNull())

@@ -187,7 +187,7 @@ def test_many_units_are_joined_with_hot_units_apart(spark, folder, how):
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
         for hot_rows in (100, 10**9):
-            joined = panel.join_per_unit(df, per_unit, how=how, broadcast_units=0, hot_rows=hot_rows)
+            joined = panel.join_per_unit(df, per_unit, how=how, broadcast_values=0, hot_rows=hot_rows)
             assert same(joined.collect(), expected)
             plan = plan_of(joined).split("Initial Plan")[0]
             assert "SortMergeJoin" in plan and ("BroadcastHashJoin" in plan) == (hot_rows == 100)

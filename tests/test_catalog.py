@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from catalog import ORACLES, QUERIES
 from conftest import plan_of, same
 
 FOLDER = "/root/testdata/sf0.001"
@@ -21,10 +22,10 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, duck, name):
-    df = entry.queries()[name](spark, FOLDER)
-    result = duck.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    result = duck.execute(ORACLES[name])
     names = [d[0] for d in result.description]
     rows = [tuple(r[names.index(c)] for c in df.columns) for r in result.fetchall()]
     assert sorted(names) == sorted(df.columns)
@@ -33,9 +34,9 @@ def test_query_equals_sql(spark, duck, name):
     assert not any(node in plan for node in ("Python", "Cartesian", "NestedLoop"))
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_without_sql_gives_rows(spark, name):
-    assert entry.queries()[name](spark, FOLDER).count() > 0
+    assert QUERIES[name](spark, FOLDER).count() > 0
 
 
 def test_entry(spark):

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetwane.llm import lines, mixing, sql
+from fleetwane.llm import bpe, language, lines, mixing, quality, secrets, sql
+from fleetwane.llm.text import fold
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +28,20 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The tokenizer's file, from the public package unless FLEETWANE_TOKENIZER names another."""
+    if path := os.environ.get("FLEETWANE_TOKENIZER"):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op1_quality_classifier")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+
+
 @query("op3_quality_rules", sql.QUALITY_RULES)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return lines.judge(_read(spark, folder, "documents")).select(
@@ -31,6 +49,25 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op4_secret_scans")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(_read(spark, folder, "documents"))
+
+
 @query("op6_source_mixing", sql.SOURCE_MIXING)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_read(spark, folder, "documents"))
+
+
+@query("op7_bpe")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    return bpe.encode(docs, tokenizer_path(), with_ids=False).select("doc_id", "encoded.*")
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    learned = language.learn(docs, fold("doc_id", 5) != 0)
+    held_out = (fold("doc_id", 5) == 0).alias("held_out")
+    return language.predict(docs.select("doc_id", "text"), learned).select("doc_id", held_out, "language.*")

@@ -96,15 +96,34 @@ def over_batches(df: DataFrame, task, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def text_udf(function, schema: str):
+    """A column function of a text: ``function`` maps a list of texts to lists by column name.
+
+    Nulls come as empty texts; the result is a struct of ``schema``.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    kind = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(kind)
+
+    @F.arrow_udf(kind)
+    def run(texts: pa.Array) -> pa.Array:
+        columns = function([t or "" for t in texts.to_pylist()])
+        return pa.StructArray.from_arrays([pa.array(columns[field.name], type=field.type) for field in arrow], fields=list(arrow))
+
+    return run
+
+
 # ---------------------------------------------------------------- NumPy side
 
 
-def chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about CHUNK_CHARS characters together."""
+def chunks(texts: list[str], most: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``most`` texts, of about CHUNK_CHARS characters together."""
     start, held = 0, 0
     for i, text in enumerate(texts):
         held += len(text) + 1
-        if held >= CHUNK_CHARS:
+        if held >= CHUNK_CHARS or i + 1 - start >= most:
             yield start, i + 1
             start, held = i + 1, 0
     if start < len(texts):

@@ -20,6 +20,7 @@ import hashlib
 import heapq
 import json
 import os
+import re
 import tempfile
 import unicodedata
 import uuid
@@ -36,9 +37,9 @@ from pyspark.sql import functions as F
 from fleetwane.llm.text import chunks, over_batches, ship, text_udf
 
 #: Words in the lexicon at most; it only decides how many words are merged again.
-LEXICON_WORDS = 100_000
-#: Words outside the lexicon whose ids a task keeps.
-KEPT_WORDS = 300_000
+LEXICON_WORDS = 200_000
+#: Words whose ids a task keeps at hand, about.
+KEPT_WORDS = 400_000
 
 #: Longer words are merged with a heap.
 SHORT = 48
@@ -47,6 +48,18 @@ SHORT = 48
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
 
 
+#: The same for texts of Latin-1 characters in lower case, with their letters, numbers and blanks spelled out (several times as fast).
+LATIN = re.compile("[a-zªµºß-öø-ÿ]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def _byte_letters() -> list[str]:
     """The printable stand-in of every byte: itself if visible Latin-1, else the next free letter above."""
     visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -85,7 +98,8 @@ class Tokenizer:
     def _plain(text: str) -> list[str]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # a sigma is lowered without regard to its place
-        return PATTERN.findall(text.lower())
+        text = text.lower()
+        return (LATIN if _is_latin(text) else PATTERN).findall(text)
 
     def merge(self, word: str) -> list[int]:
         if word in self.special:
@@ -96,12 +110,16 @@ class Tokenizer:
         return [self.vocab[p] for p in parts if p in self.vocab]
 
     def _short(self, parts: list[str]) -> list[str]:
-        ranks, none = self.ranks, len(self.ranks)
-        while len(parts) > 1:
-            best, at = min((ranks.get(pair, none), i) for i, pair in enumerate(zip(parts, parts[1:])))
-            if best == none:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        get, none = self.ranks.get, len(self.ranks)
+        ranks = [get(pair, none) for pair in zip(parts, parts[1:])]
+        while ranks and (best := min(ranks)) < none:
+            i = ranks.index(best)
+            parts[i] += parts.pop(i + 1)
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get((parts[i - 1], parts[i]), none)
+            if i < len(ranks):
+                ranks[i] = get((parts[i], parts[i + 1]), none)
         return parts
 
     def _long(self, parts: list[str]) -> list[str]:
@@ -236,11 +254,6 @@ class Lexicon:
         return out
 
 
-@functools.lru_cache(2)
-def _lexicon(name: str) -> Lexicon:
-    return Lexicon(SparkFiles.get(name))
-
-
 # ---------------------------------------------------------------- Spark
 
 
@@ -271,6 +284,36 @@ def make_lexicon(docs: DataFrame, tokenizer_path: str, most: int = LEXICON_WORDS
     return name
 
 
+class Known:
+    """Words that a task has met: their ids, one after another, and their tokens as text."""
+
+    def __init__(self, tokenizer: Tokenizer, lexicon: Lexicon):
+        self.tokenizer, self.lexicon = tokenizer, lexicon
+        self.clear()
+
+    def clear(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.texts: list[str] = []
+        self.ids = np.zeros(0, np.uint32)
+        self.size = np.zeros(0, np.int64)
+        self.first = np.zeros(0, np.int64)
+
+    def meet(self, words: list[str]) -> None:
+        """Take in new words: from the lexicon if it has them, else by exact merges."""
+        found = self.lexicon.find(words)
+        special, merge, token = self.tokenizer.special, self.tokenizer.merge, self.tokenizer.tokens.__getitem__
+        ids, offset = np.asarray(self.lexicon.ids), np.asarray(self.lexicon.offset).tolist() if len(words) > 1000 else self.lexicon.offset
+        own = [ids[offset[k] : offset[k + 1]].tolist() if k >= 0 and w not in special else merge(w) for w, k in zip(words, found.tolist())]
+        start = len(self.slot)
+        self.slot.update(zip(words, range(start, start + len(words))))
+        self.texts += [" ".join(map(token, x)) for x in own]
+        size = np.fromiter(map(len, own), np.int64, len(own))
+        flat = np.fromiter((i for x in own for i in x), np.uint32, int(size.sum()))
+        self.first = np.concatenate((self.first, len(self.ids) + np.cumsum(size) - size))
+        self.size = np.concatenate((self.size, size))
+        self.ids = np.concatenate((self.ids, flat))
+
+
 class Encode:
     """Texts -> ids (and digests), with the lexicon and exact merges for the rest."""
 
@@ -278,51 +321,35 @@ class Encode:
         self.lexicon, self.name, self.with_ids = lexicon, name, with_ids
 
     def __call__(self, texts: list[str]) -> dict[str, list]:
-        tokenizer, lexicon, unseen = _tokenizer(SparkFiles.get(self.name)), _lexicon(self.lexicon), _unseen(self.name)
+        known = _known(self.lexicon, self.name)
         out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []} | ({"ids": []} if self.with_ids else {})
         for start, end in chunks(texts):
-            split = [tokenizer.words(t) for t in texts[start:end]]
-            place: dict[str, int] = {}
-            for tokens in split:
-                place.update(dict.fromkeys(tokens))
-            words = list(place)
-            place = dict(zip(words, range(len(words))))
-            found = lexicon.find(words)
-            ids = []
-            for word, k in zip(words, found.tolist()):
-                if k >= 0 and word not in tokenizer.special:
-                    ids.append(lexicon.ids[lexicon.offset[k] : lexicon.offset[k + 1]].tolist())
-                else:
-                    own = unseen.get(word)
-                    if own is None:
-                        own = tokenizer.merge(word)
-                        if len(word) <= SHORT:
-                            if len(unseen) >= KEPT_WORDS:
-                                unseen.clear()
-                            unseen[word] = own
-                    ids.append(own)
-            pieces = [" ".join(map(tokenizer.tokens.__getitem__, own)) for own in ids]
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            first = np.concatenate(([0], np.cumsum(size)[:-1])) if len(ids) else np.zeros(0, np.int64)
-            flat = np.fromiter((i for own in ids for i in own), "<u4", int(size.sum()))
-            for tokens in split:
-                which = list(map(place.__getitem__, tokens))
+            split = [known.tokenizer.words(t) for t in texts[start:end]]
+            if len(known.slot) > KEPT_WORDS:
+                known.clear()
+            new: dict[str, None] = {}
+            for words in split:
+                new.update(dict.fromkeys(w for w in words if w not in known.slot))
+            if new:
+                known.meet(list(new))
+            for words in split:
+                which = list(map(known.slot.__getitem__, words))
                 index = np.array(which, np.int64)
-                lengths = size[index]
-                total = int(lengths.sum())
-                shift = np.repeat(first[index] - np.concatenate(([0], np.cumsum(lengths)))[:-1], lengths)
-                own = flat[shift + np.arange(total)]
+                size = known.size[index]
+                before = np.cumsum(size) - size
+                total = int(size.sum())
+                own = known.ids[np.repeat(known.first[index] - before, size) + np.arange(total)]
                 out["n_tokens"].append(total)
-                out["ids_sha256"].append(hashlib.sha256(own.tobytes()).hexdigest())
-                out["decoded_sha256"].append(hashlib.sha256(" ".join(p for w in which if (p := pieces[w])).encode()).hexdigest())
+                out["ids_sha256"].append(hashlib.sha256(own.astype("<u4").tobytes()).hexdigest())
+                out["decoded_sha256"].append(hashlib.sha256(" ".join(filter(None, map(known.texts.__getitem__, which))).encode()).hexdigest())
                 if self.with_ids:
                     out["ids"].append(own.astype(np.int32))
         return out
 
 
-@functools.lru_cache(2)
-def _unseen(name: str) -> dict[str, list[int]]:
-    return {}
+@functools.lru_cache(1)
+def _known(lexicon: str, name: str) -> Known:
+    return Known(_tokenizer(SparkFiles.get(name)), Lexicon(SparkFiles.get(lexicon)))
 
 
 def encode(docs: DataFrame, tokenizer_path: str, most: int = LEXICON_WORDS, with_ids: bool = True) -> DataFrame:

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwane.llm import bpe, language, lines, mixing, quality, secrets, sql
+from fleetwane.llm import ann, bpe, jaccard, language, lines, mixing, pii, quality, secrets, sql, substrings
 from fleetwane.llm.text import fold
 
 QUERIES: dict = {}
@@ -42,6 +42,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
 
 
+@query("op2_pii")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(_read(spark, folder, "documents"))
+
+
 @query("op3_quality_rules", sql.QUALITY_RULES)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return lines.judge(_read(spark, folder, "documents")).select(
@@ -54,6 +59,11 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(_read(spark, folder, "documents"))
 
 
+@query("op5_nearest_neighbours")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(_read(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query("op6_source_mixing", sql.SOURCE_MIXING)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_read(spark, folder, "documents"))
@@ -65,9 +75,19 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(docs, tokenizer_path(), with_ids=False).select("doc_id", "encoded.*")
 
 
+@query("op8_substring_dedup")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(_read(spark, folder, "documents")).drop("kept_text")
+
+
 @query("op9_language_id")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents")
     learned = language.learn(docs, fold("doc_id", 5) != 0)
     held_out = (fold("doc_id", 5) == 0).alias("held_out")
     return language.predict(docs.select("doc_id", "text"), learned).select("doc_id", held_out, "language.*")
+
+
+@query("op10_jaccard_join", sql.JACCARD_JOIN)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(_read(spark, folder, "documents"))

@@ -19,8 +19,9 @@ lines AS (
   SELECT *, row_number() OVER (PARTITION BY r, l ORDER BY i) AS nth FROM lines WHERE len(lw) > 0
 ), judged AS (
   SELECT r, i, l, lw, nth,
-    regexp_matches(l, '(?i)all rights reserved|copyright \\(c\\)|privacy policy|terms of (use|service)|cookie (policy|settings)|accept (all )?cookies'
-      || '|sign up for|subscribe to our|click here to|enable javascript|powered by|skip to (main )?content|share (this )?on')
+    len(list_filter(['all rights reserved', 'copyright (c)', 'privacy policy', 'terms of use', 'terms of service', 'cookie policy',
+      'cookie settings', 'accept cookies', 'accept all cookies', 'sign up for', 'subscribe to our', 'click here to', 'enable javascript',
+      'powered by', 'skip to content', 'skip to main content', 'share on', 'share this on'], lambda x: contains(lower(l), x))) > 0
     OR (len(lw) < 4 AND NOT regexp_matches(l, '[.!?:;…。]["'')\\]]?[ \\t-\\r]*$'))
     OR 100 * len(regexp_extract_all(l, '\\||»|›|→|::')) > 25 * len(lw)
     OR 100 * len(regexp_extract_all(l, '[!?][!?]')) > 30 * len(lw)
@@ -69,3 +70,22 @@ SELECT doc_id, size, s::BIGINT AS source_size, target,
   (size * (times + CASE WHEN rest > 0 AND 2 * reach - held <= 2 * rest THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM placed
 """
+
+JACCARD_JOIN = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), split AS (SELECT doc_id, {WORDS} AS w FROM docs),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM split WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * both >= 75 * (a.n + b.n - both)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.other = links.x
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
+"""

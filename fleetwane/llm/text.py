@@ -89,7 +89,8 @@ def over_batches(df: DataFrame, task, schema: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in task(batches):
-            arrays = [pa.array(columns[field.name], type=field.type) for field in arrow]
+            values = [columns[field.name] for field in arrow]
+            arrays = [v.cast(f.type) if isinstance(v, pa.Array) else pa.array(v, type=f.type) for v, f in zip(values, arrow)]
             if len(arrays[0]):
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 

@@ -35,6 +35,13 @@ def test_merges_equal_library(truth, own):
         assert merged(own, text) == truth.encode(text, add_special_tokens=False).ids
 
 
+def test_both_patterns_split_alike():
+    for code in range(256):
+        text = f"a{chr(code)}{chr(code)}b'{chr(code)}ll 's".lower()
+        if bpe._is_latin(text):
+            assert bpe.LATIN.findall(text) == bpe.PATTERN.findall(text), code
+
+
 def test_lexicon_is_exact_and_minimal(own, tmp_path):
     words = ["tap", "taps", "top", "tops", "stop", "stops", "é", "éa"]
     arrays = bpe.compile_lexicon({w: own.merge(w) for w in words})

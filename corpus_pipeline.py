@@ -1,22 +1,62 @@
-"""The corpus pipeline: each stage takes (spark, docs, sf_dir), is written as Parquet and read again by the next."""
+"""The corpus pipeline: each stage takes (spark, docs, sf_dir), is written as Parquet and read again by the next.
+
+Language ID drops documents without a language, the n-gram Jaccard join leaves one document of
+each group, secret scans replace secrets, mixing repeats or drops documents so that sources
+have their weights, and BPE encodes what is left. Nulls, empty tables and repeated rows are
+handled as the operators say.
+"""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetwane.llm import mixing
+from fleetwane.llm import bpe, jaccard, language, mixing, secrets
+from fleetwane.llm.queries import tokenizer_path
+from fleetwane.llm.text import fold
 from fleetwane.session import scratch_dir
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a language is recognised (not ``und``); a missing lang is filled in."""
+    predicted = language.predict(docs, language.learn(docs, fold("doc_id", 5) != 0))
+    kept = predicted.filter(F.col("language.lang_pred") != language.UNKNOWN)
+    return kept.withColumn("lang", F.coalesce("lang", "language.lang_pred")).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of similar ones."""
+    return jaccard.one_of_each(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets replaced, n_chars as it is then."""
+    clean = secrets.redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out, so that the sources share the words by their weights."""
     return mixing.repeated(docs)
 
 
-STAGES = [("mix sources", mix_sources)]
+def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens, ids and digests of every document."""
+    encoded = bpe.encode(docs, tokenizer_path())
+    return encoded.select("doc_id", "lang", "source", "encoded.*")
+
+
+STAGES = [
+    ("language id", identify_language),
+    ("jaccard join", drop_near_duplicates),
+    ("secret scans", redact_secrets),
+    ("source mixing", mix_sources),
+    ("bpe", encode_texts),
+]
 
+#: Profiles, redaction and BPE are not for SQL; tests/llm/test_pipeline.py holds run() against plain Python.
 ORACLE_SQL = None
 
 

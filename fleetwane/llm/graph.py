@@ -25,7 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = store(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
         large = store(large, "large")
-        small_least = store(large.groupBy("a").agg(F.min("b").alias("m")), "small")
+        small_least = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(small_least, "a")
         small = joined.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(small_least.select("a", F.col("m").alias("b")))
         current = store(small.distinct(), "links")

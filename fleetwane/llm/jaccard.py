@@ -1,9 +1,10 @@
 """N-gram Jaccard join by prefix trees: documents that share most of their word 5-grams.
 
 A document's set holds its distinct 5-word shingles as 64-bit tokens whose order is global:
-shingles of rare words first (word counts over all documents, in a fixed number of bins),
-then by hash. Two sets can only be similar if their prefixes in that order meet, so classes
-of equal sets that share a prefix token form families; nothing outside a family can link to
+shingles with the rarest words first (word counts over all documents, in a fixed number of
+bins), then by hash. Similar sets share a certain number of tokens of their prefixes in that
+order, so a class of equal sets that shares too few with all others is done. The rest, tied
+by the prefix tokens that they share, form families; nothing outside a family can link to
 it. Within a family the ordered sets are stored in a trie; each set walks it, paths shared by
 several sets are counted once, and a subtree is left as soon as the tokens that remain cannot
 make up the overlap. Large families are cut into blocks that meet through pivots first; then
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -34,9 +35,12 @@ SHINGLE = 5
 PERCENT = 75
 
 #: Bins of the word counts, and bits of the order that come from them.
-BINS = 1 << 16
+BINS = 1 << 22
 ORDER_BITS = 12
 
+#: Of so many tokens of a set one more is taken into the prefix, and one more must be shared there.
+EXTRA = 20
+
 #: Sets that one block of a family holds, and sets that all its blocks share.
 BLOCK = 256
 PIVOTS = 8
@@ -48,11 +52,11 @@ _U = np.uint64
 
 
 def _bins(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> _U(48)).astype(np.int64)
+    return (hashes >> _U(42)).astype(np.int64)
 
 
 def word_bins(docs: DataFrame) -> np.ndarray:
-    """How rare words are: 16 times the binary logarithm of the count of each bin of words, over all documents."""
+    """How frequent words are: 8 times the binary logarithm of the count of each bin of words, over all documents."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         total = np.zeros(BINS, np.int64)
@@ -64,9 +68,9 @@ def word_bins(docs: DataFrame) -> np.ndarray:
         yield {"bin": some, "n": total[some]}
 
     counts = over_batches(docs.select("text"), counted, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n"))
-    levels = np.zeros(BINS, np.int32)
-    for r in counts.collect():  # BINS rows at most
-        levels[r["bin"]] = int(16 * np.log2(r["n"] + 1))
+    seen = counts.filter("n > 1").select("bin", F.log2("n").cast("float").alias("level")).toArrow()  # BINS rows at most
+    levels = np.zeros(BINS, np.uint16)
+    levels[seen.column("bin").to_numpy()] = 8 * seen.column("level").to_numpy()
     return levels
 
 
@@ -74,7 +78,7 @@ def sets(texts: list[str], levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(tokens, first): the sorted distinct tokens of text i are tokens[first[i]:first[i + 1]]."""
     words = Words(texts, lower=True)
     hashes = words.hashes()
-    level = levels[_bins(hashes)].astype(np.int64)
+    level = levels[_bins(hashes)]
     owner_all, tokens_all = [], []
     count = words.counts()
     for size in range(1, SHINGLE + 1):
@@ -88,8 +92,10 @@ def sets(texts: list[str], levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             lengths = np.maximum(count - SHINGLE + 1, 0)
             owner = np.repeat(np.arange(len(texts)), lengths)
             at = np.arange(len(owner)) - np.repeat(np.concatenate(([0], np.cumsum(lengths)))[:-1], lengths) + words.first[:-1][owner]
-        sums = np.concatenate(([0], np.cumsum(level)))
-        order = np.minimum(sums[at + size] - sums[at], (1 << ORDER_BITS) - 1).astype(_U)
+        rarest = level[at]
+        for i in range(1, size):
+            rarest = np.minimum(rarest, level[at + i])
+        order = np.minimum(rarest, (1 << ORDER_BITS) - 1).astype(_U)
         value = runs[at] if size == SHINGLE else mix(runs[at] + _U(size))
         owner_all.append(owner)
         tokens_all.append(order << _U(64 - ORDER_BITS) | value >> _U(ORDER_BITS))
@@ -111,8 +117,20 @@ def classes(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def prefix_sizes(sizes: np.ndarray) -> np.ndarray:
-    """So many first tokens of a set meet those of every similar set: size - ceil(PERCENT % of size) + 1."""
-    return np.where(sizes > 0, sizes - (sizes * PERCENT + 99) // 100 + 1, 0)
+    """The first tokens of each set that are looked at: size - ceil(PERCENT % of size) + 1, and size / EXTRA more.
+
+    Two similar sets of x and y tokens share at least min(x, y) / EXTRA + 1 of them.
+    """
+    return np.where(sizes > 0, sizes - (sizes * PERCENT + 99) // 100 + 1 + sizes // EXTRA, 0)
+
+
+def _prefix_size(size: Column) -> Column:
+    return (size - F.floor((size * PERCENT + 99) / 100) + 1 + F.floor(size / EXTRA)).cast("int")
+
+
+def _least_shared(size: Column) -> Column:
+    """A set of ``size`` shares so many prefix tokens with any similar set (which has PERCENT % of its tokens at least)."""
+    return 1 + F.floor(F.floor(size * PERCENT / 100) / EXTRA)
 
 
 def document_classes(docs: DataFrame, levels: np.ndarray) -> DataFrame:
@@ -134,62 +152,90 @@ def document_classes(docs: DataFrame, levels: np.ndarray) -> DataFrame:
 
 
 def _prefixes(levels: np.ndarray):
-    """Rows (token, cls, other): classes by prefix token. Where a chunk has several classes of a token, the
-    smallest stands for them and the others are tied to it at once (rows with ``other``)."""
+    """Rows (token, cls, n) of classes by prefix token, combined in each chunk of texts.
+
+    Where a chunk has several classes of a token, the first stands for them (n = -1); for the
+    others only the number of such tokens is kept (n > 0, with the class for a token). Else n = 0.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for start, end in chunks(texts):
                 tokens, first = sets(texts[start:end], levels)
-                size = np.diff(first)
+                own, chosen = np.unique(classes(tokens, first), return_index=True)  # equal sets of the chunk count once
+                size = np.diff(first)[chosen]
                 take = prefix_sizes(size)
-                owner = np.repeat(np.arange(len(size)), take)
-                at = np.arange(len(owner)) - np.repeat(np.cumsum(take) - take, take) + first[:-1][owner]
-                token, cls = tokens[at].view(np.int64), classes(tokens, first)[owner]
-                order = np.lexsort((cls, token))
+                at = np.arange(int(take.sum())) - np.repeat(np.cumsum(take) - take, take) + np.repeat(first[chosen], take)
+                token, cls = tokens[at].view(np.int64), np.repeat(own, take)
+                order = np.argsort(token, kind="stable")
                 token, cls = token[order], cls[order]
                 head = np.concatenate(([True], token[1:] != token[:-1])) if len(token) else np.zeros(0, bool)
-                least = cls[np.flatnonzero(head)][np.cumsum(head) - 1] if len(token) else cls
-                tied = cls != least
-                pairs = np.unique(np.column_stack((cls[tied], least[tied])), axis=0) if tied.any() else np.zeros((0, 2), np.int64)
-                none = np.zeros(int(head.sum()), bool)
+                places = np.flatnonzero(head)
+                several = np.diff(np.concatenate((places, [len(token)]))) > 1
+                tied, n = np.unique(cls[~head], return_counts=True)
                 yield {
-                    "token": np.concatenate((token[head], pairs[:, 0])),
-                    "cls": np.concatenate((cls[head], pairs[:, 0])),
-                    "other": pa.array(np.concatenate((cls[head], pairs[:, 1])), mask=np.concatenate((~none, np.zeros(len(pairs), bool)))),
+                    "token": np.concatenate((token[head], tied)),
+                    "cls": np.concatenate((cls[head], tied)),
+                    "n": np.concatenate((np.where(several, -1, 0), n)),
                 }
 
     return task
 
 
-def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Rows sorted by token -> (a, b): each class of a token with the token's first class."""
-    token, least = None, None
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows sorted by token -> (cls, n): how many of its prefix tokens each class shares with other classes."""
+    held_token = held_cls = held_n = np.zeros(0, np.int64)
     for batch in batches:
-        tokens, cls = batch.column("token").to_numpy(), batch.column("cls").to_numpy()
-        known = batch.column("other")
-        ready = known.is_valid().to_numpy(zero_copy_only=False)
-        a, b = [cls[ready]], [known.filter(known.is_valid()).to_numpy()]
-        tokens, cls = tokens[~ready], cls[~ready]
-        if len(tokens):
-            head = np.concatenate(([token is None or tokens[0] != token], tokens[1:] != tokens[:-1]))
-            firsts = cls[head]
-            group = np.cumsum(head)
-            own = np.concatenate(([0 if least is None else least], firsts))[group]
-            apart = own != cls
-            a.append(cls[apart])
-            b.append(own[apart])
-            token, least = tokens[-1], own[-1]
-        pairs = np.unique(np.column_stack((np.concatenate(a), np.concatenate(b))), axis=0)
-        yield {"a": pairs[:, 0], "b": pairs[:, 1]}
-
-
-def families(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """(cls, family) of all classes that share a prefix token with another one, directly or through others."""
-    rows = over_batches(docs.select("text"), _prefixes(levels), "token long, cls long, other long")
-    ties = over_batches(rows.repartition("token").sortWithinPartitions("token", "cls"), _ties, "a long, b long")
-    return store(components(ties).select(F.col("node").alias("cls"), F.col("component").alias("family")), "families")
+        token, cls, n = (batch.column(c).to_numpy() for c in ("token", "cls", "n"))
+        counted = n > 0
+        ready = (cls[counted], n[counted])
+        token, cls, n = (np.concatenate(x) for x in ((held_token, token[~counted]), (held_cls, cls[~counted]), (held_n, n[~counted])))
+        last = np.searchsorted(token, token[-1]) if len(token) else 0  # the last token may go on
+        more = _in_common(token[:last], cls[:last], n[:last])
+        held_token, held_cls, held_n = token[last:], cls[last:], n[last:]
+        yield _summed(*(np.concatenate(x) for x in zip(ready, more)))
+    yield _summed(*_in_common(held_token, held_cls, held_n))
+
+
+def _in_common(token: np.ndarray, cls: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 1 for each row whose token has rows of several classes."""
+    if not len(token):
+        return cls, n
+    group = np.cumsum(np.concatenate(([True], token[1:] != token[:-1]))) - 1
+    starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+    several = (np.minimum.reduceat(cls, starts) != np.maximum.reduceat(cls, starts)) | (np.minimum.reduceat(n, starts) < 0)
+    kept = cls[several[group]]
+    return kept, np.ones(len(kept), np.int64)
+
+
+def _summed(cls: np.ndarray, n: np.ndarray) -> dict:
+    names, place = np.unique(cls, return_inverse=True)
+    return {"cls": names, "n": np.bincount(place, n, len(names)).astype(np.int64) if len(names) else names}
+
+
+def candidates(docs: DataFrame, known: DataFrame, levels: np.ndarray) -> DataFrame:
+    """The stored (cls, size, id) of classes that share enough prefix tokens with others to be similar to one."""
+    rows = over_batches(docs.select("text"), _prefixes(levels), "token long, cls long, n int")
+    counts = over_batches(rows.repartition("token").sortWithinPartitions("token"), _shared, "cls long, n long")
+    shared = counts.groupBy("cls").agg(F.sum("n").alias("n"))
+    size = known.filter("cls is not null").groupBy("cls").agg(F.max("n_shingles").alias("size"), F.min("doc_id").alias("id"))
+    return store(size.join(shared, "cls").filter(F.col("n") >= _least_shared(F.col("size"))).select("cls", "size", "id"), "candidates")
+
+
+def families(own: DataFrame) -> DataFrame:
+    """The stored (cls, family, n) of candidates (cls, tokens) tied by shared prefix tokens; n is the family's size."""
+    size = F.size("tokens")
+    prefix = own.select("cls", size.alias("size"), F.explode(F.slice("tokens", F.lit(1), _prefix_size(size))).alias("token"))
+    for _ in range(2):  # what shared its tokens with classes that are gone goes as well
+        common = store(prefix.groupBy("token").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).filter("least < most"), "common")
+        prefix = store(prefix.drop("least").join(common.select("token", "least"), "token"), "shared")
+        enough = prefix.groupBy("cls").agg(F.count("*").alias("n"), F.max("size").alias("s")).filter(F.col("n") >= _least_shared(F.col("s")))
+        prefix = prefix.join(store(enough.select("cls"), "enough"), "cls")
+    least = store(prefix.groupBy("token").agg(F.min("cls").alias("b")), "least")
+    ties = prefix.select("cls", "token").join(least, "token").select(F.col("cls").alias("a"), "b").distinct()
+    found = store(components(ties).select(F.col("node").alias("cls"), F.col("component").alias("family")), "families")
+    return store(found.join(found.groupBy("family").agg(F.count("*").alias("n")), "family"), "families")
 
 
 # ---------------------------------------------------------------- the trie
@@ -304,40 +350,31 @@ def _by_part(rows: DataFrame) -> DataFrame:
     return over_batches(dealt, _joined, "a long, b long")
 
 
-def _family_sets(docs: DataFrame, known: DataFrame, levels: np.ndarray, found: DataFrame) -> DataFrame:
-    """(family, cls, n, tokens) of one document of each class in a family, n being the family's classes."""
-    size = found.groupBy("family").agg(F.count("*").alias("n"))
-    chosen = known.groupBy("cls").agg(F.min("doc_id").alias("id")).join(found, "cls").join(size, "family")
-    texts = docs.select("doc_id", "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("id"))).select("text", "family", "cls", "n")
+def _candidate_sets(docs: DataFrame, chosen: DataFrame, levels: np.ndarray) -> DataFrame:
+    """The stored (cls, tokens) of one document of each class."""
+    texts = docs.select("doc_id", "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("id"))).select("text", "cls")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        seen: set[int] = set()  # of this task's part of the families
+        seen: set[int] = set()  # of this task's part of the classes
         for batch in batches:
             texts, wanted = [t or "" for t in batch.column("text").to_pylist()], batch.column("cls").to_pylist()
-            family, n = batch.column("family").to_pylist(), batch.column("n").to_pylist()
             for start, end in chunks(texts):
                 tokens, first = sets(texts[start:end], levels)
-                own = classes(tokens, first).tolist()
-                right = []
+                own, right = classes(tokens, first).tolist(), []
                 for i, cls in enumerate(own):
+                    # rows of one id with different texts: only the class that was asked for; equal ones: once
                     if cls == wanted[start + i] and cls not in seen:
                         seen.add(cls)
                         right.append(i)
-                yield {
-                    "family": [family[start + i] for i in right],
-                    "cls": [own[i] for i in right],
-                    "n": [n[start + i] for i in right],
-                    "tokens": [tokens[first[i] : first[i + 1]].view(np.int64) for i in right],
-                }
+                yield {"cls": [own[i] for i in right], "tokens": [tokens[first[i] : first[i + 1]].view(np.int64) for i in right]}
 
-    # rows of one id with different texts: only the class that was asked for; equal ones: once
-    return store(over_batches(texts, task, "family long, cls long, n long, tokens array<long>"), "sets")
+    return store(over_batches(texts, task, "cls long, tokens array<long>"), "sets")
 
 
 def links(docs: DataFrame, known: DataFrame, levels: np.ndarray) -> DataFrame:
     """(a, b) links between classes; together they connect what is similar."""
-    found = families(docs, levels)
-    own = _family_sets(docs, known, levels, found)
+    sets_ = _candidate_sets(docs, candidates(docs, known, levels), levels)
+    own = store(sets_.join(families(sets_), "cls"), "family-sets")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     part = F.pmod(F.xxhash64("cls"), blocks).cast("int")
     first = own.withColumn("part", part).withColumn("role", F.lit(2))

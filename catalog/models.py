@@ -11,6 +11,7 @@ from fleetwane.operators import health, split
 from fleetwane.operators.columns import feature_columns
 from fleetwane.operators.metrics import METRICS
 from fleetwane.plans import jobs
+from fleetwane.session import store
 
 R = f"WITH {T.RUNS}"
 METRIC_SQL = {"RMSE": "RMSE", "MAE": "MAE", "R2": "R2", "Max Error": "max_error"}
@@ -61,9 +62,11 @@ def _(spark, folder):
 
 
 def _features(spark, folder):
-    return health.sensor_health_features(
+    """Computed once, for both sides of the split and for scoring."""
+    features = health.sensor_health_features(
         T.telemetry(spark, folder), T.TELEMETRY_SENSORS, failure_threshold=30, with_score=True, order=T.ORDER
     )
+    return store(features, "features")
 
 
 def _split(features):
@@ -104,8 +107,8 @@ def _(spark, folder):
 
 @register("random_search")
 def _(spark, folder):
-    trials = [dict(SMALL[models.FOREST], max_depth=d) for d in (3, 5)]
-    _, table = search.random_search(models.FOREST, *_split(_features(spark, folder)), trials=trials)
+    grid = search.GRIDS[models.FOREST] | {"n_estimators": [5, 10], "max_depth": [3, 5]}
+    _, table = search.random_search(models.FOREST, *_split(_features(spark, folder)), grid=grid, n=2)
     return runs.best_trial(table)
 
 

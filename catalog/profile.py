@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from catalog import tables as T
 from catalog.registry import r, register, rounded
 from fleetwane.operators import correlation, profile, quality
@@ -114,6 +116,19 @@ def _(spark, folder):
     return rounded(profile.percentiles(T.bulk(spark, folder), T.BULK_SENSORS, PERCENTILES))
 
 
+@register(
+    "percentiles_magnitudes",
+    f"WITH {T.BULK}, wide AS (SELECT sensor_3 * power(2.0, (l_orderkey * 7 + l_linenumber) % 301 - 150) AS v FROM bulk) "
+    + " UNION ALL ".join(f"SELECT CAST({p} AS DOUBLE) AS probability, {r(f'log2(quantile_cont(v, {p}))', 'log2_value')} FROM wide" for p in PERCENTILES),
+)
+def _(spark, folder):
+    """Readings over many magnitudes, when a task may sort no more than 1,000 of them."""
+    exponent = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 301 - 150
+    wide = T.bulk(spark, folder).select((F.col("sensor_3") * F.pow(F.lit(2.0), exponent)).alias("v"))
+    found = profile.percentiles(wide, ["v"], PERCENTILES, sortable=1000)
+    return rounded(found.select("probability", F.log2("value").alias("log2_value")))
+
+
 @register("percentiles_narrowed", PERCENTILES_SQL)
 def _(spark, folder):
     """The same when a task may sort no more than 100 readings."""

@@ -36,13 +36,16 @@ def _(spark, folder):
 
 @register(
     "read_csv_table",
-    f"WITH {T.LABELED} SELECT unit, time_in_cycles, CAST(RUL AS DOUBLE) AS \"RUL\", failure_binary, "
-    f"{r('sensor_2', 'sensor_2')}, {r('sensor_4', 'sensor_4')} FROM labeled",
+    f"WITH {T.LABELED} SELECT 'U-' || unit AS unit, time_in_cycles, CAST(RUL AS DOUBLE) AS \"RUL\", failure_binary, "
+    f"{r('sensor_2', 'sensor_2')}, {r('sensor_4', 'sensor_4')}, 'reading ' || reading_id AS note FROM labeled",
 )
 def _(spark, folder):
+    """With unit ids that are texts and a column of texts that is not in the data model."""
     path = _path(spark, "labelled") + ".csv"
     df = label_failures(T.telemetry(spark, folder))
-    writers.write_table(df.select("unit", "time_in_cycles", "RUL", "failure_binary", "sensor_2", "sensor_4"), path, format="csv")
+    unit = F.concat(F.lit("U-"), F.col("unit").cast("string")).alias("unit")
+    note = F.concat(F.lit("reading "), F.col("reading_id").cast("string")).alias("note")
+    writers.write_table(df.select(unit, "time_in_cycles", "RUL", "failure_binary", "sensor_2", "sensor_4", note), path, format="csv")
     return rounded(readers.read_csv_table(spark, path))
 
 

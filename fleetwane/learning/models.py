@@ -1,15 +1,17 @@
 """Tree regressors on Spark ML.
 
 Each ``train_*`` builder maps the search parameters of a model family to a Spark
-estimator. Not available in Spark, and therefore not imitated: a minimum number of rows
-to split a node, column sampling per tree (Spark samples per node) and leaf-wise growth
+estimator. Not available in Spark, and therefore not imitated or drawn by the search: a
+minimum number of rows to split a node; column sampling per tree (Spark samples per node) and leaf-wise growth
 (depth-limited trees with as many leaves are used).
 """
 
 from __future__ import annotations
 
+import json
 import math
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -24,6 +26,7 @@ from fleetwane.learning import runs as R
 from fleetwane.operators.columns import align_columns, fill_missing_features
 from fleetwane.operators.metrics import regression_metrics
 from fleetwane.schema import RUL
+from fleetwane.session import scratch_dir
 from fleetwane.sources.writers import read_feature_columns, write_feature_columns, write_importances
 
 # Memory per task for split statistics: more nodes are grown per pass over the data.
@@ -36,7 +39,7 @@ FOREST, BOOSTED, LEAFWISE = "forest", "boosted", "boosted_leafwise"
 
 
 def train_forest(params: Mapping) -> RandomForestRegressor:
-    """n_estimators, max_depth (None: unlimited), min_samples_leaf, max_features, random_state."""
+    """n_estimators, max_depth (None: as deep as Spark grows), min_samples_leaf, max_features, bootstrap, random_state."""
     return RandomForestRegressor(
         labelCol=RUL,
         maxMemoryInMB=SPLIT_MEMORY_MB,
@@ -44,6 +47,7 @@ def train_forest(params: Mapping) -> RandomForestRegressor:
         maxDepth=params.get("max_depth") or MAX_DEPTH,
         minInstancesPerNode=params.get("min_samples_leaf", 1),
         featureSubsetStrategy=params.get("max_features") or "all",
+        bootstrap=params.get("bootstrap", True),
         seed=params.get("random_state", 42),
     )
 
@@ -77,14 +81,13 @@ def train_boosted_leafwise(params: Mapping) -> GBTRegressor:
 ESTIMATORS = {FOREST: train_forest, BOOSTED: train_boosted, LEAFWISE: train_boosted_leafwise}
 
 
-def model_pipeline(family: str, params: Mapping, features: Sequence[str]) -> Pipeline:
-    """Median imputation (learnt from the training side), vector assembly, regressor."""
+def preparation(features: Sequence[str]) -> Pipeline:
+    """Median imputation (learnt from the training side) and vector assembly."""
     filled = [f"{c}__filled" for c in features]
     return Pipeline(
         stages=[
             Imputer(strategy="median", inputCols=list(features), outputCols=filled),
             VectorAssembler(inputCols=filled, outputCol="features"),
-            ESTIMATORS[family](params),
         ]
     )
 
@@ -106,16 +109,19 @@ def feature_importances(model: PipelineModel, *, splits: bool = False) -> DataFr
     if not splits:
         rows = list(zip(names, (float(x) for x in trees.featureImportances.toArray())))
         return sort_importances(spark.createDataFrame(rows, "feature string, importance double"))
-    counts = dict.fromkeys(range(len(names)), 0)
-    for tree in trees.trees:
-        for line in tree.toDebugString.splitlines():
-            text = line.strip()
-            if text.startswith("If (feature "):
-                counts[int(text.split()[2])] += 1
-    rows = [(names[i], float(n)) for i, n in counts.items()]
+    nodes = _tree_nodes(spark, trees).filter("nodeData.leftChild >= 0")
+    counts = {r[0]: r[1] for r in nodes.groupBy("nodeData.split.featureIndex").count().collect()}  # one row per feature
+    rows = [(name, float(counts.get(i, 0))) for i, name in enumerate(names)]
     return sort_importances(spark.createDataFrame(rows, "feature string, importance double"))
 
 
+def _tree_nodes(spark: SparkSession, trees) -> DataFrame:
+    """The node table of a saved model: one row per node of every tree."""
+    path = f"{scratch_dir(spark)}/trees-{uuid.uuid4().hex}"
+    trees.write().save(path)
+    return spark.read.parquet(f"{path}/data")
+
+
 def sort_importances(importances: DataFrame) -> DataFrame:
     return importances.orderBy(F.desc("importance"), "feature")
 
@@ -129,6 +135,7 @@ class TrainedRun:
     features: list[str]
     model: PipelineModel
     metrics: dict[str, float]
+    example: DataFrame | None = None
     run_id: str = field(default_factory=R.new_run_id)
     started: float = field(default_factory=time.time)
 
@@ -141,46 +148,67 @@ def train_and_evaluate(
     family: str, params: Mapping, train: DataFrame, test: DataFrame, features: Sequence[str]
 ) -> TrainedRun:
     """Fit on ``train``, predict ``test``, compute the metrics."""
-    with model_inputs(train, test, features) as (prepared, held_out):
-        return fit_and_measure(family, params, prepared, held_out, features)
+    with model_inputs(train, test, features) as inputs:
+        return fit_and_measure(family, params, inputs)
+
+
+@dataclass(frozen=True)
+class ModelInputs:
+    """Both sides as vectors, the fitted preparation, and a few rows as an example."""
+
+    features: list[str]
+    prepared: PipelineModel
+    train: DataFrame
+    test: DataFrame
+    example: DataFrame
 
 
 @contextmanager
 def model_inputs(train: DataFrame, test: DataFrame, features: Sequence[str]):
-    """Both sides as model inputs, kept for the passes of training.
+    """Both sides as model inputs, prepared once and kept for the passes of training.
 
-    A fit reads its input many times (imputation, split candidates, trees); without this
-    each pass would compute the features again.
+    A fit reads its input many times (split candidates, trees), and a search fits many
+    models; imputer and assembler are fitted and applied once for all of them. Give both
+    sides as filters of one stored table, else the features are computed for each.
     """
-    tables = [prepare_model_input(t, features, keep=[RUL]).persist() for t in (train, test)]
+    sides = [prepare_model_input(t, features, keep=[RUL]) for t in (train, test)]
+    prepared = preparation(features).fit(sides[0])
+    tables = [prepared.transform(side).select(*features, RUL, "features").persist() for side in sides]
+    example = local_copy(sides[1].select(*features), 5)
     try:
-        yield tables
+        yield ModelInputs(list(features), prepared, *tables, example)
     finally:
         for table in tables:
             table.unpersist()
 
 
-def fit_and_measure(
-    family: str, params: Mapping, train: DataFrame, test: DataFrame, features: Sequence[str]
-) -> TrainedRun:
+def local_copy(df: DataFrame, rows: int) -> DataFrame:
+    """The first few rows, taken now."""
+    return df.sparkSession.createDataFrame(df.limit(rows).collect(), df.schema)
+
+
+def fit_and_measure(family: str, params: Mapping, inputs: ModelInputs) -> TrainedRun:
     """Train and measure on prepared model inputs."""
     started = time.time()
-    model = model_pipeline(family, params, features).fit(train)
-    metrics = regression_metrics(model.transform(test)).first().asDict()
-    return TrainedRun(family, dict(params), list(features), model, metrics, started=started)
+    trees = ESTIMATORS[family](params).fit(inputs.train)
+    metrics = regression_metrics(trees.transform(inputs.test)).first().asDict()
+    model = PipelineModel([*inputs.prepared.stages, trees])
+    return TrainedRun(family, dict(params), inputs.features, model, metrics, inputs.example, started=started)
 
 
-def save_run(spark: SparkSession, run: TrainedRun, folder: str, *, experiment: str, example: DataFrame | None = None) -> str:
-    """Store the model with its feature list, importances and a small input example, and log the run.
+def save_run(spark: SparkSession, run: TrainedRun, folder: str, *, experiment: str) -> str:
+    """Store the model with its feature list, signature, importances and a small input example, and log the run.
 
-    Layout: ``folder/models/<run_id>/{model,features,importances,example}`` and ``folder/runs``.
+    Layout: ``folder/models/<run_id>/{model,features,signature,importances,example}`` and ``folder/runs``.
     """
     base = f"{folder}/models/{run.run_id}"
     run.model.write().overwrite().save(f"{base}/model")
     write_feature_columns(spark, run.features, f"{base}/features")
+    signature = {"inputs": {name: "double" for name in run.features}, "outputs": {"prediction": "double"}}
+    spark.createDataFrame([(json.dumps(signature),)], "signature string").coalesce(1).write.mode("overwrite").text(f"{base}/signature")
     write_importances(run.importances, f"{base}/importances")
-    if example is not None:
-        prepare_model_input(example.limit(5), run.features).coalesce(1).write.mode("overwrite").parquet(f"{base}/example")
+    if run.example is not None:
+        run.example.coalesce(1).write.mode("overwrite").parquet(f"{base}/example")
     return R.append_run(
         spark,
         f"{folder}/runs",
@@ -197,3 +225,20 @@ def load_model(spark: SparkSession, folder: str, run_id: str) -> tuple[PipelineM
     """The model of a run and its feature names in training order."""
     base = f"{folder}/models/{run_id}"
     return PipelineModel.load(f"{base}/model"), read_feature_columns(spark, f"{base}/features")
+
+
+def load_signature(spark: SparkSession, folder: str, run_id: str) -> dict[str, dict[str, str]]:
+    """The inputs and outputs of a stored model: name -> type."""
+    return json.loads(spark.read.text(f"{folder}/models/{run_id}/signature").first()[0])
+
+
+def check_signature(df: DataFrame, signature: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """``df`` if the inputs that it has are numbers, as the stored model takes them; missing ones are filled in later."""
+    wrong = {c: t for c, t in df.dtypes if c in signature["inputs"] and not _is_number(t)}
+    if wrong:
+        raise TypeError(f"the model takes numbers, not {wrong}")
+    return df
+
+
+def _is_number(kind: str) -> bool:
+    return kind.startswith("decimal") or kind in ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean")

@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame
 
 from fleetwane.learning.models import BOOSTED, FOREST, LEAFWISE, TrainedRun, fit_and_measure, model_inputs
 
-# The parameter grids of the three model families.
+# The parameter grids of the three model families, without the minimum number
+# of rows to split a node (2, 5, 10), which Spark's trees do not have.
 GRIDS: dict[str, dict[str, list]] = {
     FOREST: {
         "n_estimators": [50, 100, 150, 200],
         "max_depth": [None, 5, 10, 15],
-        "min_samples_split": [2, 5, 10],
         "min_samples_leaf": [1, 2, 4],
         "max_features": ["sqrt", "log2"],
         "random_state": [42],
@@ -52,21 +52,22 @@ def random_search(
     features: Sequence[str],
     *,
     trials: Sequence[Mapping] | None = None,
+    grid: Mapping[str, Sequence] | None = None,
     n: int = 10,
     seed: int = 42,
     parallel: int = 2,
 ) -> tuple[list[TrainedRun], DataFrame]:
-    """Train every trial on the same cached tables.
+    """Train every trial on the same prepared tables.
 
     Returns the runs and the trial table (trial, params, metrics); the best trial is
     ``runs.best_trial(table)``. Each fit is itself a distributed job; a few run at once
     so that the cluster stays busy between the stages of one fit.
     """
-    trials = sample_params(GRIDS[family], n, seed=seed) if trials is None else list(trials)
+    trials = sample_params(grid or GRIDS[family], n, seed=seed) if trials is None else list(trials)
     spark = train.sparkSession
-    with model_inputs(train, test, features) as tables, ThreadPoolExecutor(parallel) as pool:
+    with model_inputs(train, test, features) as inputs, ThreadPoolExecutor(parallel) as pool:
         in_session = inheritable_thread_target(spark)
-        fit = in_session(lambda params: fit_and_measure(family, params, *tables, features))
+        fit = in_session(lambda params: fit_and_measure(family, params, inputs))
         runs = list(pool.map(fit, trials))
     rows = [
         (i, json.dumps(r.params, sort_keys=True), r.run_id, *(r.metrics[m] for m in ("MAE", "RMSE", "R2", "Max Error")))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetwane.functions import health as H
-from fleetwane.operators.panel import HOT_ROWS, first_n_per_unit, join_per_unit, over_units
+from fleetwane.operators.panel import first_n_per_unit, join_per_unit, over_units
 from fleetwane.schema import FAILURE, RUL, TIME, UNIT, require_columns
 
 BASELINE, DEGRADED = "_baseline", "_degraded"
@@ -72,7 +72,7 @@ def rolling_features(
     features: Sequence[str] = ROLLING_SUFFIXES,
     per_unit: Mapping[str, Column] | None = None,
     order: Sequence[str] = (TIME,),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add rolling mean, rolling sample deviation and change from the previous row.
 
@@ -95,7 +95,7 @@ def rolling_band(
     *,
     window: int = 10,
     order: Sequence[str] = (TIME,),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """The raw series of a sensor with rolling mean and mean -/+ one rolling deviation."""
     rolled = rolling_features(
@@ -115,7 +115,7 @@ def sensor_health_features(
     failure_threshold: int | None = None,
     with_score: bool = False,
     order: Sequence[str] = (TIME,),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """All health features in one pass: baseline, flag and rolling features per sensor.
 

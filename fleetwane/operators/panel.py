@@ -4,7 +4,7 @@ Two tools:
 
 ``with_unit_aggregates``
     brings an aggregate of a unit back to each of its rows. The aggregate is combined
-    on the map side and joined by ``join_per_unit``: broadcast up to a checked size, so that rows are not shuffled at all; beyond that shuffled, hot units apart.
+    on the map side, written once and joined as a table of known size (``join_per_unit``).
 
 ``over_units``
     evaluates *ordered* window expressions (rolling frames, lag) per unit. A window
@@ -22,14 +22,10 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from fleetwane.schema import TIME, UNIT
-from fleetwane.session import local_table, store
+from fleetwane.session import store
 
-# Rows of one unit that a single task may sort; larger units are cut into segments.
-HOT_ROWS = 2_000_000
-# Values (rows x columns) of a per-unit table that is broadcast: numbers, so about 160 MB.
-BROADCAST_VALUES = 20_000_000
-# A shuffle into many more partitions costs more than somewhat longer segments.
-MAX_SEGMENTS = 16_384
+# Values (rows x columns) of one unit that a single task may sort; larger units are cut into segments.
+HOT_VALUES = 40_000_000
 
 _SEGMENT, _ARRIVAL, _COPY, _RANK, _TARGETS = "__segment", "__arrival", "__copy", "__rank", "__targets"
 
@@ -39,45 +35,25 @@ def ascending(order: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in order]
 
 
-def join_per_unit(
-    df: DataFrame,
-    per_unit: DataFrame,
-    *,
-    how: str = "left",
-    unit: str = UNIT,
-    broadcast_values: int = BROADCAST_VALUES,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def join_per_unit(df: DataFrame, per_unit: DataFrame, *, how: str = "left", unit: str = UNIT) -> DataFrame:
     """Join a table with one row per unit to the rows of a panel ('left', 'inner', 'left_semi').
 
-    Up to ``broadcast_values`` values, counted first, ``per_unit`` is broadcast and the panel
-    is not shuffled. Beyond, the rows are shuffled by unit, except those of hot units,
-    whose few partners are broadcast, and those without a unit, which have no partner.
+    ``per_unit`` is computed once and stored, so its size in bytes is known: below the
+    session's threshold it is broadcast and the panel is not shuffled. Above it both sides
+    are scans that are shuffled by unit, and adaptive execution splits what a hot unit
+    makes large (it could not if one side were an aggregate with that partitioning).
     """
-    if per_unit.count() * len(per_unit.columns) <= broadcast_values:
-        return df.join(F.broadcast(per_unit), unit, how)
-    rows = df.filter(F.col(unit).isNotNull())
-    hot = hot_units(rows, unit=unit, hot_rows=hot_rows)
-    if hot:
-        keys = _key_table(df, hot, unit)
-        few = F.broadcast(per_unit.join(keys, unit, "left_semi"))
-        regular = rows.join(keys, unit, "left_anti").join(per_unit, unit, how)
-        joined = regular.unionByName(rows.join(keys, unit, "left_semi").join(few, unit, how))
-    else:
-        joined = rows.join(per_unit, unit, how)
-    if how == "left":
-        joined = joined.unionByName(df.filter(F.col(unit).isNull()), allowMissingColumns=True)
-    return joined
-
-
-def with_unit_aggregates(df: DataFrame, aggregates: Mapping[str, Column], *, unit: str = UNIT, **limits: int) -> DataFrame:
+    return df.join(store(per_unit, "per-unit"), unit, how)
+
+
+def with_unit_aggregates(df: DataFrame, aggregates: Mapping[str, Column], *, unit: str = UNIT) -> DataFrame:
     """Add per-unit aggregates to every row; rows without a unit get NULL."""
     per_unit = (
         df.filter(F.col(unit).isNotNull())
         .groupBy(unit)
         .agg(*(expression.alias(name) for name, expression in aggregates.items()))
     )
-    return join_per_unit(df, per_unit, unit=unit, **limits).select(*df.columns, *aggregates)
+    return join_per_unit(df, per_unit, unit=unit).select(*df.columns, *aggregates)
 
 
 def first_n_per_unit(df: DataFrame, n: int, *, unit: str = UNIT, order: Sequence[str] = (TIME,)) -> DataFrame:
@@ -95,20 +71,10 @@ def first_n_per_unit(df: DataFrame, n: int, *, unit: str = UNIT, order: Sequence
     )
 
 
-def hot_units(df: DataFrame, *, unit: str = UNIT, hot_rows: int = HOT_ROWS) -> list[tuple]:
-    """(unit, rows) of units with more than ``hot_rows`` rows.
-
-    One aggregation over the unit column alone. The list has at most
-    total rows / ``hot_rows`` entries.
-    """
+def hot_units(df: DataFrame, *, unit: str = UNIT, hot_rows: int) -> DataFrame:
+    """The stored table (unit, rows) of units with more than ``hot_rows`` rows; one aggregation over the unit column alone."""
     counts = df.filter(F.col(unit).isNotNull()).groupBy(unit).agg(F.count(F.lit(1)).alias("rows"))
-    return [(row[0], row[1]) for row in counts.filter(F.col("rows") > hot_rows).collect()]
-
-
-def _key_table(df: DataFrame, hot: list[tuple], unit: str) -> DataFrame:
-    """The hot units, broadcast: at most total rows / ``hot_rows`` keys."""
-    kind = df.schema[unit].dataType.simpleString()
-    return F.broadcast(local_table(df.sparkSession, [(key,) for key, _ in hot], f"`{unit}` {kind}"))
+    return store(counts.filter(F.col("rows") > hot_rows), "hot-units")
 
 
 def over_units(
@@ -121,7 +87,7 @@ def over_units(
     head_rows: int = 0,
     unit: str = UNIT,
     order: Sequence[str] = (TIME,),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add per-unit columns to a panel with one shuffle.
 
@@ -133,24 +99,27 @@ def over_units(
     head
         name -> (aggregate function, column) over the first ``head_rows`` rows of the unit.
 
-    Rows without a unit are dropped. ``order`` should be total: which of two rows that tie
-    comes first is not defined.
+    Rows without a unit are dropped. Rows that tie in ``order`` come as they arrive (by
+    partition of the input, then place in it), for units of any size.
     """
     per_unit, head = dict(per_unit or {}), dict(head or {})
+    columns = df.columns
     df = df.filter(F.col(unit).isNotNull())
-    hot = hot_units(df, unit=unit, hot_rows=hot_rows)
-    if not hot:
-        return _whole_units(df, ordered, per_unit, head, head_rows, unit, order)
-
-    keys = _key_table(df, hot, unit)
-    regular = _whole_units(
-        df.join(keys, unit, "left_anti"), ordered, per_unit, head, head_rows, unit, order
-    )
-    segments = min(math.ceil(2 * sum(rows for _, rows in hot) / hot_rows), MAX_SEGMENTS)
+    rows_at_once = hot_rows or max(1, HOT_VALUES // len(columns))
+    hot = hot_units(df, unit=unit, hot_rows=rows_at_once)
+    many = hot.agg(F.sum("rows")).first()[0]
+    df = df.withColumn(_ARRIVAL, F.monotonically_increasing_id())
+    order = (*order, _ARRIVAL)
+    if not many:
+        return _whole_units(df, ordered, per_unit, head, head_rows, unit, order).drop(_ARRIVAL)
+
+    keys = hot.select(unit)
+    regular = _whole_units(df.join(keys, unit, "left_anti"), ordered, per_unit, head, head_rows, unit, order)
+    segments = math.ceil(2 * many / rows_at_once)
     split = _split_units(
         df.join(keys, unit, "left_semi"), ordered, lookback, per_unit, head, head_rows, unit, order, segments
     )
-    return regular.unionByName(split)
+    return regular.unionByName(split).drop(_ARRIVAL)
 
 
 def _whole_units(df, ordered, per_unit, head, head_rows, unit, order) -> DataFrame:
@@ -172,12 +141,10 @@ def _whole_units(df, ordered, per_unit, head, head_rows, unit, order) -> DataFra
 
 def _split_units(df, ordered, lookback, per_unit, head, head_rows, unit, order, segments) -> DataFrame:
     columns = df.columns
-    # Written twice on purpose: the arrival number must be fixed before it takes part in
-    # the range bounds, and the bounds must be fixed before two branches rely on them.
+    # Written once, so that the bounds of the segments stay fixed for the branches below.
     # Only rows of hot units come here.
-    arrived = store(df.withColumn(_ARRIVAL, F.monotonically_increasing_id()), "arrived")
-    sequence = (*order, _ARRIVAL)
-    ranges = arrived.repartitionByRange(segments, unit, *ascending(sequence))
+    sequence = order
+    ranges = df.repartitionByRange(segments, unit, *ascending(sequence))
     rows = store(ranges.withColumn(_SEGMENT, F.spark_partition_id()), "segments")
 
     # The last rows of each segment, copied to the following segments that reach them.
@@ -200,14 +167,13 @@ def _split_units(df, ordered, lookback, per_unit, head, head_rows, unit, order,
         .drop(_COPY)
     )
 
-    # One row per hot unit, so few enough to broadcast.
     if per_unit:
         totals = rows.groupBy(unit).agg(*(expression.alias(name) for name, expression in per_unit.items()))
-        result = result.join(F.broadcast(totals), unit, "left")
+        result = join_per_unit(result, totals, unit=unit)
     if head:
         start = first_n_per_unit(rows, head_rows, unit=unit, order=sequence)
         firsts = start.groupBy(unit).agg(
             *(aggregate(F.col(column)).alias(name) for name, (aggregate, column) in head.items())
         )
-        result = result.join(F.broadcast(firsts), unit, "left")
+        result = join_per_unit(result, firsts, unit=unit)
     return result.select(*columns, *per_unit, *head, *ordered)

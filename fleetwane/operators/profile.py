@@ -17,11 +17,11 @@ from fleetwane.functions.health import null_if_nan
 from fleetwane.operators.quality import per_column
 from fleetwane.session import local_table
 
-# Readings of one column that one task may sort; beyond that the range is narrowed first.
+# Readings of one column that one task may sort; beyond that they are narrowed first.
 SORTABLE = 100_000
-# Cells per narrowing pass, and the most passes: each leaves about 1/CELLS of the range.
-CELLS = 4096
-MAX_PASSES = 8
+# Approximate quantiles per narrowing pass, and their accuracy (rank error 1 / ACCURACY of the readings).
+QUANTILES = 500
+ACCURACY = 10_000
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -44,16 +44,15 @@ def _inside(values: DataFrame, cells: list[tuple]) -> DataFrame:
     return values.join(F.broadcast(table), "column").filter(F.col("value").between(F.col("low"), F.col("high")))
 
 
-def _placed(counted: DataFrame, targets: list[tuple], order: str) -> DataFrame:
-    """The counted group that holds each (column, cell, rank, place), with the place inside it."""
+def _placed(counted: DataFrame, targets: list[tuple]) -> DataFrame:
+    """The counted value that holds each (column, cell, rank, place)."""
     table = local_table(counted.sparkSession, targets, "column string, cell int, rank bigint, place bigint")
-    upto = F.sum("n").over(Window.partitionBy("column", "cell").orderBy(order))
+    upto = F.sum("n").over(Window.partitionBy("column", "cell").orderBy("value"))
     before = F.col("upto") - F.col("n")
     return (
         counted.withColumn("upto", upto)
         .join(F.broadcast(table), ["column", "cell"])
         .filter((F.col("place") >= before) & (F.col("place") < F.col("upto")))
-        .withColumn("place", F.col("place") - before)
     )
 
 
@@ -62,34 +61,88 @@ def order_statistics(
 ) -> DataFrame:
     """(column, rank, value): exact order statistics, ranks counted from 0.
 
-    ``ranks`` holds (count, smallest, largest, wanted ranks) per column. While the
-    readings around a wanted rank are more than one task should sort, they are counted in
-    equal-width cells and the rank is followed into its cell; only those few cell bounds
-    come to the driver. What is left is grouped by value and counted off. Equal readings
-    are counted, never sorted, so copies of one value cost nothing.
+    ``ranks`` holds (count, smallest, largest, wanted ranks) per column. What ``narrowed``
+    leaves around the wanted ranks is grouped by value and counted off. Equal readings are
+    counted, never sorted, so copies of one value cost nothing.
+    """
+    cells, targets = _cells(narrowed(values, ranks, sortable=sortable))
+    counted = _inside(values, cells).groupBy("column", "cell", "value").agg(F.count(F.lit(1)).alias("n"))
+    return _placed(counted, targets).select("column", "rank", "value")
+
+
+def narrowed(
+    values: DataFrame, ranks: dict[str, tuple[int, float, float, set[int]]], *, sortable: int = SORTABLE
+) -> dict[tuple[str, int], tuple[float, float, int, int]]:
+    """(column, rank) -> (low, high, readings, place among them): intervals with at most ``sortable`` readings, or of one value.
+
+    Each pass brackets a wanted rank between two approximate quantiles of the readings that
+    are left, so it is their ranks that are cut, whatever their magnitudes. Then the readings
+    below, at, between and above the two are counted exactly: the rank is on one of the two
+    values, between them (a few thousandths of the readings), or, if the sketch was off, to
+    one side. Every pass leaves fewer readings, so no number of passes is set.
     """
-    # rank -> (low, high, readings, place among them)
     found = {
         (column, rank): (low, high, n, rank)
         for column, (n, low, high, wanted) in ranks.items()
         for rank in wanted
     }
-    for _ in range(MAX_PASSES):
-        wide = {t: f for t, f in found.items() if f[2] > sortable and f[0] < f[1]}
-        if not wide:
-            break
-        cells, targets = _cells(wide)
-        part = _cell(F.col("value"), F.col("low"), F.col("high"), CELLS)
-        counted = (
-            _inside(values, cells)
-            .groupBy("column", "cell", part.alias("part"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    while wide := {t: f for t, f in found.items() if f[2] > sortable and f[0] < f[1]}:
+        cells, _ = _cells(wide)
+        sketch = F.percentile_approx("value", [i / QUANTILES for i in range(QUANTILES + 1)], ACCURACY)
+        sketches = _inside(values, cells).groupBy("column", "cell").agg(sketch.alias("q")).collect()  # one row per cell
+        quantiles = {(r["column"], r["cell"]): r["q"] for r in sketches}
+        numbers = {(column, low, high): number for column, number, low, high in cells}
+        brackets = []
+        for (column, rank), (low, high, n, place) in wide.items():
+            number, at = numbers[column, low, high], place / n * QUANTILES
+            q = quantiles[column, number]
+            brackets.append((column, number, rank, place, q[max(0, math.floor(at) - 1)], q[min(QUANTILES, math.ceil(at) + 1)]))
+        for row in _counted_brackets(values, cells, brackets).collect():  # one row per wanted rank
+            found[row["column"], row["rank"]] = _followed(row)
+    return found
+
+
+def _counted_brackets(values: DataFrame, cells: list[tuple], brackets: list[tuple]) -> DataFrame:
+    """Readings of each rank's interval below, at, between and above the ends ``a`` and ``b`` of its bracket."""
+    schema = "column string, cell int, rank bigint, place bigint, a double, b double"
+    table = local_table(values.sparkSession, brackets, schema)
+    value, a, b = F.col("value"), F.col("a"), F.col("b")
+    between = (value > a) & (value < b)
+    return (
+        _inside(values, cells)
+        .join(F.broadcast(table), ["column", "cell"])
+        .groupBy("column", "rank", "place", "a", "b")
+        .agg(
+            F.count_if(value < a).alias("below"),
+            F.count_if(value == a).alias("at_a"),
+            F.count_if(between).alias("inner"),
+            F.count_if((value == b) & (a < b)).alias("at_b"),
+            F.count_if(value > b).alias("above"),
+            F.min("value").alias("low"),
+            F.max(F.when(value < a, value)).alias("below_high"),
+            F.min(F.when(between, value)).alias("inner_low"),
+            F.max(F.when(between, value)).alias("inner_high"),
+            F.min(F.when(value > b, value)).alias("above_low"),
+            F.max("value").alias("high"),
         )
-        for row in _placed(counted, targets, "part").collect():  # one row per wanted rank
-            found[row["column"], row["rank"]] = (row["low"], row["high"], row["n"], row["place"])
-    cells, targets = _cells(found)
-    counted = _inside(values, cells).groupBy("column", "cell", "value").agg(F.count(F.lit(1)).alias("n"))
-    return _placed(counted, targets, "value").select("column", "rank", "value")
+    )
+
+
+def _followed(row: Row) -> tuple[float, float, int, int]:
+    """The part of the interval that holds the wanted place."""
+    parts = (
+        (row["below"], row["low"], row["below_high"]),
+        (row["at_a"], row["a"], row["a"]),
+        (row["inner"], row["inner_low"], row["inner_high"]),
+        (row["at_b"], row["b"], row["b"]),
+        (row["above"], row["above_low"], row["high"]),
+    )
+    place = row["place"]
+    for n, low, high in parts:
+        if place < n:
+            return low, high, n, place
+        place -= n
+    raise AssertionError("the wanted rank lies outside its interval")
 
 
 def _cells(found: dict) -> tuple[list[tuple], list[tuple]]:
@@ -192,13 +245,15 @@ def histogram(df: DataFrame, columns: Sequence[str], *, bins: int = 30) -> DataF
 
     A value belongs to the bin whose edges enclose it; the computed position is corrected
     where rounding put it next to an edge. A constant column gets the unit interval
-    around its value.
+    around its value. Infinite readings have no place in the bins; where there are any they
+    are counted in bin -1 (up to the first edge) and bin ``bins`` (from the last edge), so
+    that the counts of a column add up to its readings.
     """
     values = long_values(df, columns)
-    pad = F.when(F.min("value") == F.max("value"), 0.5).otherwise(0.0)
-    extremes = values.groupBy("column").agg(
-        (F.min("value") - pad).alias("low"), (F.max("value") + pad).alias("high")
-    )
+    infinite = F.abs("value") == float("inf")
+    finite = F.when(~infinite, F.col("value"))
+    pad = F.when(F.min(finite) == F.max(finite), 0.5).otherwise(0.0)
+    extremes = values.groupBy("column").agg((F.min(finite) - pad).alias("low"), (F.max(finite) + pad).alias("high"))
     value, low, high = F.col("value"), F.col("low"), F.col("high")
 
     def edge(number):
@@ -206,32 +261,31 @@ def histogram(df: DataFrame, columns: Sequence[str], *, bins: int = 30) -> DataF
 
     near = _cell(value, low, high, bins)
     exact = near - (value < edge(near)).cast("int") + ((value >= edge(near + 1)) & (near < bins - 1)).cast("int")
+    bin_ = F.when(infinite, F.when(value < 0, -1).otherwise(bins)).otherwise(exact)
     counts = (
         values.join(F.broadcast(extremes), "column")  # one row per profiled column
-        .groupBy("column", exact.alias("bin"))
+        .groupBy("column", bin_.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     number = F.col("bin")
-    edges = extremes.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).select(
-        "column",
-        "bin",
-        edge(number).alias("bin_start"),
-        F.when(number == bins - 1, high).otherwise(edge(number + 1)).alias("bin_end"),
-    )
-    return edges.join(counts, ["column", "bin"], "left").select(
-        "column", "bin", "bin_start", "bin_end", F.coalesce("n", F.lit(0)).alias("n")
+    start = F.when(number == -1, float("-inf")).when(number == bins, high).otherwise(edge(number))
+    end = F.when(number == -1, low).when(number == bins, float("inf")).when(number == bins - 1, high).otherwise(edge(number + 1))
+    numbers = extremes.withColumn("bin", F.explode(F.sequence(F.lit(-1), F.lit(bins))))
+    edges = numbers.select("column", "bin", start.alias("bin_start"), end.alias("bin_end"))
+    return (
+        edges.join(counts, ["column", "bin"], "left")
+        .filter(number.between(0, bins - 1) | F.col("n").isNotNull())
+        .select("column", "bin", "bin_start", "bin_end", F.coalesce("n", F.lit(0)).alias("n"))
     )
 
 
 def kde_curve(df: DataFrame, columns: Sequence[str], *, points: int = 200) -> DataFrame:
     """Gaussian kernel density on a grid from smallest to largest value (Scott bandwidth).
 
-    Readings are grouped by value first: instruments report a limited number of digits,
-    so far fewer distinct values than readings meet the grid. The grid has a fixed size
-    and its sums are combined on the map side.
+    Every reading meets the grid where it is read; the sums over the grid, whose size is
+    fixed, are combined on the map side, so that no reading is shuffled.
     """
     values = long_values(df, columns)
-    weighted = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("copies"))
     shape = values.groupBy("column").agg(
         F.min("value").alias("low"),
         F.max("value").alias("high"),
@@ -241,17 +295,13 @@ def kde_curve(df: DataFrame, columns: Sequence[str], *, points: int = 200) -> Da
     step = F.try_divide(F.col("high") - F.col("low"), F.lit(points - 1))
     grid = F.sequence(F.lit(0), F.lit(points - 1))
     distance = F.try_divide(F.col("low") + F.col("step") * F.col("point") - F.col("value"), F.col("bandwidth"))
+    shape = shape.withColumn("step", step)
     sums = (
-        weighted.join(F.broadcast(shape.withColumn("step", step)), "column")  # one row per profiled column
+        values.join(F.broadcast(shape), "column")  # one row per profiled column
         .withColumn("point", F.explode(grid))
         .groupBy("column", "point")
-        .agg(
-            F.sum(F.exp(distance * distance * -0.5) * F.col("copies")).alias("weight"),
-            F.any_value("low").alias("low"),
-            F.any_value("step").alias("step"),
-            F.any_value("n").alias("n"),
-            F.any_value("bandwidth").alias("bandwidth"),
-        )
+        .agg(F.sum(F.exp(distance * distance * -0.5)).alias("weight"))
+        .join(F.broadcast(shape), "column")
     )
     scale = F.col("n") * F.col("bandwidth") * F.sqrt(F.lit(2.0) * F.pi())
     return sums.select(

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from fleetwane.functions import health as H
 from fleetwane.learning import runs as R
-from fleetwane.learning.models import load_model, prepare_model_input, save_run
+from fleetwane.learning.models import check_signature, load_model, load_signature, prepare_model_input, save_run
 from fleetwane.learning.search import random_search
 from fleetwane.operators.columns import feature_columns
 from fleetwane.operators.health import sensor_health_features
 from fleetwane.operators.risk import inference_summary
 from fleetwane.operators.split import split_rows, split_units
 from fleetwane.schema import FAILURE_THRESHOLD, HEALTH_SENSORS, RISK, RUL, TIME, UNIT, MissingTableError
+from fleetwane.session import store
 from fleetwane.sources.readers import existing, read_whitespace_text
 from fleetwane.sources.writers import write_table
 
@@ -61,13 +62,14 @@ def train_family(
     n: int = 10,
     seed: int = 42,
 ) -> DataFrame:
-    """Split, search, store all runs; returns the trial table."""
+    """Split, search, store all runs; returns the trial table. The features are computed once, for both sides."""
+    features = store(features, "features")
     train, test = split_units(features) if by_unit else split_rows(features, key=key)
     trained, table = random_search(
         family, train, test, feature_columns(features), trials=trials, n=n, seed=seed
     )
     for run in trained:
-        save_run(spark, run, folder, experiment=experiment, example=test)
+        save_run(spark, run, folder, experiment=experiment)
     return table
 
 
@@ -91,6 +93,7 @@ def score_with_best_run(
     """Score with the best stored model, write the predictions, log the inference run."""
     best = R.require_best_run(R.read_runs(spark, f"{folder}/runs", experiments=experiments), metric)
     model, features = load_model(spark, folder, best["run_id"])
+    check_signature(df, load_signature(spark, folder, best["run_id"]))
     write_table(score_batch(model, features, df), output)
     predictions = spark.read.parquet(output)
     summary = inference_summary(predictions).first()

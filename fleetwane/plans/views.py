@@ -11,7 +11,6 @@ from fleetwane.functions import health as H
 from fleetwane.operators.columns import filter_unit, filter_units, to_records, trend_series
 from fleetwane.operators.health import rolling_features, sensor_health_features
 from fleetwane.operators.labels import ensure_risk_level
-from fleetwane.operators.panel import HOT_ROWS
 from fleetwane.operators.risk import compare_with_truth, first_match, prediction_table, risk_distribution, top_high_risk
 from fleetwane.schema import FAILURE_THRESHOLD, RISK, RUL, TIME, UNIT, UnknownUnitError, require_columns
 
@@ -74,7 +73,7 @@ def unit_analysis_view(
     window: int = 5,
     threshold: int = FAILURE_THRESHOLD,
     order: Sequence[str] = (TIME,),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Raw and rolling-mean series per unit with the unit's failure interval.
 

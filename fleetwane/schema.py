@@ -19,13 +19,24 @@ SENSORS = tuple(f"sensor_{i}" for i in range(1, 22))
 TELEMETRY_COLUMNS = (UNIT, TIME, *SETTINGS, *SENSORS)
 
 # The sensors that get health features by default.
-HEALTH_SENSORS = tuple(
-    f"sensor_{i}" for i in (2, 3, 4, 6, 7, 8, 9, 11, 12, 13, 14, 15, 17, 20, 21)
+HEALTH_SENSORS = (
+    "sensor_2",
+    "sensor_3",
+    "sensor_4",
+    "sensor_6",
+    "sensor_7",
+    "sensor_8",
+    "sensor_9",
+    "sensor_11",
+    "sensor_12",
+    "sensor_13",
+    "sensor_14",
+    "sensor_15",
+    "sensor_17",
+    "sensor_20",
+    "sensor_21",
 )
 
-# The sensors the exploratory statistics look at.
-FOCUS_SENSORS = tuple(f"sensor_{i}" for i in (8, 9, 13, 14, 17))
-
 # Thresholds in cycles.
 FAILURE_THRESHOLD = 30
 HIGH_RISK_THRESHOLD = 30

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,8 +16,8 @@ from fleetwane.schema import (
     TIME,
     UNIT,
     MissingTableError,
+    column_type,
     require_columns,
-    schema_for,
 )
 from fleetwane.operators.columns import coerce_integer, drop_missing
 
@@ -43,17 +43,32 @@ def read_whitespace_text(spark: SparkSession, path: str, columns: Sequence[str]
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header. Without a schema the types follow from the column names.
+    """CSV with a header; NaN becomes NULL.
 
-    Only the header line is read for that; schema inference would read everything twice.
-    NaN becomes NULL.
+    With a schema that is the schema. Without one the columns are read as text and one pass
+    finds those whose every field can be read as the type of that name (``column_type``;
+    numbers for names not in the data model). The others stay text, unit ids included, so
+    that no field is lost. All files of a folder must have the same header.
     """
-    if schema is None:
-        header = existing(lambda: spark.read.option("header", True).csv(path), path)
-        schema = schema_for(header.columns)
-    df = existing(lambda: spark.read.schema(schema).option("header", True).csv(path), path)
-    doubles = [f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)]
-    return df.select(*(H.null_if_nan(F.col(c)).alias(c) if c in doubles else F.col(c) for c in df.columns))
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    if schema is not None:
+        df = existing(lambda: reader.schema(schema).csv(path), path)
+        doubles = [f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)]
+        return df.select(*(H.null_if_nan(F.col(f"`{c}`")).alias(c) if c in doubles else F.col(f"`{c}`") for c in df.columns))
+    names = existing(lambda: spark.read.option("header", True).csv(path), path).columns
+    text = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).csv(path)
+    typed = {c: _typed(F.col(f"`{c}`"), column_type(c)) for c in names}
+    lost = [F.count_if(F.col(f"`{c}`").isNotNull() & ~F.lower(f"`{c}`").eqNullSafe("nan") & v.isNull()).alias(c) for c, v in typed.items()]
+    unread = text.agg(*lost).first()
+    return text.select(*((F.col(f"`{c}`") if unread[i] else typed[c]).alias(c) for i, c in enumerate(names)))
+
+
+def _typed(field: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return field
+    if isinstance(kind, T.DoubleType):
+        return H.null_if_nan(field.try_cast("double"))
+    return H.coerce_integer(field).cast(kind)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

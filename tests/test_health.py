@@ -10,6 +10,7 @@ from fleetwane.operators.correlation import lower_triangle
 
 S = ["sensor_1", "sensor_2"]
 SCHEMA = "unit bigint, time_in_cycles bigint, sensor_1 double, sensor_2 double"
+# Two series of readings, six of each unit.
 ONE = [100, 95, 90, 85, 70, 65, 120, 115, 110, 105, 80, 75]
 TWO = [200, 190, 180, 170, 160, 150, 250, 240, 230, 220, 210, 200]
 
@@ -177,29 +178,49 @@ def test_identical_copies_of_a_row_are_spread(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
-def test_many_units_are_joined_with_hot_units_apart(spark, folder, how):
+def test_per_unit_table_is_stored_and_joined(spark, folder, how):
     more = spark.createDataFrame([(None, 3, 1, 1.0, 1.0), (77, 3, 1, 1.0, 1.0)], big_panel(spark).schema)
     big_panel(spark).unionByName(more).write.parquet(f"{folder}/panel")
     df = spark.read.parquet(f"{folder}/panel")
     per_unit = df.filter("unit <> 77").groupBy("unit").agg(F.max("time_in_cycles").alias("last"))
     expected = df.join(per_unit, "unit", how).collect()
+    assert "BroadcastHashJoin" in plan_of(panel.join_per_unit(df, per_unit, how=how))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        for hot_rows in (100, 10**9):
-            joined = panel.join_per_unit(df, per_unit, how=how, broadcast_values=0, hot_rows=hot_rows)
-            assert same(joined.collect(), expected)
-            plan = plan_of(joined).split("Initial Plan")[0]
-            assert "SortMergeJoin" in plan and ("BroadcastHashJoin" in plan) == (hot_rows == 100)
+        joined = panel.join_per_unit(df, per_unit, how=how)
+        assert same(joined.collect(), expected)
+        plan = plan_of(joined).split("Initial Plan")[0]
+        # each side is a scan of its own, shuffled for this join only
+        assert "SortMergeJoin" in plan and plan.count("Scan parquet") == 2 and "Aggregate" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_aggregates_scan_the_rows_once_more(spark, folder):
+    big_panel(spark).write.parquet(f"{folder}/panel")
+    df = spark.read.parquet(f"{folder}/panel")
+    spark.sparkContext.setJobGroup("building", "building")
+    try:
+        joined = panel.with_unit_aggregates(df, {"last": F.max("time_in_cycles")})
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    # the aggregate is one written table; the rows are scanned for it and for the join
+    assert plan_of(joined).count(f"{folder}/panel") <= 1
+
+
+@pytest.mark.parametrize("hot_rows", [7, 10**6])
+def test_ties_come_as_they_arrive(spark, hot_rows):
+    rows = [(1, i // 10, float(i), float(-i)) for i in range(60)] + [(2, 0, 5.0, 5.0), (2, 0, 7.0, 1.0)]
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    rolled = health.rolling_features(df, S, window=2, hot_rows=hot_rows)
+    change = {(r.unit, r.sensor_1): r.sensor_1_cycle_change for r in rolled.collect()}
+    assert change == {(1, float(i)): None if i == 0 else 1.0 for i in range(60)} | {(2, 5.0): None, (2, 7.0): 2.0}
 
 
 def test_hot_units_are_found(spark):
     df = big_panel(spark)
-    assert panel.hot_units(df, hot_rows=100) == [(0, 400)]
-    assert panel.hot_units(df, hot_rows=1000) == []
+    assert same(panel.hot_units(df, hot_rows=100).collect(), [(0, 400)])
+    assert panel.hot_units(df, hot_rows=1000).count() == 0
 
 
 def test_one_shuffle_for_all_features_and_no_python(spark, folder):

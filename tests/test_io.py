@@ -34,6 +34,21 @@ def test_csv_types_follow_names(spark, folder):
     assert [t for _, t in df.dtypes] == ["bigint", "double", "string", "int"]
 
 
+def test_csv_loses_nothing(spark, folder):
+    path = write(folder, "n.csv", "unit,time_in_cycles,note,extra,sensor_2\n1,1,hello,7,2.5\nE-7,2,world,NaN,3.5\n")
+    df = readers.read_csv_table(spark, path)
+    assert dict(df.dtypes) == {"unit": "string", "time_in_cycles": "bigint", "note": "string", "extra": "double", "sensor_2": "double"}
+    assert same(df.collect(), [("1", 1, "hello", 7.0, 2.5), ("E-7", 2, "world", None, 3.5)])
+
+
+def test_csv_files_with_other_headers_are_an_error(spark, folder):
+    os.mkdir(f"{folder}/mixed.csv")
+    write(f"{folder}/mixed.csv", "a.csv", "unit,time_in_cycles,sensor_2\n1,1,2.5\n")
+    write(f"{folder}/mixed.csv", "b.csv", "unit,sensor_2,time_in_cycles\n2,7.5,9\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_csv_table(spark, f"{folder}/mixed.csv").collect()
+
+
 def test_missing_inputs(spark, folder):
     with pytest.raises(MissingTableError):
         readers.read_required(spark, f"{folder}/none.csv")

@@ -30,6 +30,33 @@ def test_percentiles_equal_numpy(table, sortable):
             assert found[name, x] == pytest.approx(np.percentile(data, 100 * x), rel=1e-12, abs=1e-300)
 
 
+def test_no_task_gets_more_than_it_may_sort(spark):
+    """Many magnitudes, a heavy value and infinities: ranks are cut, so every interval gets small."""
+    data = [math.exp(draw.uniform(-600, 600)) * draw.choice([-1, 1]) for _ in range(4000)]
+    data += [1.5] * 900 + [float("inf")] * 40 + [float("-inf")] * 3
+    values = profile.long_values(spark.createDataFrame([(x,) for x in data], "a double").repartition(4), ["a"])
+    wanted = set(range(0, len(data), 379)) | {0, len(data) - 1}
+    ranks = {"a": (len(data), min(data), max(data), wanted)}
+    found = profile.narrowed(values, ranks, sortable=60)
+    assert all(n <= 60 or low == high for low, high, n, _ in found.values())
+    rows = profile.order_statistics(values, ranks, sortable=60).collect()
+    assert {r["rank"]: r["value"] for r in rows} == {i: sorted(data)[i] for i in wanted}
+
+
+def test_histogram_counts_infinite_readings(spark):
+    data = [float("inf"), float("inf"), float("-inf"), 1.0, 2.0, 3.0]
+    rows = sorted(profile.histogram(spark.createDataFrame([(x,) for x in data], "a double"), ["a"], bins=2).collect())
+    assert [(r["bin"], r["bin_start"], r["bin_end"], r["n"]) for r in rows] == [
+        (-1, float("-inf"), 1.0, 1), (0, 1.0, 2.0, 1), (1, 2.0, 3.0, 2), (2, 3.0, float("inf"), 2)
+    ]
+
+
+def test_kde_shuffles_no_readings(spark, folder):
+    spark.range(1000).selectExpr("rand(3) AS a").write.parquet(f"{folder}/a")
+    plan = profile.kde_curve(spark.read.parquet(f"{folder}/a"), ["a"])._jdf.queryExecution().executedPlan().toString()
+    assert all("value" not in line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+
+
 def test_columns_without_readings(spark):
     df = spark.createDataFrame([(1.0, None), (float("nan"), None), (3.0, None)], "a double, b double")
     rows = profile.percentiles(df, ["a", "b"], (0.5,)).collect()

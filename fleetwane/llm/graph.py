@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from fleetwane.session import store
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _done(edges: DataFrame) -> bool:
+    """Every node has one parent, and no parent has one."""
+    parents = edges.select(F.col("b").alias("p")).distinct()
+    inner = edges.join(parents, F.col("a") == F.col("p"), "left_semi").limit(1).count()
+    return not inner and edges.groupBy("a").count().filter("count > 1").limit(1).count() == 0
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -18,9 +21,8 @@ def components(edges: DataFrame) -> DataFrame:
     Each round joins the links with one row per node, so a node with very many links is only
     a skewed key of a join. Links between the same nodes, both ways and to itself are fine.
     """
-    lean = edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    current, mark = store(lean, "links"), None
-    while True:
+    current = store(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    while not _done(current):
         both = current.select("a", "b").union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = store(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
@@ -29,8 +31,5 @@ def components(edges: DataFrame) -> DataFrame:
         joined = large.join(small_least, "a")
         small = joined.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(small_least.select("a", F.col("m").alias("b")))
         current = store(small.distinct(), "links")
-        before, mark = mark, _fingerprint(current)
-        if before == mark:
-            break
     own = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).union(own)

@@ -7,9 +7,9 @@ import pytest
 import corpus_pipeline
 from fleetwane.llm import secrets
 from fleetwane.llm.queries import tokenizer_path
-from test_jaccard import brute as similar
-from test_mixing import brute as mixed
-from test_secrets import brute as found
+from llm.test_jaccard import brute as similar
+from llm.test_mixing import brute as mixed
+from llm.test_secrets import brute as found
 
 tokenizers = pytest.importorskip("tokenizers")
 

@@ -171,9 +171,13 @@ def model_inputs(train: DataFrame, test: DataFrame, features: Sequence[str]):
     models; imputer and assembler are fitted and applied once for all of them. Give both
     sides as filters of one stored table, else the features are computed for each.
     """
+    context = train.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:  # boosting cuts its lineage there every few rounds
+        context.setCheckpointDir(scratch_dir(train.sparkSession))
     sides = [prepare_model_input(t, features, keep=[RUL]) for t in (train, test)]
     prepared = preparation(features).fit(sides[0])
-    tables = [prepared.transform(side).select(*features, RUL, "features").persist() for side in sides]
+    # partitions by bytes: every round of boosting runs a task for each
+    tables = [prepared.transform(side).select(*features, RUL, "features").hint("rebalance").persist() for side in sides]
     example = local_copy(sides[1].select(*features), 5)
     try:
         yield ModelInputs(list(features), prepared, *tables, example)

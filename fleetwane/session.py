@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,22 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
+_SCOPE: ContextVar[str | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Tables that are stored inside are removed at the end; results must be written or collected before."""
+    folder = f"{scratch_dir(spark)}/scope-{uuid.uuid4().hex}"
+    token = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
@@ -33,7 +51,7 @@ def store(df: DataFrame, label: str) -> DataFrame:
     The result no longer depends on the plan above it, so values such as partition
     numbers stay fixed when executors are lost later.
     """
-    path = f"{scratch_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_SCOPE.get() or scratch_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -26,6 +26,15 @@ def test_stored_table(spark):
     assert all(session.scratch_dir(spark) in f for f in stored.inputFiles())
 
 
+def test_scope_removes_its_tables(spark):
+    with session.scratch_scope(spark) as folder:
+        stored = session.store(spark.range(3), "numbers")
+        assert all(folder in f for f in stored.inputFiles()) and stored.count() == 3
+    with pytest.raises(Exception):
+        spark.read.parquet(folder)
+    assert folder not in session.store(spark.range(1), "numbers").inputFiles()[0]
+
+
 @pytest.mark.parametrize("rows", [[], [(1, "a", None), (2, None, 0.5)]])
 def test_local_table(spark, rows):
     df = session.local_table(spark, rows, "unit bigint, name string, x double")

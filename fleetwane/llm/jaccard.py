@@ -8,7 +8,7 @@ by the prefix tokens that they share, form families; nothing outside a family ca
 it. Within a family the ordered sets are stored in a trie; each set walks it, paths shared by
 several sets are counted once, and a subtree is left as soon as the tokens that remain cannot
 make up the overlap. Large families are cut into blocks that meet through pivots first; then
-whatever is not yet connected meets every block.
+each set that is not yet connected to a block, but shares enough prefix tokens with it, meets it.
 
 Defined cases: null or wordless texts have empty sets and link with nothing; shorter texts
 are one shingle; equal texts (repeated rows) link; rows with a null doc_id take part, and
@@ -39,7 +39,7 @@ BINS = 1 << 22
 ORDER_BITS = 12
 
 #: Of so many tokens of a set one more is taken into the prefix, and one more must be shared there.
-EXTRA = 20
+EXTRA = 8
 
 #: Sets that one block of a family holds, and sets that all its blocks share.
 BLOCK = 256
@@ -385,20 +385,27 @@ def links(docs: DataFrame, known: DataFrame, levels: np.ndarray) -> DataFrame:
     if large.limit(1).count() == 0:
         return done
 
-    # large families: what is outside a family's largest component meets every block
-    comps = components(done)
+    # large families: components of the first round, in blocks, and what may link them
     label = F.coalesce(F.col("component"), F.col("cls"))
-    labelled = large.select("family", "cls", "n").join(comps, F.col("cls") == F.col("node"), "left").select("family", "cls", "n", label.alias("label"))
+    labelled = large.join(components(done), F.col("cls") == F.col("node"), "left").select("cls", F.size("tokens").alias("size"), label.alias("label"))
     labelled = store(labelled, "labels")
-    sizes = labelled.groupBy("family", "label").agg(F.count("*").alias("m"))
-    largest = sizes.groupBy("family").agg(F.max_by("label", F.struct("m", "label")).alias("main"), F.sum("m").alias("all"), F.max("m").alias("held"))
-    open_ = store(largest.filter("held < `all`").withColumn("chunks", F.ceil((F.col("all") - F.col("held")) / BLOCK).cast("int")), "open")
-    outside = labelled.join(open_, "family").filter("label != main").select("cls", F.col("family").alias("f"), "chunks")
-    minors = own.join(outside, "cls").withColumn("chunk", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
-    stored = minors.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("role", F.lit(0))
-    probes = large.join(open_.select("family", "chunks"), "family").withColumn("block", part)
+    sizes = labelled.groupBy("label").agg(F.count("*").alias("m"))
+    block = F.xxhash64("label", F.pmod(F.xxhash64("cls"), F.ceil(F.col("m") / BLOCK)))
+    placed = store(labelled.join(sizes, "label").select("cls", "size", "label", "m", block.alias("block")), "placed")
+    size = F.size("tokens")
+    prefix = large.select("cls", F.explode(F.slice("tokens", F.lit(1), _prefix_size(size))).alias("token")).join(placed, "cls")
+    several = prefix.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("token")
+    prefix = store(prefix.join(several, "token"), "prefixes")
+    others = prefix.select("token", F.col("block").alias("b"), F.col("label").alias("l"), F.col("m").alias("k")).distinct()
+    smaller = F.struct("m", "label") < F.struct("k", "l")  # the smaller component asks
+    met = prefix.join(others, "token").filter(smaller).groupBy("cls", "size", "b").count()
+    met = store(met.filter(F.col("count") >= _least_shared(F.col("size"))).select("cls", "b"), "met")
+    asked = met.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
+    own = own.select("cls", "tokens")
+    columns = [F.col("b").alias("family"), F.col("chunk").alias("part"), "cls", "role", "tokens"]
+    stored = met.join(asked, "b").withColumn("chunk", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int")).join(own, "cls").withColumn("role", F.lit(0))
+    probes = placed.select("cls", "block").join(asked, F.col("block") == F.col("b")).join(own, "cls")
     probes = probes.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("role", F.lit(1))
-    columns = ["family", "cls", "role", "tokens", (F.col("block").cast("long") * F.col("chunks") + F.col("chunk")).alias("part")]
     return store(done.union(_by_part(stored.select(columns).union(probes.select(columns)))), "pairs")
 
 

@@ -80,9 +80,9 @@ shingles AS (
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM split WHERE len(w) > 0)
 ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 pairs AS (
-  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
 ), links AS (
-  SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * both >= 75 * (a.n + b.n - both)
+  SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * shared >= 75 * (a.n + b.n - shared)
 ), reach AS (
   SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.other = links.x
 )

@@ -40,7 +40,7 @@ SEED = 97
 SAMPLE_SHARE = 16
 SAMPLE = 4096
 
-#: Vectors and queries that meet in one task.
+#: Vectors (on average; below 2 ** 16) and queries that meet in one task.
 VECTOR_BLOCK = 2048
 QUERY_BLOCK = 512
 
@@ -74,19 +74,24 @@ class Block:
         order = np.argsort(projected, axis=1, kind="stable")
         self.sorted = np.take_along_axis(projected, order, 1)
         #: the place of each vector in each sorted array
-        self.places = np.empty(order.shape, np.uint32)
-        np.put_along_axis(self.places, order, np.arange(len(ids), dtype=np.uint32)[None, :], 1)
-
-    def collisions(self, centre: np.ndarray, reach: float) -> np.ndarray:
-        """In how many directions each vector lies in the window of ``reach`` around the query's projection."""
-        ends = [np.searchsorted(values, (c - reach, c + reach)) for values, c in zip(self.sorted, centre)]
-        low, high = np.array(ends, np.uint32).T
-        inside = self.places - low[:, None] < (high - low)[:, None]  # places below the window wrap around
+        self.places = np.empty(order.shape, np.uint16)
+        np.put_along_axis(self.places, order, np.arange(len(ids), dtype=np.uint16)[None, :], 1)
+
+    def windows(self, centres: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each query (row) and direction: where its window begins in the sorted array, and its length."""
+        low = [np.searchsorted(values, c - reach) for values, c in zip(self.sorted, centres.T)]
+        high = [np.searchsorted(values, c + reach) for values, c in zip(self.sorted, centres.T)]
+        begin = np.array(low).T
+        return begin.astype(np.uint16), (np.array(high).T - begin).astype(np.uint16)
+
+    def collisions(self, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """In how many directions each vector lies in a query's window."""
+        inside = self.places - begin[:, None] < length[:, None]  # places below the window wrap around
         return inside.view(np.uint8).sum(0, dtype=np.uint8)
 
-    def nearest(self, own: int, query: np.ndarray, centre: np.ndarray, radius: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, own: int, query: np.ndarray, begin: np.ndarray, length: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the best k candidates."""
-        near = np.flatnonzero((self.collisions(centre, WIDTH * radius) >= AGREE) & (self.ids != own))
+        near = np.flatnonzero((self.collisions(begin, length) >= AGREE) & (self.ids != own))
         scores, ids = _scores(self.vectors[near], query), self.ids[near]
         best = np.lexsort((ids, -scores))[:k]
         return ids[best], scores[best]
@@ -151,8 +156,9 @@ def search(table: DataFrame, queries: Column, k: int = NEAREST, vec_id: str = "v
             block = Block(own, _matrix(held.column("vector")), largest[size])
             unit = query / np.sqrt((query**2).sum(1, keepdims=True))
             centres = np.column_stack((unit, np.zeros(len(unit)))) @ _directions(size)
-            for i, (query_id, radius) in enumerate(zip(asked.column("query_id").to_pylist(), asked.column("radius").to_pylist())):
-                ids, scores = block.nearest(query_id, query[i], centres[i], radius, k)
+            begin, length = block.windows(centres, WIDTH * asked.column("radius").to_numpy())
+            for i, query_id in enumerate(asked.column("query_id").to_pylist()):
+                ids, scores = block.nearest(query_id, query[i], begin[i], length[i], k)
                 out["query_id"] += [query_id] * len(ids)
                 out["vec_id"] += ids.tolist()
                 out["score"] += scores.tolist()

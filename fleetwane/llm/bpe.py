@@ -39,7 +39,7 @@ from fleetwane.llm.text import chunks, over_batches, ship, text_udf
 #: Words in the lexicon at most; it only decides how many words are merged again.
 LEXICON_WORDS = 200_000
 #: Words whose ids a task keeps at hand, about.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 
 #: Longer words are merged with a heap.
 SHORT = 48

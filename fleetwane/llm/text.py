@@ -58,9 +58,16 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds, F.lit(0))
 
 
+#: Rows of an Arrow batch, instead of Spark's default of 10,000: a batch of long texts must fit a task's memory several times.
+BATCH_ROWS = 2048
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, so that tasks import it wherever they run."""
+    """Give the executors this package, so that tasks import it wherever they run; bound batches if the session does not."""
     context = spark.sparkContext
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     if getattr(context, "_fleetwane_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -63,7 +63,8 @@ def word_bins(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for start, end in chunks(texts):
-                total += np.bincount(_bins(Words(texts[start:end], lower=True).hashes()), minlength=BINS)
+                bins, n = np.unique(_bins(Words(texts[start:end], lower=True).hashes()), return_counts=True)
+                total[bins] += n
         some = np.flatnonzero(total)
         yield {"bin": some, "n": total[some]}
 

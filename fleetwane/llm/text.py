@@ -6,6 +6,8 @@ carriage return. Texts that are null count as empty.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -21,7 +23,7 @@ SPACES = " \t\n\x0b\f\r"
 WORD_BREAK = r"[ \t-\r]+"
 
 #: Characters of text that one NumPy pass works on at a time (a longer text is a pass of its own).
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[ord(c) for c in SPACES]] = True
@@ -86,6 +88,13 @@ def _mark(context: SparkContext) -> None:
     context._fleetwane_shipped = True
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps Python workers for later stages, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def over_batches(df: DataFrame, task, schema: str) -> DataFrame:
     """``task``: iterator of Arrow batches -> iterator of dicts of columns, one per piece of output."""
     ship(df.sparkSession)
@@ -100,6 +109,7 @@ def over_batches(df: DataFrame, task, schema: str) -> DataFrame:
             arrays = [v.cast(f.type) if isinstance(v, pa.Array) else pa.array(v, type=f.type) for v, f in zip(values, arrow)]
             if len(arrays[0]):
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -118,6 +128,7 @@ def text_udf(function, schema: str):
     @F.arrow_udf(kind)
     def run(texts: pa.Array) -> pa.Array:
         columns = function([t or "" for t in texts.to_pylist()])
+        give_back()
         return pa.StructArray.from_arrays([pa.array(columns[field.name], type=field.type) for field in arrow], fields=list(arrow))
 
     return run

@@ -41,7 +41,7 @@ SAMPLE_SHARE = 16
 SAMPLE = 4096
 
 #: Vectors (on average; below 2 ** 16) and queries that meet in one task.
-VECTOR_BLOCK = 2048
+VECTOR_BLOCK = 8192
 QUERY_BLOCK = 512
 
 

@@ -320,6 +320,12 @@ class Encode:
     def __init__(self, lexicon: str, name: str, with_ids: bool):
         self.lexicon, self.name, self.with_ids = lexicon, name, with_ids
 
+    @staticmethod
+    def close() -> None:
+        """Workers live on for other stages; what this one has met does not."""
+        _known.cache_clear()
+        _tokenizer.cache_clear()
+
     def __call__(self, texts: list[str]) -> dict[str, list]:
         known = _known(self.lexicon, self.name)
         out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []} | ({"ids": []} if self.with_ids else {})

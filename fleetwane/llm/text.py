@@ -117,7 +117,8 @@ def over_batches(df: DataFrame, task, schema: str) -> DataFrame:
 def text_udf(function, schema: str):
     """A column function of a text: ``function`` maps a list of texts to lists by column name.
 
-    Nulls come as empty texts; the result is a struct of ``schema``.
+    Nulls come as empty texts; the result is a struct of ``schema``. At the end of a task
+    ``function.close`` is called, if there is one.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -126,10 +127,12 @@ def text_udf(function, schema: str):
     arrow = to_arrow_schema(kind)
 
     @F.arrow_udf(kind)
-    def run(texts: pa.Array) -> pa.Array:
-        columns = function([t or "" for t in texts.to_pylist()])
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            columns = function([t or "" for t in texts.to_pylist()])
+            yield pa.StructArray.from_arrays([pa.array(columns[field.name], type=field.type) for field in arrow], fields=list(arrow))
+        getattr(function, "close", lambda: None)()
         give_back()
-        return pa.StructArray.from_arrays([pa.array(columns[field.name], type=field.type) for field in arrow], fields=list(arrow))
 
     return run
 

@@ -1,15 +1,17 @@
 """Approximate nearest neighbours by collision counting.
 
-Vectors are mapped so that the largest inner product is the smallest distance (one more
-component fills them up to the largest norm), and projected on single random directions. A
+Vectors are dealt by the power of two that their norm is next to. Within such a level they
+are mapped so that the largest inner product is the smallest distance (one more component
+fills them up to the level's largest norm), and projected on single random directions. A
 block of vectors keeps, per direction, its projections in sorted order. A query opens in each
-of these arrays a window centred on its own projection; widening the windows is all that
-rehashing to another radius takes. A vector that lies in the windows of enough directions is
-a candidate, and candidates are verified by the exact inner product in double precision.
+of these arrays a window centred on its own projection. A vector that lies in the windows of
+enough directions is a candidate, and candidates are verified by the exact inner product in
+double precision.
 
-The radius that a query's windows must serve comes from the 20th best vector of a bounded
-sample, which no true neighbour is farther than. Blocks of queries meet all blocks of
-vectors. Of equal vectors only the ids that can be among the nearest are indexed.
+The first round's windows serve the score of the 20th best vector of a bounded sample, which
+no true neighbour is below: each level has its own distance for it, and levels whose norms
+cannot reach the score are left out. Blocks of queries meet all blocks of vectors. Of equal
+vectors only the ids that can be among the nearest are indexed.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take
 no part; vectors are compared with those of their length only; ties go to the smaller id;
@@ -19,6 +21,8 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,19 +30,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fleetwane.llm.text import over_batches, ship
-from fleetwane.session import store
+from fleetwane.session import local_table, store
 
 NEAREST = 20
 
-#: Directions; a window reaches WIDTH times the radius to each side; that many directions must agree.
+#: Directions; a window reaches WIDTH times the distance to each side; that many directions must agree.
+#: A vector at that very distance lies in a window with probability erf(WIDTH / sqrt(2)) = 0.866 and so
+#: in AGREE of them with probability 0.972, a nearer one more often; one at 1.3 times the distance with 0.15.
 DIRECTIONS = 96
-WIDTH = 1.0
-AGREE = 61
+WIDTH = 1.5
+AGREE = 77
 SEED = 97
+#: What rounding may move a projection by.
+SLACK = 1e-6
 
-#: The sample for radii: one in SAMPLE_SHARE vectors, by hash, at most SAMPLE.
+#: The sample for the first distance, of each length: one in SAMPLE_SHARE vectors, by hash, but about
+#: SAMPLE at most, and about SAMPLE_LEAST (or all) at least.
 SAMPLE_SHARE = 16
 SAMPLE = 4096
+SAMPLE_LEAST = 320
 
 #: Vectors (on average; below 2 ** 16) and queries that meet in one task.
 VECTOR_BLOCK = 8192
@@ -80,7 +90,7 @@ class Block:
     def windows(self, centres: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each query (row) and direction: where its window begins in the sorted array, and its length."""
         low = [np.searchsorted(values, c - reach) for values, c in zip(self.sorted, centres.T)]
-        high = [np.searchsorted(values, c + reach) for values, c in zip(self.sorted, centres.T)]
+        high = [np.searchsorted(values, c + reach, "right") for values, c in zip(self.sorted, centres.T)]
         begin = np.array(low).T
         return begin.astype(np.uint16), (np.array(high).T - begin).astype(np.uint16)
 
@@ -89,12 +99,15 @@ class Block:
         inside = self.places - begin[:, None] < length[:, None]  # places below the window wrap around
         return inside.view(np.uint8).sum(0, dtype=np.uint8)
 
-    def nearest(self, own: int, query: np.ndarray, begin: np.ndarray, length: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the best k candidates."""
-        near = np.flatnonzero((self.collisions(begin, length) >= AGREE) & (self.ids != own))
-        scores, ids = _scores(self.vectors[near], query), self.ids[near]
-        best = np.lexsort((ids, -scores))[:k]
-        return ids[best], scores[best]
+    def nearest(
+        self, own: int, query: np.ndarray, begin: np.ndarray, length: np.ndarray, bound: float, agree: int, k: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the best k candidates; without a bound all are candidates."""
+        enough = self.collisions(begin, length) >= agree if np.isfinite(bound) else np.True_
+        near = np.flatnonzero(enough & (self.ids != own))
+        scores = _scores(self.vectors[near], query)
+        best = np.lexsort((self.ids[near], -scores))[:k]
+        return self.ids[near[best]], scores[best]
 
 
 def _usable(vector: Column) -> Column:
@@ -102,68 +115,101 @@ def _usable(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _radii(queries: DataFrame, sample: dict[int, tuple[np.ndarray, np.ndarray]], largest: dict[int, float], k: int) -> DataFrame:
-    """queries with the distance (among lifted vectors) of their k-th best of the sample."""
+def _norm(vector: Column) -> Column:
+    """Of a usable vector, without squares that overflow or vanish."""
+    top = F.array_max(F.transform(vector, F.abs))
+    return F.least(top * F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + x / top * (x / top))), F.lit(sys.float_info.max))
+
+
+def _distance(bound: Column, norm: Column, largest: Column) -> Column:
+    """How far (lifted by ``largest``) a vector can be whose inner product with a query of this norm reaches the bound."""
+    return F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * (bound / norm / largest)))
+
+
+def _bounds(queries: DataFrame, sample: dict[int, tuple[np.ndarray, np.ndarray]], k: int) -> DataFrame:
+    """queries with the score of their k-th best of the sample; null if there are fewer."""
 
     def task(batches):
         for batch in batches:
             ids, vectors = batch.column("query_id").to_numpy(), batch.column("vector")
-            radius = []
+            bound = []
             for own, vector in zip(ids.tolist(), vectors.to_pylist()):
                 query = np.array(vector, np.float64)
                 known, held = sample.get(len(query), (np.zeros(0, np.int64), np.zeros((0, len(query)))))
                 scores = np.sort(_scores(held[known != own], query))[::-1]
-                lifted = scores[k - 1] / (np.linalg.norm(query) * largest[len(query)]) if len(scores) >= k else -1.0
-                radius.append(float(np.sqrt(max(0.0, 2 - 2 * lifted))))
-            yield {"query_id": batch.column("query_id"), "vector": vectors, "dim": batch.column("dim"), "radius": radius}
+                bound.append(float(scores[k - 1]) if len(scores) >= k else None)
+            yield {name: batch.column(name) for name in ("query_id", "vector", "dim", "norm")} | {"bound": bound}
 
-    return over_batches(queries, task, "query_id long, vector array<double>, dim int, radius double")
+    return over_batches(queries, task, "query_id long, vector array<double>, dim int, norm double, bound double")
 
 
-def search(table: DataFrame, queries: Column, k: int = NEAREST, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+def search(
+    table: DataFrame, queries: Column, k: int = NEAREST, vec_id: str = "vec_id", embedding: str = "embedding", agree: int = AGREE
+) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every row for which ``queries`` holds."""
-    ship(table.sparkSession)
+    spark = table.sparkSession
+    ship(spark)
     vectors = table.filter(_usable(F.col(embedding)) & F.col(vec_id).isNotNull())
     vectors = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("vector"), queries.alias("asks"))
-    vectors = vectors.withColumn("dim", F.size("vector"))
-    asked = vectors.filter("asks").select(F.col("vec_id").alias("query_id"), "vector", "dim").dropDuplicates(["query_id"])
+    vectors = vectors.withColumn("dim", F.size("vector")).withColumn("norm", _norm(F.col("vector")))
+    asked = vectors.filter("asks").select(F.col("vec_id").alias("query_id"), "vector", "dim", "norm").dropDuplicates(["query_id"])
     # of equal vectors the k + 1 smallest ids suffice: k of them are better than any other
     nth = F.dense_rank().over(Window.partitionBy("vector").orderBy("vec_id"))
-    indexed = store(vectors.withColumn("nth", nth).filter(F.col("nth") <= k + 1).select("vec_id", "vector", "dim").distinct(), "vectors")
-
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x))
-    facts = indexed.groupBy("dim").agg(F.count("*").alias("n"), F.max(norm).alias("largest")).collect()  # a row for each length of vectors
-    largest = {r["dim"]: r["largest"] for r in facts}
-    blocks = max(1, -(-sum(r["n"] for r in facts) // VECTOR_BLOCK))
-    query_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    picked = indexed.filter(F.pmod(F.xxhash64("vec_id"), SAMPLE_SHARE) == 0).orderBy(F.xxhash64("vec_id")).limit(SAMPLE).collect()
+    # norms about a power of two, such as 1, are in one level
+    level = F.floor(F.log2("norm") + 0.5).cast("int").alias("level")
+    indexed = vectors.withColumn("nth", nth).filter(F.col("nth") <= k + 1)
+    indexed = store(indexed.select("vec_id", "vector", "dim", "norm", level).distinct(), "vectors")
+
+    # a row for each length of vectors and power of two of their norms
+    facts = indexed.groupBy("dim", "level").agg(F.count("*").alias("n"), F.max("norm").alias("largest")).collect()
+    held = {dim: sum(r["n"] for r in facts if r["dim"] == dim) for dim in {r["dim"] for r in facts}}
+    shares = [(dim, min(1.0, max(SAMPLE_LEAST, min(n / SAMPLE_SHARE, SAMPLE)) / n)) for dim, n in held.items()]
+    shares = local_table(spark, [(dim, int(share * 2**31)) for dim, share in shares], "dim int, below long")
+    picked = indexed.join(F.broadcast(shares), "dim").filter(F.pmod(F.xxhash64("vec_id"), F.lit(2**31)) < F.col("below"))
+    picked = picked.select("dim", "vec_id", "vector").collect()
     sample = {}
-    for dim in largest:
+    for dim in held:
         rows = [r for r in picked if r["dim"] == dim]
         sample[dim] = (np.array([r["vec_id"] for r in rows], np.int64), np.array([r["vector"] for r in rows], np.float64).reshape(len(rows), dim))
 
-    parts = ["dim", "block", "query_block"]
-    dealt = indexed.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks).cast("int"))
-    dealt = dealt.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    asking = _radii(asked, sample, largest, k).withColumn("query_block", F.pmod(F.xxhash64("query_id"), query_blocks).cast("int"))
-    asking = asking.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    levels = [(r["dim"], r["level"], r["largest"], -(-r["n"] // VECTOR_BLOCK)) for r in facts]
+    dealt_to = local_table(spark, levels, "dim int, level int, scale double, dealt int")
+    levels = F.broadcast(local_table(spark, levels, "dim int, level int, largest double, blocks int"))
+    blocked = indexed.join(F.broadcast(dealt_to), ["dim", "level"])
+    blocked = blocked.select("vec_id", "vector", "dim", "level", "scale", F.pmod(F.xxhash64("vec_id"), F.col("dealt")).cast("int").alias("block"))
+    parts = ["dim", "level", "block", "query_block"]
 
     def meet(held: pa.Table, asked: pa.Table) -> pa.Table:
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
         if len(held) and len(asked):
             own, query = held.column("vec_id").to_numpy(), _matrix(asked.column("vector"))
-            size = query.shape[1]
-            block = Block(own, _matrix(held.column("vector")), largest[size])
-            unit = query / np.sqrt((query**2).sum(1, keepdims=True))
-            centres = np.column_stack((unit, np.zeros(len(unit)))) @ _directions(size)
-            begin, length = block.windows(centres, WIDTH * asked.column("radius").to_numpy())
+            block = Block(own, _matrix(held.column("vector")), held.column("scale")[0].as_py())
+            unit = query / np.abs(query).max(1, keepdims=True)
+            unit /= np.sqrt((unit**2).sum(1, keepdims=True))
+            centres = np.column_stack((unit, np.zeros(len(unit)))) @ _directions(query.shape[1])
+            begin, length = block.windows(centres, WIDTH * asked.column("radius").to_numpy() + SLACK)
+            bound = asked.column("bound").to_pylist()
             for i, query_id in enumerate(asked.column("query_id").to_pylist()):
-                ids, scores = block.nearest(query_id, query[i], begin[i], length[i], k)
+                least = -np.inf if bound[i] is None else bound[i]
+                ids, scores = block.nearest(query_id, query[i], begin[i], length[i], least, agree, k)
                 out["query_id"] += [query_id] * len(ids)
                 out["vec_id"] += ids.tolist()
                 out["score"] += scores.tolist()
         return pa.table(out, pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]))
 
-    met = dealt.groupBy(parts).cogroup(asking.groupBy(parts)).applyInArrow(meet, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return met.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def ask(asking: DataFrame, n: int) -> DataFrame:
+        """The best k of what the windows hold."""
+        query_blocks = max(1, -(-n // QUERY_BLOCK))
+        dealt = blocked.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+        asking = asking.withColumn("query_block", F.pmod(F.xxhash64("query_id"), query_blocks).cast("int")).join(levels, "dim")
+        # no vector of a level that is too short reaches the bound; 1e-9 for rounding
+        asking = asking.filter(F.col("bound").isNull() | (F.col("bound") / F.col("norm") / F.col("largest") <= 1 + 1e-9))
+        radius = _distance(F.col("bound"), F.col("norm"), F.col("largest"))
+        asking = asking.withColumn("radius", F.coalesce(F.when(radius < 2, radius), F.lit(float("inf"))))
+        asking = asking.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("query_id", "vector", "bound", "radius", *parts)
+        met = dealt.groupBy(parts).cogroup(asking.groupBy(parts)).applyInArrow(meet, "query_id long, vec_id long, score double")
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        return store(met.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "nearest")
+
+    asking = store(_bounds(asked, sample, k), "queries")
+    return ask(asking, asking.count())

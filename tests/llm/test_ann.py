@@ -49,3 +49,25 @@ def test_few_candidates(spark):
     table = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [-1.0, 0.0])], "vec_id long, embedding array<float>")
     rows = ann.search(table, F.col("vec_id") == 0).collect()
     assert [(r["rank"], r.vec_id, r.score) for r in sorted(rows, key=lambda r: r["rank"])] == [(1, 1, 0.5), (2, 2, -1.0)]
+
+
+def test_agreement_guarantees_recall():
+    inside = math.erf(ann.WIDTH / math.sqrt(2))
+    passes = sum(math.comb(ann.DIRECTIONS, i) * inside**i * (1 - inside) ** (ann.DIRECTIONS - i) for i in range(ann.AGREE, ann.DIRECTIONS + 1))
+    assert passes >= 0.95
+
+
+def test_recall_with_uneven_norms(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(3000, 32))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[:500] *= 0.01
+    vectors[7] *= 10_000
+    rows = list(enumerate(vectors.tolist()))
+    want = brute(rows, lambda i: i % 20 == 0)
+    found = {}
+    for r in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert all(len(found[q]) == 20 for q in want)
+    hits = sum(len(found[q] & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.95 * 20 * len(want)

@@ -10,8 +10,11 @@ double precision.
 
 The first round's windows serve the score of the 20th best vector of a bounded sample, which
 no true neighbour is below: each level has its own distance for it, and levels whose norms
-cannot reach the score are left out. Blocks of queries meet all blocks of vectors. Of equal
-vectors only the ids that can be among the nearest are indexed.
+cannot reach the score are left out. Queries for which fewer verified candidates than asked
+reach the score ask again with windows for twice the distance in the same sorted arrays, and
+so on until enough do, or the windows hold all vectors; then all are taken. Blocks of queries
+meet all blocks of vectors. Of equal vectors only the ids that can be among the nearest are
+indexed.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take
 no part; vectors are compared with those of their length only; ties go to the smaller id;
@@ -49,6 +52,8 @@ SLACK = 1e-6
 SAMPLE_SHARE = 16
 SAMPLE = 4096
 SAMPLE_LEAST = 320
+#: The smallest distance that a further round serves.
+LEAST_DISTANCE = 1e-3
 
 #: Vectors (on average; below 2 ** 16) and queries that meet in one task.
 VECTOR_BLOCK = 8192
@@ -102,10 +107,11 @@ class Block:
     def nearest(
         self, own: int, query: np.ndarray, begin: np.ndarray, length: np.ndarray, bound: float, agree: int, k: int
     ) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the best k candidates; without a bound all are candidates."""
+        """Ids and scores of the best k candidates that reach the bound; without one all are candidates."""
         enough = self.collisions(begin, length) >= agree if np.isfinite(bound) else np.True_
         near = np.flatnonzero(enough & (self.ids != own))
         scores = _scores(self.vectors[near], query)
+        near, scores = near[scores >= bound], scores[scores >= bound]
         best = np.lexsort((self.ids[near], -scores))[:k]
         return self.ids[near[best]], scores[best]
 
@@ -163,6 +169,7 @@ def search(
     # a row for each length of vectors and power of two of their norms
     facts = indexed.groupBy("dim", "level").agg(F.count("*").alias("n"), F.max("norm").alias("largest")).collect()
     held = {dim: sum(r["n"] for r in facts if r["dim"] == dim) for dim in {r["dim"] for r in facts}}
+    top = {dim: max(r["largest"] for r in facts if r["dim"] == dim) for dim in held}
     shares = [(dim, min(1.0, max(SAMPLE_LEAST, min(n / SAMPLE_SHARE, SAMPLE)) / n)) for dim, n in held.items()]
     shares = local_table(spark, [(dim, int(share * 2**31)) for dim, share in shares], "dim int, below long")
     picked = indexed.join(F.broadcast(shares), "dim").filter(F.pmod(F.xxhash64("vec_id"), F.lit(2**31)) < F.col("below"))
@@ -198,7 +205,7 @@ def search(
         return pa.table(out, pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]))
 
     def ask(asking: DataFrame, n: int) -> DataFrame:
-        """The best k of what the windows hold."""
+        """The best k of what the windows hold and reaches the bound."""
         query_blocks = max(1, -(-n // QUERY_BLOCK))
         dealt = blocked.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
         asking = asking.withColumn("query_block", F.pmod(F.xxhash64("query_id"), query_blocks).cast("int")).join(levels, "dim")
@@ -211,5 +218,18 @@ def search(
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
         return store(met.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "nearest")
 
+    tops = local_table(spark, list(top.items()), "dim int, top double")
     asking = store(_bounds(asked, sample, k), "queries")
-    return ask(asking, asking.count())
+    found = ask(asking, asking.count())
+    while True:
+        done = found.filter(F.col("rank") == k).select("query_id")
+        # those without a bound have met all vectors
+        short = asking.join(done, "query_id", "left_anti").filter(F.col("bound").isNotNull()).join(F.broadcast(tops), "dim")
+        wider = F.greatest(2 * _distance(F.col("bound"), F.col("norm"), F.col("top")), F.lit(LEAST_DISTANCE))
+        bound = F.when(wider < 2, F.col("norm") * F.col("top") * (1 - wider * wider / 2))
+        short = store(short.select("query_id", "vector", "dim", "norm", bound.alias("bound")), "queries")
+        n = short.count()
+        if not n:
+            return found
+        found = found.join(short, "query_id", "left_anti").unionByName(ask(short, n))
+        asking = short

@@ -71,3 +71,27 @@ def test_recall_with_uneven_norms(spark):
     assert all(len(found[q]) == 20 for q in want)
     hits = sum(len(found[q] & {i for i, _ in want[q]}) for q in want)
     assert hits >= 0.95 * 20 * len(want)
+
+
+def test_all_candidates_if_fewer(spark):
+    rng = np.random.default_rng(8)
+    rows = [(100 + i, rng.normal(size=2).tolist()) for i in range(2000)]
+    for size in range(3, 40):  # a few vectors of each length, one opposite to the others
+        query = rng.normal(size=size)
+        rows += [(3_000 + 3 * size + i, (query * x).tolist()) for i, x in enumerate((1.0, 0.999, -1.0))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in ann.search(table, (F.col("vec_id") >= 3_000) & (F.col("vec_id") % 3 == 0)).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert found == {3_000 + 3 * size: {3_001 + 3 * size, 3_002 + 3 * size} for size in range(3, 40)}
+
+
+def test_windows_widen_until_enough_are_found(spark):
+    rng = np.random.default_rng(9)
+    rows = list(enumerate(rng.normal(size=(400, 16)).tolist()))
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    # more directions must agree than there are: only windows that hold all vectors give candidates
+    found = {}
+    for r in sorted(ann.search(table, F.col("vec_id") < 30, agree=ann.DIRECTIONS + 1).collect(), key=lambda r: r["rank"]):
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert found == brute(rows, lambda i: i < 30)

@@ -2,17 +2,19 @@
 
 Four base kinds are found by fixed expressions and their checks. Generators with high recall
 propose further, overlapping spans: spelled-out addresses, numbers without a country code,
-groups of digits with other separators, longer dotted or colon-separated numbers. Gradient
-boosted trees learn from format and context what base spans look like (proposals that cover
-exactly a base span are positive, the rest negative) and score every proposal; the threshold
-is the lowest at which proposals of a held-out part are precise. What passes and does not
-overlap a base span is added under the kind of its generator.
+groups of digits with other separators, longer dotted or colon-separated numbers. What these
+propose has no label. Gradient boosted trees learn format and context from base spans that are
+rewritten into those formats where they stand (positive) and from matches of the base
+expressions that fail their checks, as they are and rewritten likewise (negative; only those
+that overlap neither a base span nor a proposal). Of each kind, the threshold is the lowest at
+which the rewritten ones of a held-out part are precise. What passes and does not overlap a
+base span is added under the kind of its generator.
 
 Everything is DataFrame functions. Places of matches come from the lengths of the pieces
 between them. Only texts with a digit or an @ are looked at closer.
 
 Defined cases: null texts are empty; texts without spans have counts of 0 and empty lists;
-repeated rows are rows of their own; without proposals of both outcomes nothing is added; an
+repeated rows are rows of their own; without examples of both outcomes nothing is added; an
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -57,13 +59,13 @@ CUES = {
     "phone": "phone|tel|call|mobile|fax",
 }
 
-#: Proposals that the trees learn from at most (those with the smallest hash), trees and depth.
+#: Distinct examples that the trees learn from at most (those with the smallest hash), trees and depth.
 SAMPLE = 20_000
 TREES = 12
 DEPTH = 3
-#: One part in so many is held out of the sample to set the threshold.
+#: One part in so many of all examples is held out of the sample to set the thresholds.
 HELD_OUT = 4
-#: Precision that proposals above the threshold must have there, and how many there must be.
+#: Precision that examples of a kind above its threshold must have there, and how many there must be.
 PRECISION = 0.99
 LEAST_HELD_OUT = 20
 
@@ -154,45 +156,92 @@ def _features(rows: DataFrame) -> DataFrame:
 
 
 def proposals(docs: DataFrame) -> DataFrame:
-    """The stored table of matches: uid, doc_id, kind, gen, start, end, hit, context, base (a base span), positive (equals one)."""
+    """The stored table of matches: uid, doc_id, kind, gen, start, end, hit, context, base (a base span), positive (equals one), alone (overlaps no base span or extra proposal)."""
     numbered = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", whole("text").alias("text"))
     rows = _hits(numbered.filter(_worth_a_look(F.col("text"))))
     kinds = F.array(*(F.lit(KINDS.index(k)) for k, _ in PROPOSALS))
     rows = rows.withColumn("kind", F.element_at(kinds, F.col("gen") + 1))
     rows = rows.withColumn("base", F.coalesce(F.when(F.col("gen") < len(KINDS), _passes(F.col("gen"), F.col("hit"))), F.lit(False)))
     same = Window.partitionBy("uid", "kind", "start", "end")
-    return store(rows.withColumn("positive", F.max("base").over(same)), "proposals")
+    rows = rows.withColumn("positive", F.max("base").over(same))
+    taken = F.col("base") | (F.col("gen") >= len(KINDS))
+    by_start = Window.partitionBy("uid").orderBy("start")
+    reached = F.max(F.when(taken, F.col("end"))).over(by_start.rangeBetween(Window.unboundedPreceding, 0))
+    following = F.min(F.when(taken, F.col("start"))).over(by_start.rangeBetween(0, Window.unboundedFollowing))
+    alone = ~taken & (F.coalesce(reached, F.lit(0)) <= F.col("start")) & F.coalesce(following >= F.col("end"), F.lit(True))
+    return store(rows.withColumn("alone", alone), "proposals")
+
+
+def _examples(rows: DataFrame) -> DataFrame:
+    """Labelled proposals: hit, left, right, gen, label, order (a hash), rewritten."""
+    rows = rows.filter((F.col("gen") < len(KINDS)) & (F.col("base") | F.col("alone")))
+    order, hit = F.xxhash64("hit", "left", "right", "gen"), F.col("hit")
+    digits = F.regexp_replace(hit, "[^0-9]", "")
+
+    def one_of(*choices: str) -> Column:
+        return F.element_at(F.array(*map(F.lit, choices)), (F.pmod(order, F.lit(len(choices))) + 1).cast("int"))
+
+    def grouped(text: Column, size: int, between: Column) -> Column:
+        return F.regexp_replace(text, F.lit("(.{%d})(?=.)" % size), F.concat(F.lit("$1"), between))
+
+    def local(number: Column) -> Column:
+        parts = [F.substring(number, 1, 3), F.substring(number, 4, 3), F.substring(number, 7, 4)]
+        opens, closes, between = one_of("(", "", "", ""), one_of(") ", "-", ".", "/"), one_of("-", "-", ".", "-")
+        return F.concat(opens, parts[0], closes, parts[1], between, parts[2])
+
+    at, dot, between = one_of(" (at) ", "(at)", " at ", "[at]", " [at] "), one_of(".", " (dot) ", ".", "[dot]", " dot "), one_of(".", "/", "_", " - ")
+    between = F.when(between == " - ", F.lit("- ")).otherwise(between)
+
+    def example(gen: int, text: Column, when: Column, label: int) -> Column:
+        return F.when(when, F.struct(text.alias("hit"), F.lit(gen).alias("gen"), F.lit(float(label)).alias("label"), F.lit(True).alias("rewritten")))
+
+    base, gen, n = F.col("base"), F.col("gen"), F.length(digits)
+    spelled = F.concat(F.substring_index(hit, "@", 1), at, F.replace(F.substring_index(hit, "@", -1), F.lit("."), dot))
+    made = F.array(
+        F.struct(hit.alias("hit"), gen.alias("gen"), F.when(base, 1.0).otherwise(0.0).alias("label"), F.lit(False).alias("rewritten")),
+        example(4, spelled, base & (gen == 0), 1),
+        example(5, local(F.right(digits, F.lit(10))), base & (gen == 3), 1),
+        example(6, grouped(digits, 4, between), base & (gen == 2), 1),
+        example(7, grouped(F.md5(hit), 4, F.lit(":")), base & (gen == 1), 1),
+        example(4, F.concat(digits, at, F.left(digits, F.lit(3)), dot, F.right(digits, F.lit(2))), ~base, 0),
+        example(5, local(F.right(digits, F.lit(10))), ~base & (n >= 10), 0),
+        example(6, grouped(F.left(digits, F.lit(19)), 4, between), ~base & (n >= 14) & ~luhn(F.left(digits, F.lit(19))), 0),
+        example(7, grouped(F.rpad(digits, 16, digits), 2, F.lit(":")), ~base & (n >= 4), 0),
+    )
+    each = rows.select("left", "right", order.alias("order"), F.explode(F.filter(made, lambda x: x.isNotNull())).alias("e"))
+    return each.select("e.*", "left", "right", "order")
 
 
-def _threshold(scored: DataFrame) -> float | None:
-    """The lowest probability from which on the held-out proposals are precise; a hundred steps."""
+def _thresholds(scored: DataFrame) -> dict[int, float]:
+    """By kind, the lowest probability from which on the held-out examples are precise; a hundred steps."""
     step = F.floor(F.col("probability_1") * 100)
-    steps = scored.groupBy(step.alias("step")).agg(F.count("*").alias("n"), F.sum("label").alias("right")).collect()
-    n = right = 0
-    best = None
+    steps = scored.groupBy(F.col("f_kind").cast("int").alias("kind"), step.alias("step")).agg(F.count("*").alias("n"), F.sum("label").alias("right")).collect()
+    best, seen = {}, {}
     for r in sorted(steps, key=lambda r: -r["step"]):
-        n, right = n + r["n"], right + r["right"]
+        n, right = seen.get(r["kind"], (0, 0))
+        n, right = seen[r["kind"]] = n + r["n"], right + r["right"]
         if n >= LEAST_HELD_OUT and right >= PRECISION * n:
-            best = r["step"] / 100
+            best[r["kind"]] = r["step"] / 100
     return best
 
 
 def _added(rows: DataFrame) -> DataFrame | None:
     """uid, start, kind, end of proposals that the trees select beyond the base spans."""
-    matched = _features(rows.filter(F.col("gen").isNotNull())).withColumn("label", F.col("positive").cast("double"))
-    order = F.xxhash64("hit", "left", "right", "gen")
-    sample = store(matched.select("features", "label", order.alias("order")).orderBy("order").limit(SAMPLE), "sample")
-    fold = F.pmod(F.col("order"), HELD_OUT)
-    learn = sample.filter(fold != 0)
+    examples = _examples(rows.filter(F.col("gen").isNotNull()))
+    fold = F.pmod(F.col("order"), F.lit(HELD_OUT))
+    once = examples.filter(fold != 0).dropDuplicates(["hit", "left", "right", "gen"])
+    learn = store(_features(once.orderBy("order", "gen").limit(SAMPLE)).select("features", "label"), "sample")
     if {r["label"] for r in learn.select("label").distinct().collect()} != {0.0, 1.0}:
         return None
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1, maxBins=32).fit(learn)
     probability = vector_to_array("probability")[1].alias("probability_1")
-    threshold = _threshold(model.transform(sample.filter(fold == 0)).select("label", probability))
-    if threshold is None:
+    held_out = _features(examples.filter((fold == 0) & F.col("rewritten")))
+    thresholds = _thresholds(model.transform(held_out).select("f_kind", "label", probability))
+    if not thresholds:
         return None
-    scored = model.transform(matched.filter(~F.col("positive"))).select("uid", "start", "kind", "end", probability)
-    return scored.filter(F.col("probability_1") >= threshold).select("uid", "start", "kind", "end")
+    scored = model.transform(_features(rows.filter((F.col("gen") >= len(KINDS)) & ~F.col("positive")))).select("uid", "start", "kind", "end", probability)
+    least = F.element_at(F.array(*(F.lit(thresholds.get(k, 2.0)) for k in range(len(KINDS)))), F.col("kind") + 1)
+    return scored.filter(F.col("probability_1") >= least).select("uid", "start", "kind", "end")
 
 
 def _span_rows(docs: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ which the rewritten ones of a held-out part are precise. What passes and does no
 base span is added under the kind of its generator.
 
 Everything is DataFrame functions. Places of matches come from the lengths of the pieces
-between them. Only texts with a digit or an @ are looked at closer.
+between them. Only texts with what some generator requires are looked at closer.
 
 Defined cases: null texts are empty; texts without spans have counts of 0 and empty lists;
 repeated rows are rows of their own; without examples of both outcomes nothing is added; an
@@ -43,7 +43,7 @@ BASE = {
 #: Generators: kind and expression. The first four are the base ones.
 PROPOSALS = (
     *((k, BASE[k]) for k in KINDS),
-    ("email", r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+\x20?(?:\(at\)|\[at\]|\x20at\x20|@)\x20?[a-z0-9-]++(?:\x20?(?:\(dot\)|\[dot\]|\x20dot\x20|\.)\x20?[a-z0-9-]++)++"),
+    ("email", r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++\x20?(?:\(at\)|\[at\]|\x20at\x20|@)\x20?[a-z0-9-]++(?:\x20?(?:\(dot\)|\[dot\]|\x20dot\x20|\.)\x20?[a-z0-9-]++)++"),
     ("phone", r"(?<![0-9+])(?:00[1-9][0-9]{0,2}[\x20.-]?)?\(?[0-9]{3}\)?[\x20./-]{1,2}[0-9]{3}[\x20./-][0-9]{4}(?![0-9])"),
     ("card", r"(?<![0-9])[0-9]{4}(?:[\x20._/-]{1,2}[0-9]{4}){2}[\x20._/-]{1,2}[0-9]{1,7}(?![0-9])"),
     ("ip", r"(?i)(?<![0-9a-f:])(?:[0-9a-f]{1,4}:){7}[0-9a-f]{1,4}(?![0-9a-f:])"),
@@ -97,8 +97,8 @@ def _passes(gen: Column, hit: Column) -> Column:
 
 def _worth_a_look(text: Column) -> Column:
     low = F.lower(text)
-    spelled = F.when(low.contains("dot"), low.rlike(r"[(\[ ]at[)\] ].{1,80}[(\[ ]dot[)\] ]")).otherwise(False)
-    return text.rlike("[0-9@]") | spelled
+    spelled = low.rlike(r"\(at\)|\[at\]|\x20at\x20") & (low.contains(".") | low.contains("dot"))
+    return text.rlike("[0-9@]") | spelled | low.rlike("(?:[a-f]{1,4}:){7}[a-f]")
 
 
 def _hits(docs: DataFrame) -> DataFrame:

@@ -88,8 +88,8 @@ def test_trees_add_other_formats(spark):
     for i in range(400):
         number = f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"
         texts += [f"word word {number} word", f"mail{i}@host.example.com is here", f"call it {rng.randint(1, 99999)} times or 12.5 percent"]
-    planted = {len(texts): "write to someone.else2 (at) host.example.com today", len(texts) + 1: "word word (262) 555-7240 word"}
+    planted = {len(texts): "write to someone.else (at) host.example.com today", len(texts) + 1: "word word (262) 555-7240 word", len(texts) + 2: "x" * 80 + "(at)host.example.com is here"}
     texts += planted.values()
     rows = {r.doc_id: r for r in pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     check(rows.values(), dict(enumerate(texts)))
-    assert [rows[i].spans for i in planted] == ["email:9:44", "phone:10:24"]
+    assert [rows[i].spans for i in planted] == ["email:9:43", "phone:10:24", "email:0:100"]

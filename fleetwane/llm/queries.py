@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwane.llm import ann, bpe, jaccard, language, lines, mixing, pii, quality, secrets, sql, substrings
+from fleetwane.llm import ann, bpe, jaccard, language, lines, mixing, packing, periodic, pii, quality, resampling, secrets, sql, substrings
 from fleetwane.llm.text import fold
 
 QUERIES: dict = {}
@@ -91,3 +91,20 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_jaccard_join", sql.JACCARD_JOIN)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(_read(spark, folder, "documents"))
+
+
+@query("op11_periodic_runs", sql.PERIODIC_RUNS)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", periodic.with_periods("text", "doc_id").alias("text"))
+    return periodic.find(docs).select("doc_id", *periodic.digests(F.col("periodic")))
+
+
+@query("op12_importance_resampling", sql.IMPORTANCE_RESAMPLING)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    weighed = resampling.weights(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+    return resampling.draw(weighed).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_packing")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_read(spark, folder, "documents"), tokenizer_path(), with_ids=False)

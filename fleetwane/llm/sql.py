@@ -89,3 +89,65 @@ pairs AS (
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
 FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
 """
+
+CRC_TABLE = """crc_table AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS tab
+)"""
+
+
+def crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, with a row of ``crc_table`` at hand."""
+    raw = f"hex(encode({text}))"
+    octets = f"list_transform(range(length({raw}) // 2), lambda i: ('0x' || substr({raw}, 2 * i + 1, 2))::BIGINT)"
+    return f"xor(list_reduce({octets}, lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295)"
+
+
+PERIODIC_RUNS = f"""
+WITH {CRC_TABLE}, split AS (
+  SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w, {crc32("coalesce(doc_id::VARCHAR, '')")} AS h, tab FROM documents, crc_table
+), planned AS (
+  SELECT r, doc_id, w, len(w) AS n, doc_id IS NOT NULL AND h % 10 = 0 AND len(w) > 0 AS planted, (h // 10) % greatest(len(w), 1) AS a, h // 10 AS g FROM split
+), docs AS (
+  SELECT r, doc_id, n, CASE WHEN planted THEN w[1:a] || list_transform(range(n - a), lambda i: w[a + i % (1 + (n - a) // (3 + g % 8)) + 1]) ELSE w END AS w
+  FROM planned
+), places AS (SELECT r, unnest(w) AS word, unnest(range(n)) AS i FROM docs),
+grams AS (
+  SELECT r, i, list(word) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) AS gram FROM places
+), keyed AS (SELECT r, i, hash(gram) AS k, gram FROM grams WHERE len(gram) = 6),
+-- a run of 12 words or more has equal six-word windows one period apart, all along
+same AS (SELECT x.r, x.i, y.i - x.i AS q FROM keyed x JOIN keyed y ON x.r = y.r AND x.k = y.k AND x.i < y.i AND x.gram = y.gram),
+islands AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM same),
+stretches AS (SELECT r, q, min(i) AS start, max(i) - min(i) + 6 + q AS length FROM islands GROUP BY r, q, island),
+runs AS (SELECT r, start, length, min(q) AS period FROM stretches WHERE length >= greatest(12, 2 * q) GROUP BY r, start, length),
+listed AS (
+  SELECT r, count(*) AS n_runs, string_agg(concat_ws(',', start, length, period) || chr(10), '' ORDER BY start, period) AS lines,
+    arg_max({{'s': start, 'n': length, 'p': period}}, (length, -start, -period)) AS best
+  FROM runs GROUP BY r
+), dropped AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS t FROM places ANTI JOIN dropped USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.n::BIGINT AS length, best.p::BIGINT AS period,
+  floor(1000 * best.n / best.p)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM docs LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
+"""
+
+IMPORTANCE_RESAMPLING = f"""
+WITH {CRC_TABLE}, texts AS (
+  SELECT row_number() OVER () AS r, doc_id, text, true AS own FROM documents UNION ALL SELECT NULL, NULL, text, false FROM benchmark
+), found AS (
+  SELECT r, doc_id, own, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM texts
+), words AS (SELECT r, own, unnest(w) AS word FROM found),
+buckets AS (SELECT word, {crc32('word')} % 10000 AS b FROM (SELECT DISTINCT word FROM words), crc_table),
+hashed AS (SELECT r, own, b FROM words JOIN buckets USING (word)),
+counts AS (
+  SELECT k AS b, count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t FROM range(10000) x(k) LEFT JOIN hashed ON b = k GROUP BY k
+), gains AS (
+  SELECT b, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM counts
+), summed AS (SELECT r, sum(gain)::BIGINT AS weight FROM hashed JOIN gains USING (b) WHERE own GROUP BY r),
+scored AS (
+  SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight, len(w) >= 20 AS ready,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM found LEFT JOIN summed USING (r) WHERE own
+), ranked AS (SELECT *, row_number() OVER (ORDER BY ready DESC, score DESC, doc_id NULLS LAST, weight, n_features) AS nth FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN nth <= floor(10 * (SELECT count(*) FROM scored WHERE ready) / 100) THEN nth END AS rank FROM ranked
+"""

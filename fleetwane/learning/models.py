@@ -1,27 +1,29 @@
 """Tree regressors on Spark ML.
 
-Each ``train_*`` builder maps the search parameters of a model family to a Spark
-estimator. Not available in Spark, and therefore not imitated or drawn by the search: a
-minimum number of rows to split a node; column sampling per tree (Spark samples per node) and leaf-wise growth
-(depth-limited trees with as many leaves are used).
+Each ``train_*`` builder maps the search parameters of a model family to something that fits.
+Spark grows the trees; what its estimators lack is done with the node tables of its trees
+(``learning/nodes.py``): a minimum number of rows to split a node, columns sampled per boosted
+tree, and leaf-wise growth. All models are Spark's own, stored and loaded as such.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import random
 import time
-import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.feature import Imputer, VectorAssembler, VectorSlicer
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetwane.learning import nodes
 from fleetwane.learning import runs as R
 from fleetwane.operators.columns import align_columns, fill_missing_features
 from fleetwane.operators.metrics import regression_metrics
@@ -35,12 +37,18 @@ SPLIT_MEMORY_MB = 1024
 # The deepest tree Spark grows; stands in for an unlimited depth.
 MAX_DEPTH = 30
 
+# Levels that a tree is grown further if leaf-wise growth might go deeper.
+DEEPER = 3
+
+# Boosting rounds between checkpoints.
+CHECKPOINT_ROUNDS = 10
+
 FOREST, BOOSTED, LEAFWISE = "forest", "boosted", "boosted_leafwise"
 
 
-def train_forest(params: Mapping) -> RandomForestRegressor:
-    """n_estimators, max_depth (None: as deep as Spark grows), min_samples_leaf, max_features, bootstrap, random_state."""
-    return RandomForestRegressor(
+def train_forest(params: Mapping) -> Forest:
+    """n_estimators, max_depth (None: as deep as Spark grows), min_samples_split, min_samples_leaf, max_features, bootstrap, random_state."""
+    estimator = RandomForestRegressor(
         labelCol=RUL,
         maxMemoryInMB=SPLIT_MEMORY_MB,
         numTrees=params.get("n_estimators", 100),
@@ -50,30 +58,112 @@ def train_forest(params: Mapping) -> RandomForestRegressor:
         bootstrap=params.get("bootstrap", True),
         seed=params.get("random_state", 42),
     )
+    return Forest(estimator, params.get("min_samples_split", 2))
 
 
-def train_boosted(params: Mapping) -> GBTRegressor:
-    """n_estimators, max_depth, learning_rate, subsample, colsample_bytree, random_state."""
-    return GBTRegressor(
-        labelCol=RUL,
-        maxMemoryInMB=SPLIT_MEMORY_MB,
-        maxIter=params.get("n_estimators", 100),
-        maxDepth=params.get("max_depth", 6),
-        stepSize=params.get("learning_rate", 0.3),
-        subsamplingRate=params.get("subsample", 1.0),
-        featureSubsetStrategy=str(params.get("colsample_bytree", 1.0)),
+@dataclass(frozen=True)
+class Forest:
+    """Fits a forest; splits of nodes with too few rows are cut off its trees."""
+
+    estimator: RandomForestRegressor
+    min_samples_split: int = 2
+
+    def fit(self, train: DataFrame) -> RandomForestRegressionModel:
+        model = self.estimator.fit(train)
+        if self.min_samples_split <= 2:  # every split has two rows
+            return model
+        return nodes.rebuilt(model, nodes.require_rows_to_split(nodes.node_table(model), self.min_samples_split))
+
+
+def columns_of_round(features: int, share: float, seed: int, number: int) -> list[int]:
+    """The columns that boosted tree ``number`` may use: a seeded draw of ``share`` of them, one at least."""
+    wanted = min(features, max(1, round(share * features)))
+    return sorted(random.Random(f"{seed}:{number}").sample(range(features), wanted))
+
+
+@dataclass(frozen=True)
+class Boosting:
+    """Boosting on squared errors: the mean, then trees on what is left, each on columns of its own.
+
+    A round fits one Spark tree to the residuals (the label less a stored prediction). With
+    ``leaves`` the tree is grown by level until it decides which splits leaf-wise growth
+    makes, and only those are kept. The prediction is a column; every few rounds the table is
+    checkpointed, so that neither plan nor lineage grow with the rounds.
+    """
+
+    rounds: int
+    depth: int
+    rate: float
+    subsample: float = 1.0
+    columns: float = 1.0
+    leaves: int | None = None
+    min_rows: int = 1
+    seed: int = 42
+
+    def fit(self, train: DataFrame) -> GBTRegressionModel:
+        width = train.schema["features"].metadata["ml_attr"]["num_attrs"]
+        mean, n = train.agg(F.avg(RUL), F.count(RUL)).first()
+        table = train.select("features", vector_to_array("features").alias("cells"), RUL, F.lit(mean).alias("fitted"))
+        trees, depth = [nodes.leaf_tree(mean, n)], self.depth
+        for number in range(self.rounds):
+            if number and number % CHECKPOINT_ROUNDS == 0:
+                table = table.checkpoint()
+            tree, depth = self._tree(table, number, width, depth)
+            trees.append(tree)
+            step = F.expr(nodes.as_expression(tree, "cells")) * self.rate
+            table = table.withColumn("fitted", F.col("fitted") + step)
+        template = GBTRegressor(labelCol=RUL, maxIter=max(1, len(trees)), maxDepth=depth, stepSize=self.rate, subsamplingRate=self.subsample, seed=self.seed)
+        return nodes.as_boosted(trees, [1.0, *[self.rate] * self.rounds], template, width)
+
+    def _tree(self, table: DataFrame, number: int, width: int, depth: int) -> tuple[list[nodes.Node], int]:
+        """The tree of a round, its features numbered as in the whole vector, and the depth it was grown to."""
+        columns = columns_of_round(width, self.columns, self.seed, number)
+        left = table.withColumn("residual", F.col(RUL) - F.col("fitted"))
+        if len(columns) < width:
+            left = VectorSlicer(inputCol="features", outputCol="slice", indices=columns).transform(left)
+        while True:
+            grower = RandomForestRegressor(
+                labelCol="residual",
+                featuresCol="slice" if len(columns) < width else "features",
+                numTrees=1,
+                bootstrap=False,
+                subsamplingRate=self.subsample,
+                featureSubsetStrategy="all",
+                maxDepth=depth,
+                minInstancesPerNode=self.min_rows,
+                maxMemoryInMB=SPLIT_MEMORY_MB,
+                seed=self.seed + number,
+            )
+            tree = nodes.tree_rows(nodes.node_table(grower.fit(left)))
+            if self.leaves is None or depth >= MAX_DEPTH or nodes.deep_enough(tree, self.leaves, depth, self.min_rows):
+                break
+            depth = min(MAX_DEPTH, depth + DEEPER)
+        if self.leaves is not None:
+            tree = nodes.with_splits(tree, nodes.best_first(tree, self.leaves))
+        return [replace(node, feature=columns[node.feature]) if node.left >= 0 else node for node in tree], depth
+
+
+def train_boosted(params: Mapping) -> Boosting:
+    """n_estimators, max_depth, learning_rate, subsample, colsample_bytree (of the columns, per tree), random_state."""
+    return Boosting(
+        rounds=params.get("n_estimators", 100),
+        depth=params.get("max_depth", 6),
+        rate=params.get("learning_rate", 0.3),
+        subsample=params.get("subsample", 1.0),
+        columns=params.get("colsample_bytree", 1.0),
         seed=params.get("random_state", 42),
     )
 
 
-def train_boosted_leafwise(params: Mapping) -> GBTRegressor:
-    """n_estimators, num_leaves, learning_rate, random_state."""
-    return GBTRegressor(
-        labelCol=RUL,
-        maxMemoryInMB=SPLIT_MEMORY_MB,
-        maxIter=params.get("n_estimators", 100),
-        maxDepth=math.ceil(math.log2(params.get("num_leaves", 31))),
-        stepSize=params.get("learning_rate", 0.1),
+def train_boosted_leafwise(params: Mapping) -> Boosting:
+    """n_estimators, num_leaves, learning_rate, min_child_samples, random_state; the best leaf is split next."""
+    leaves = params.get("num_leaves", 31)
+    return Boosting(
+        rounds=params.get("n_estimators", 100),
+        depth=min(MAX_DEPTH, math.ceil(math.log2(leaves)) + 1),
+        rate=params.get("learning_rate", 0.1),
+        leaves=leaves,
+        min_rows=params.get("min_child_samples", 20),
         seed=params.get("random_state", 42),
     )
 
@@ -109,19 +199,12 @@ def feature_importances(model: PipelineModel, *, splits: bool = False) -> DataFr
     if not splits:
         rows = list(zip(names, (float(x) for x in trees.featureImportances.toArray())))
         return sort_importances(spark.createDataFrame(rows, "feature string, importance double"))
-    nodes = _tree_nodes(spark, trees).filter("nodeData.leftChild >= 0")
-    counts = {r[0]: r[1] for r in nodes.groupBy("nodeData.split.featureIndex").count().collect()}  # one row per feature
+    splits_of = nodes.node_table(trees).filter("left >= 0").groupBy("feature").count()
+    counts = {r[0]: r[1] for r in splits_of.collect()}  # one row per feature
     rows = [(name, float(counts.get(i, 0))) for i, name in enumerate(names)]
     return sort_importances(spark.createDataFrame(rows, "feature string, importance double"))
 
 
-def _tree_nodes(spark: SparkSession, trees) -> DataFrame:
-    """The node table of a saved model: one row per node of every tree."""
-    path = f"{scratch_dir(spark)}/trees-{uuid.uuid4().hex}"
-    trees.write().save(path)
-    return spark.read.parquet(f"{path}/data")
-
-
 def sort_importances(importances: DataFrame) -> DataFrame:
     return importances.orderBy(F.desc("importance"), "feature")
 

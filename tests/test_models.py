@@ -64,8 +64,9 @@ def test_boosted_families(features, family, params):
 
 
 def test_depth_and_leaves_are_mapped():
-    assert models.train_forest({"max_depth": None}).getMaxDepth() == 30
-    assert models.train_boosted_leafwise({"num_leaves": 50}).getMaxDepth() == 6
+    assert models.train_forest({"max_depth": None}).estimator.getMaxDepth() == 30
+    assert models.train_boosted_leafwise({"num_leaves": 50}).leaves == 50
+    assert models.train_forest({"min_samples_split": 10}).min_samples_split == 10
 
 
 def test_search_store_score(spark, features, folder):

@@ -166,6 +166,22 @@ def _(spark, folder):
     return rounded(profile.kde_curve(T.telemetry(spark, folder), ["sensor_2"]))
 
 
+_KDE_INF = f"""WITH {T.TELEMETRY}, readings AS (SELECT sensor_2 AS x FROM telemetry WHERE reading_id % 50 <> 7),
+    shape AS (SELECT min(x) AS lo, max(x) AS hi, count(x) AS n, stddev_samp(x) * pow(count(x), -0.2) AS h FROM readings),
+    grid AS (SELECT CAST(p AS INTEGER) AS point, lo + (hi - lo) / 199 * p AS g, n, h FROM shape, (SELECT unnest(range(200)) AS p) g)
+    SELECT 'sensor_2' AS "column", point, {r('any_value(g)', 'x')},
+           {r('sum(exp(-0.5 * pow((g - x) / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi()))', 'density', 9)}
+    FROM grid, readings GROUP BY point"""
+
+
+@register("kde_curve_infinite", _KDE_INF)
+def _(spark, folder):
+    """Some readings are infinite; the curve is that of the others, to nine digits."""
+    n = F.col("reading_id")
+    odd = F.when(n % 100 == 7, float("inf")).when(n % 100 == 57, float("-inf")).otherwise(F.col("sensor_2"))
+    return rounded(profile.kde_curve(T.telemetry(spark, folder).withColumn("sensor_2", odd), ["sensor_2"]), density=9)
+
+
 @register(
     "box_stats",
     f"WITH {T.TELEMETRY} "

@@ -49,6 +49,32 @@ def _(spark, folder):
     return rounded(readers.read_csv_table(spark, path))
 
 
+@register(
+    "read_csv_types",
+    f"WITH {T.TELEMETRY} SELECT reading_id + 9007199254740993 AS serial, reading_id % 3 = 0 AS flagged, "
+    "lpad(CAST(reading_id % 1000 AS VARCHAR), 6, '0') AS code, CAST(DATE '2024-01-01' + CAST(reading_id % 300 AS INTEGER) AS VARCHAR) AS checked, 'date' AS kind, "
+    f"CASE WHEN reading_id % 5 > 0 THEN reading_id END AS visits, {r('sensor_2 / 7', 'ratio', 9)}, "
+    "CASE WHEN reading_id % 2 = 0 THEN CAST(reading_id AS VARCHAR) ELSE 'true' END AS mixed FROM telemetry",
+)
+def _(spark, folder):
+    """Columns outside the data model: large ids, flags, codes with leading zeros, dates, whole numbers with gaps, fractions."""
+    path = _path(spark, "types") + ".csv"
+    n = F.col("reading_id")
+    df = T.telemetry(spark, folder).select(
+        (n + 9007199254740993).alias("serial"),
+        (n % 3 == 0).alias("flagged"),
+        F.lpad((n % 1000).cast("string"), 6, "0").alias("code"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (n % 300).cast("int")).alias("checked"),
+        F.when(n % 5 > 0, n).alias("visits"),
+        (F.col("sensor_2") / 7).alias("ratio"),
+        F.when(n % 2 == 0, n.cast("string")).otherwise("true").alias("mixed"),
+    )
+    writers.write_table(df, path, format="csv")
+    found = readers.read_csv_table(spark, path)
+    kind = F.lit(dict(found.dtypes)["checked"]).alias("kind")
+    return rounded(found.select(*found.columns, kind).withColumn("checked", F.col("checked").cast("string")), ratio=9)
+
+
 @register("write_table", f"WITH {T.TELEMETRY} SELECT {KEYS}, {r('sensor_2', 'sensor_2')} FROM telemetry")
 def _(spark, folder):
     path = _path(spark, "telemetry")

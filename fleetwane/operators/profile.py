@@ -279,36 +279,56 @@ def histogram(df: DataFrame, columns: Sequence[str], *, bins: int = 30) -> DataF
     )
 
 
+#: Width of a cell of the density in bandwidths, terms of its expansion, and how many bandwidths a cell reaches.
+CELL, TERMS, REACH = 0.5, 12, 9
+
+
 def kde_curve(df: DataFrame, columns: Sequence[str], *, points: int = 200) -> DataFrame:
     """Gaussian kernel density on a grid from smallest to largest value (Scott bandwidth).
 
-    Every reading meets the grid where it is read; the sums over the grid, whose size is
-    fixed, are combined on the map side, so that no reading is shuffled.
+    A fast Gauss transform: readings are summed up per cell of half a bandwidth, as moments
+    t^k exp(-t^2 / 2) / k! of their distance t (in bandwidths) from the cell's middle, on the map
+    side; a grid point at distance u then gets exp(-u^2 / 2) times the sum of moment k times
+    u^k from each cell within reach. With |t| <= 1/4 the terms left out are below 1e-12 of a
+    reading's peak, and what lies beyond the reach is below 3e-18. Only cells meet the grid,
+    readings do not. Infinite readings have no place on the curve and are left out; a constant
+    column has no density.
     """
-    values = long_values(df, columns)
+    values = long_values(df, columns).filter(F.abs("value") < float("inf"))
     shape = values.groupBy("column").agg(
         F.min("value").alias("low"),
         F.max("value").alias("high"),
         F.count(F.lit(1)).alias("n"),
         (F.stddev_samp("value") * F.pow(F.count(F.lit(1)), F.lit(-0.2))).alias("bandwidth"),
     )
-    step = F.try_divide(F.col("high") - F.col("low"), F.lit(points - 1))
-    grid = F.sequence(F.lit(0), F.lit(points - 1))
-    distance = F.try_divide(F.col("low") + F.col("step") * F.col("point") - F.col("value"), F.col("bandwidth"))
-    shape = shape.withColumn("step", step)
-    sums = (
+    shape = shape.withColumn("step", F.try_divide(F.col("high") - F.col("low"), F.lit(points - 1)))
+    low, bandwidth, step = F.col("low"), F.col("bandwidth"), F.col("step")
+    place = F.try_divide(F.col("value") - low, bandwidth * CELL)
+    t = (place - F.floor(place) - 0.5) * CELL
+    moments = [F.sum(F.exp(t * t * -0.5) * F.pow(t, F.lit(float(k))) / math.factorial(k)).alias(f"m{k}") for k in range(TERMS)]
+    cells = (
         values.join(F.broadcast(shape), "column")  # one row per profiled column
-        .withColumn("point", F.explode(grid))
-        .groupBy("column", "point")
-        .agg(F.sum(F.exp(distance * distance * -0.5)).alias("weight"))
+        .filter(bandwidth > 0)
+        .groupBy("column", F.floor(place).alias("cell"))
+        .agg(*moments)
         .join(F.broadcast(shape), "column")
     )
-    scale = F.col("n") * F.col("bandwidth") * F.sqrt(F.lit(2.0) * F.pi())
-    return sums.select(
+    middle = low + (F.col("cell") + 0.5) * CELL * bandwidth
+    first = F.greatest(F.lit(0), F.ceil((middle - REACH * bandwidth - low) / step))
+    last = F.least(F.lit(points - 1), F.floor((middle + REACH * bandwidth - low) / step))
+    met = cells.filter(first <= last).withColumn("point", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+    u = (low + step * F.col("point") - middle) / bandwidth
+    power_sum = F.col(f"m{TERMS - 1}")
+    for k in range(TERMS - 2, -1, -1):
+        power_sum = power_sum * u + F.col(f"m{k}")
+    sums = met.groupBy("column", "point").agg(F.sum(F.exp(u * u * -0.5) * power_sum).alias("weight"))
+    grid = shape.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    scale = F.col("n") * bandwidth * F.sqrt(F.lit(2.0) * F.pi())
+    return grid.join(sums, ["column", "point"], "left").select(
         "column",
         "point",
-        (F.col("low") + F.col("step") * F.col("point")).alias("x"),
-        F.try_divide(F.col("weight"), scale).alias("density"),
+        (low + step * F.col("point")).alias("x"),
+        F.try_divide(F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(0.0)), scale).alias("density"),
     )
 
 

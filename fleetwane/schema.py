@@ -68,6 +68,12 @@ def column_type(name: str) -> T.DataType:
     return T.DoubleType()
 
 
+def is_known(name: str) -> bool:
+    """Whether the data model says what a column of this name holds."""
+    whole = {UNIT, TIME, RUL, FAILURE, RISK, "max_cycle", "health_score", "importance", "prediction"}
+    return name in whole or name.startswith(("sensor_", "op_setting_"))
+
+
 def schema_for(columns: Iterable[str]) -> T.StructType:
     """A schema for a table of the data model with the given columns."""
     return T.StructType([T.StructField(c, column_type(c), True) for c in columns])

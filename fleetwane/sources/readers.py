@@ -17,6 +17,7 @@ from fleetwane.schema import (
     UNIT,
     MissingTableError,
     column_type,
+    is_known,
     require_columns,
 )
 from fleetwane.operators.columns import coerce_integer, drop_missing
@@ -46,9 +47,12 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | None =
     """CSV with a header; NaN becomes NULL.
 
     With a schema that is the schema. Without one the columns are read as text and one pass
-    finds those whose every field can be read as the type of that name (``column_type``;
-    numbers for names not in the data model). The others stay text, unit ids included, so
-    that no field is lost. All files of a folder must have the same header.
+    finds what each holds. Columns of the data model have their type (``column_type``) if
+    every field can be read so. The others get the first type of the chain boolean, bigint,
+    decimal, double (and beside it date and timestamp) that takes all their fields as they are
+    written: whole numbers beyond bigint, or beyond a double's digits and mixed with fractions,
+    become decimals; fields with leading zeros are no numbers. What nothing takes stays text,
+    so that no field is lost. All files of a folder must have the same header.
     """
     reader = spark.read.option("header", True).option("enforceSchema", False)
     if schema is not None:
@@ -57,10 +61,68 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | None =
         return df.select(*(H.null_if_nan(F.col(f"`{c}`")).alias(c) if c in doubles else F.col(f"`{c}`") for c in df.columns))
     names = existing(lambda: spark.read.option("header", True).csv(path), path).columns
     text = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).csv(path)
-    typed = {c: _typed(F.col(f"`{c}`"), column_type(c)) for c in names}
-    lost = [F.count_if(F.col(f"`{c}`").isNotNull() & ~F.lower(f"`{c}`").eqNullSafe("nan") & v.isNull()).alias(c) for c, v in typed.items()]
-    unread = text.agg(*lost).first()
-    return text.select(*((F.col(f"`{c}`") if unread[i] else typed[c]).alias(c) for i, c in enumerate(names)))
+    if not names:
+        return text
+    seen = text.agg(*(_seen(c).alias(c) for c in names)).first()
+    return text.select(*(_as_type(F.col(f"`{c}`"), c, seen[i]).alias(c) for i, c in enumerate(names)))
+
+
+WHOLE, PLAIN = r"^[+-]?(0|[1-9][0-9]*)$", r"^[+-]?(0|[1-9][0-9]*)(\.[0-9]+)?$"
+NUMBER = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|inf|infinity)$"
+DAY, MOMENT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?$"
+#: Whole numbers up to here are doubles without loss.
+EXACT = 1 << 53
+DIGITS = 38
+
+
+def _seen(name: str) -> Column:
+    """What the fields of a column rule out, in a form that merges: numbers of fields that a type does not take, and digits."""
+    raw = F.col(f"`{name}`")
+    field = F.when(~F.lower(raw).eqNullSafe("nan"), F.trim(raw))
+
+    def lost(taken: Column) -> Column:
+        return F.count_if(field.isNotNull() & ~F.coalesce(taken, F.lit(False)))
+
+    if is_known(name):
+        return F.struct(lost(_typed(raw, column_type(name)).isNotNull()).alias("model"))
+    digits = F.regexp_replace(field, r"^[+-]", "")
+    plain = field.rlike(PLAIN)
+    fraction = F.when(plain, F.length(F.regexp_extract(field, r"\.([0-9]+)$", 1)))
+    beyond = field.rlike(WHOLE) & (F.length(digits) > 15) & ~F.coalesce(F.abs(field.try_cast("decimal(38,0)")) <= EXACT, F.lit(False))
+    return F.struct(
+        F.count(field).alias("n"),
+        lost(F.lower(field).isin("true", "false")).alias("boolean"),
+        lost(field.rlike(WHOLE) & field.try_cast("bigint").isNotNull()).alias("bigint"),
+        lost(plain).alias("plain"),
+        lost(F.lower(field).rlike(NUMBER) & ~digits.rlike("^0[0-9]") & field.try_cast("double").isNotNull()).alias("double"),
+        lost(field.rlike(DAY) & field.try_cast("date").isNotNull()).alias("date"),
+        lost(field.rlike(MOMENT) & field.try_cast("timestamp_ntz").isNotNull()).alias("timestamp_ntz"),
+        F.count_if(beyond).alias("beyond"),
+        F.max(F.when(plain, F.length(F.regexp_extract(digits, r"^[0-9]+", 0)))).alias("whole_digits"),
+        F.max(fraction).alias("fraction_digits"),
+    )
+
+
+def _as_type(field: Column, name: str, seen) -> Column:
+    """The column with the first type that loses no field."""
+    if is_known(name):
+        return field if seen["model"] else _typed(field, column_type(name))
+    text = F.when(~F.lower(field).eqNullSafe("nan"), F.trim(field))
+    if seen["n"] == 0:
+        return _typed(field, T.DoubleType())
+    if not seen["boolean"]:
+        return F.lower(text).try_cast("boolean")
+    if not seen["bigint"]:
+        return text.try_cast("bigint")
+    if not seen["plain"] and seen["beyond"]:
+        scale = seen["fraction_digits"] or 0
+        return text.try_cast(f"decimal({DIGITS},{scale})") if seen["whole_digits"] + scale <= DIGITS else field
+    if not seen["double"] and not seen["beyond"]:
+        return _typed(field, T.DoubleType())
+    for kind in ("date", "timestamp_ntz"):
+        if not seen[kind]:
+            return text.try_cast(kind)
+    return field
 
 
 def _typed(field: Column, kind: T.DataType) -> Column:

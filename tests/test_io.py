@@ -37,7 +37,7 @@ def test_csv_types_follow_names(spark, folder):
 def test_csv_loses_nothing(spark, folder):
     path = write(folder, "n.csv", "unit,time_in_cycles,note,extra,sensor_2\n1,1,hello,7,2.5\nE-7,2,world,NaN,3.5\n")
     df = readers.read_csv_table(spark, path)
-    assert dict(df.dtypes) == {"unit": "string", "time_in_cycles": "bigint", "note": "string", "extra": "double", "sensor_2": "double"}
+    assert dict(df.dtypes) == {"unit": "string", "time_in_cycles": "bigint", "note": "string", "extra": "bigint", "sensor_2": "double"}
     assert same(df.collect(), [("1", 1, "hello", 7.0, 2.5), ("E-7", 2, "world", None, 3.5)])
 
 
@@ -121,3 +121,38 @@ def test_cached(spark):
     df = readers.cached(spark.range(3))
     assert df.is_cached
     df.unpersist()
+
+
+@pytest.mark.parametrize(
+    "fields,kind,values",
+    [
+        (["true", "False", "NaN"], "boolean", [True, False, None]),
+        (["9007199254740993", "-5", ""], "bigint", [9007199254740993, -5, None]),
+        (["123456789012345678901234567890", "7"], "decimal(38,0)", ["123456789012345678901234567890", "7"]),
+        (["9007199254740993", "0.25"], "decimal(38,2)", ["9007199254740993.00", "0.25"]),
+        (["12345678901234567890123456789012345678", "0.5"], "string", ["12345678901234567890123456789012345678", "0.5"]),
+        (["1", "2.5", "nan", "1e3", "inf"], "double", [1.0, 2.5, None, 1000.0, float("inf")]),
+        (["007", "12"], "string", ["007", "12"]),
+        (["true", "1"], "string", ["true", "1"]),
+        (["1d", "2f"], "string", ["1d", "2f"]),
+        (["2024-02-29", "2023-01-31"], "date", ["2024-02-29", "2023-01-31"]),
+        (["2023-02-29", "2023-01-31"], "string", ["2023-02-29", "2023-01-31"]),
+        (["2024-02-29 10:11:12.5", "2023-01-31T00:00:00"], "timestamp_ntz", ["2024-02-29 10:11:12.500000", "2023-01-31 00:00:00"]),
+        (["2024-02-29", "3"], "string", ["2024-02-29", "3"]),
+        (["", "NaN"], "double", [None, None]),
+        (["0.1", "0.30000000000000004"], "double", [0.1, 0.30000000000000004]),
+    ],
+)
+def test_csv_types(spark, tmp_path, fields, kind, values):
+    for i, field in enumerate(fields):  # a file each: what is seen is merged
+        (tmp_path / f"{i}.csv").write_text(f"unit,other thing\n{i},{field}\n")
+    df = readers.read_csv_table(spark, str(tmp_path))
+    assert dict(df.dtypes) == {"unit": "bigint", "other thing": kind}
+    got = [r["other thing"] for r in df.orderBy("unit").collect()]
+    assert got == values or [None if v is None else str(v) for v in got] == values
+
+
+def test_csv_columns_of_the_data_model_keep_their_type(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("unit,sensor_2,RUL,failure_binary\n1,5,7,0\n")
+    df = readers.read_csv_table(spark, str(tmp_path))
+    assert [t for _, t in df.dtypes] == ["bigint", "double", "double", "int"]

@@ -3,8 +3,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from conftest import same
+from conftest import plan_of, same
 from fleetwane.operators import correlation, profile
 
 draw = random.Random(5)
@@ -133,3 +134,38 @@ def test_all_pairs_of_21_sensors(spark):
     for r in rows:
         i, j = names.index(r.sensor_a), names.index(r.sensor_b)
         assert i > j and r.correlation == pytest.approx(expected[i, j])
+
+
+def _density(values, points=200):
+    finite = np.array([v for v in values if v is not None and np.isfinite(v)])
+    h = finite.std(ddof=1) * len(finite) ** -0.2
+    grid = finite.min() + (finite.max() - finite.min()) / (points - 1) * np.arange(points)
+    return grid, np.exp(-0.5 * ((grid[:, None] - finite) / h) ** 2).sum(1) / (len(finite) * h * np.sqrt(2 * np.pi))
+
+
+@pytest.mark.parametrize("kind", ["normal", "tails", "infinite", "two"])
+def test_density_equals_the_sum(spark, kind):
+    rng = np.random.default_rng(4)
+    values = {
+        "normal": rng.normal(50, 3, 4000),
+        "tails": rng.standard_cauchy(4000),
+        "infinite": np.concatenate((rng.normal(0, 1, 500), [np.inf, -np.inf])),
+        "two": np.array([1.0, 2.0]),
+    }[kind].tolist()
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "a double")
+    rows = sorted(profile.kde_curve(df, ["a"]).collect(), key=lambda r: r["point"])
+    grid, density = _density(values)
+    assert np.allclose([r["x"] for r in rows], grid, rtol=1e-12)
+    assert np.abs(np.array([r["density"] for r in rows]) - density).max() <= 1e-9 * density.max()
+
+
+def test_density_explodes_no_readings(spark, folder):
+    spark.range(20_000).select((F.col("id") % 977).cast("double").alias("a")).write.parquet(f"{folder}/d")
+    plan = plan_of(profile.kde_curve(spark.read.parquet(f"{folder}/d"), ["a"]))
+    below = plan[plan.rindex("explode(sequence(greatest") :] if "explode(sequence(greatest" in plan else plan
+    assert "HashAggregate" in below  # cells are summed before they meet the grid
+
+
+def test_density_of_constant_and_empty(spark):
+    rows = profile.kde_curve(spark.createDataFrame([(5.0, None)] * 3, "a double, b double"), ["a", "b"], points=4).collect()
+    assert [(r["column"], r["density"]) for r in rows] == [("a", None)] * 4

@@ -34,7 +34,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetwane.llm.text import chunks, over_batches, ship, text_udf
+from fleetwane.llm.text import chunks, over_batches, ship, text_udf, unused
 
 #: Words in the lexicon at most; it only decides how many words are merged again.
 LEXICON_WORDS = 200_000
@@ -358,14 +358,16 @@ def _known(lexicon: str, name: str) -> Known:
     return Known(_tokenizer(SparkFiles.get(name)), Lexicon(SparkFiles.get(lexicon)))
 
 
-def encode(docs: DataFrame, tokenizer_path: str, most: int = LEXICON_WORDS, with_ids: bool = True) -> DataFrame:
-    """docs with a struct ``encoded``: n_tokens, ids_sha256, decoded_sha256 and, if wanted, ids."""
+def encode(docs: DataFrame, tokenizer_path: str, most: int = LEXICON_WORDS, with_ids: bool = True, result: str = "encoded") -> DataFrame:
+    """docs with a struct ``result``: n_tokens, ids_sha256, decoded_sha256 and, if wanted, ids; a table that has such a column already is an error."""
+    if unused(docs, result) != result:
+        raise ValueError(f"the table has a column {result} already")
     ship(docs.sparkSession)
     lexicon = make_lexicon(docs, tokenizer_path, most)
     docs.sparkSession.sparkContext.addFile(tokenizer_path)
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
     run = Encode(lexicon, os.path.basename(tokenizer_path), with_ids)
-    return docs.withColumn("encoded", text_udf(run, schema)("text"))
+    return docs.withColumn(result, text_udf(run, schema)("text"))
 
 
 def decode(ids: list[int], tokenizer_path: str) -> str:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fleetwane.llm.graph import components
-from fleetwane.llm.text import Words, chunks, mix, over_batches, windows
+from fleetwane.llm.text import Words, chunks, mix, over_batches, unused, whole, windows
 from fleetwane.session import store
 
 SHINGLE = 5
@@ -427,8 +427,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents without those similar to one with a smaller id; rows without an id stay as they are."""
-    found = near_duplicates(docs.filter(F.col("doc_id").isNotNull()))
-    stay = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_stays")).distinct()
-    with_id = docs.join(stay, F.col("doc_id") == F.col("_stays")).drop("_stays").dropDuplicates(["doc_id"])
-    return with_id.unionByName(docs.filter(F.col("doc_id").isNull()))
+    """The documents without those similar to an earlier one: that with the smaller id (null last), then the smaller text digest.
+
+    Rows with the same id and text, null or not, are one document; of them the row stays whose
+    columns come first in order. Null and empty texts are alike, and similar to none with another id.
+    """
+    key = unused(docs, "row_key")
+    keyed = docs.withColumn(key, _row_key(docs))
+    found = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"))
+    stay = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(unused(keyed, "stays"))).distinct()
+    kept = keyed.join(stay, F.col(key) == F.col(stay.columns[0]), "left_semi")
+    rows = kept.groupBy(key).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("row"))
+    return rows.select("row.*")
+
+
+def _row_key(docs: DataFrame) -> Column:
+    """Texts in the order of ids (null last), then of a digest of the text."""
+    whole_number = dict(docs.dtypes)["doc_id"] in ("tinyint", "smallint", "int", "bigint")
+    doc_id = F.col("doc_id")
+    ordered = F.lpad(F.hex(doc_id.cast("bigint").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0") if whole_number else doc_id.cast("string")
+    return F.concat(F.coalesce(F.concat(F.lit("0"), ordered), F.lit("1")), F.lit(":"), F.md5(whole("text")))

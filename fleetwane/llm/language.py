@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetwane.llm.text import chunks, over_batches, ship, text_udf
+from fleetwane.llm.text import chunks, over_batches, ship, text_udf, unused
 
 UNKNOWN = "und"
 SIZE = 1024
@@ -181,7 +181,9 @@ class Predict:
         return {"lang_pred": names, "score": scores}
 
 
-def predict(docs: DataFrame, learned: dict[str, np.ndarray]) -> DataFrame:
-    """docs with a struct ``language`` (lang_pred, score)."""
+def predict(docs: DataFrame, learned: dict[str, np.ndarray], result: str = "language") -> DataFrame:
+    """docs with a struct ``result`` (lang_pred, score); a table that has such a column already is an error."""
+    if unused(docs, result) != result:
+        raise ValueError(f"the table has a column {result} already")
     ship(docs.sparkSession)
-    return docs.withColumn("language", text_udf(Predict(learned), "lang_pred string, score double")("text"))
+    return docs.withColumn(result, text_udf(Predict(learned), "lang_pred string, score double")("text"))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetwane.llm.text import n_words, whole
+from fleetwane.llm.text import n_words, unused, whole
 from fleetwane.session import local_table, store
 
 #: The weights that the sources take in turn, and how often a source is used at most.
@@ -102,24 +102,26 @@ def plan(docs: DataFrame, seed: int = 0, weights: Sequence[int] = WEIGHTS, cap:
     )
 
 
-def _decided(docs: DataFrame, decisions: DataFrame, seed: int) -> DataFrame:
-    """docs with _size, _times (copies to take) and its source's figures; nothing but the sources is joined."""
-    own = decisions.select(*(F.col(c).alias(f"_{c}") for c in decisions.columns))
-    both = docs.join(own, F.col("source").eqNullSafe(F.col("_source")))
-    once_more = (seeded_key(F.col("doc_id"), seed) <= F.col("_last")).cast("long")
-    return both.withColumn("_copies", F.col("_times") + once_more)
+def _decided(docs: DataFrame, decisions: DataFrame, seed: int) -> tuple[DataFrame, dict[str, str]]:
+    """docs with its source's figures and ``copies`` to take, and the names these columns have; nothing but the sources is joined."""
+    names = {c: unused(docs, f"mix_{c}") for c in [*decisions.columns, "copies", "copy"]}
+    own = decisions.select(*(F.col(c).alias(names[c]) for c in decisions.columns))
+    both = docs.join(own, F.col("source").eqNullSafe(F.col(names["source"])))
+    once_more = (seeded_key(F.col("doc_id"), seed) <= F.col(names["last"])).cast("long")
+    return both.withColumn(names["copies"], F.col(names["times"]) + once_more), names
 
 
 def mix(docs: DataFrame, seed: int = 0, weights: Sequence[int] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
-    both = _decided(docs.select("doc_id", "source", n_words(whole("text")).alias("size")), plan(docs, seed, weights, cap), seed)
-    return both.select(
-        "doc_id", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("size") * F.col("_copies")).alias("taken")
-    )
+    sized = docs.select("doc_id", "source", n_words(whole("text")).alias("size"))
+    both, name = _decided(sized, plan(docs, seed, weights, cap), seed)
+    taken = (F.col("size") * F.col(name["copies"])).alias("taken")
+    return both.select("doc_id", "size", F.col(name["source_size"]).alias("source_size"), F.col(name["target"]).alias("target"), taken)
 
 
 def repeated(docs: DataFrame, seed: int = 0, weights: Sequence[int] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """The mixed corpus: each document as many times as it is taken, with the columns of ``docs``."""
-    both = _decided(docs, plan(docs, seed, weights, cap), seed)
-    copies = both.filter(F.col("_copies") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    both, name = _decided(docs, plan(docs, seed, weights, cap), seed)
+    times = F.col(name["copies"])
+    copies = both.filter(times > 0).withColumn(name["copy"], F.explode(F.sequence(F.lit(1), times.cast("int"))))
     return copies.select(*(f"`{c}`" for c in docs.columns))

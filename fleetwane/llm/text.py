@@ -60,6 +60,13 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds, F.lit(0))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it as long as the table has such a column."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 #: Rows of an Arrow batch, instead of Spark's default of 10,000: a batch of long texts must fit a task's memory several times.
 BATCH_ROWS = 2048
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -51,3 +51,29 @@ def test_stages_take_odd_and_empty_tables(spark, odd_docs, no_docs):
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert docs.columns == columns
             assert (docs.count() > 0) == some, name
+
+
+def test_extra_columns_and_odd_ids_survive(spark):
+    text = "the quick brown fox jumps over the lazy dog again and again until night falls"
+    rows = [
+        (1, text, "en", "a", "x1"),
+        (None, text, "en", "a", "x2"),
+        (None, text, "en", "b", "x3"),
+        (2, text + " at last", "en", "a", "x4"),
+        (3, "something else entirely is written in this short text here", None, "b", "x5"),
+        (3, "and the same number has another text which is not alike at all", "en", None, "x6"),
+        (3, "and the same number has another text which is not alike at all", "en", None, "x6"),
+        (None, "a text without any number that nothing else comes near to", "en", "a", "x7"),
+    ]
+    clashing = ["language", "encoded", "_source", "mix_source", "mix_copies", "cls", "uid", "text_", "row_key", "stays", "row"]
+    docs = spark.createDataFrame(
+        [(*r[:4], *[r[4]] * len(clashing)) for r in rows],
+        "doc_id long, text string, lang string, source string, " + ", ".join(f"{c} string" for c in clashing),
+    )
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, "").collect(), docs.schema)
+        assert docs.columns[4:] == clashing
+        if name == "jaccard join":  # one of the four like 1; both texts of 3; the one without an id
+            assert sorted(r.language for r in docs.collect()) == ["x1", "x5", "x6", "x7"]
+        assert all(len({r[c] for c in clashing}) == 1 for r in docs.collect())
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").columns[:3] == ["doc_id", "lang", "source"]

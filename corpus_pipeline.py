@@ -2,8 +2,11 @@
 
 Language ID drops documents without a language, the n-gram Jaccard join leaves one document of
 each group, secret scans replace secrets, mixing repeats or drops documents so that sources
-have their weights, and BPE encodes what is left. Nulls, empty tables and repeated rows are
-handled as the operators say.
+have their weights, and BPE encodes what is left. Null texts have no language and go in the
+first stage. Rows with one id and text are one document; rows of one id with different texts, and
+rows without an id, are documents of their own. Extra columns, whatever their names, go through all
+stages but the last; ``n_chars`` follows the redacted text where there is such a column. An
+empty table stays empty.
 """
 
 from __future__ import annotations
@@ -15,15 +18,16 @@ from pyspark.sql import functions as F
 
 from fleetwane.llm import bpe, jaccard, language, mixing, secrets
 from fleetwane.llm.queries import tokenizer_path
-from fleetwane.llm.text import fold
+from fleetwane.llm.text import fold, unused
 from fleetwane.session import scratch_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language is recognised (not ``und``); a missing lang is filled in."""
-    predicted = language.predict(docs, language.learn(docs, fold("doc_id", 5) != 0))
-    kept = predicted.filter(F.col("language.lang_pred") != language.UNKNOWN)
-    return kept.withColumn("lang", F.coalesce("lang", "language.lang_pred")).select(docs.columns)
+    name = unused(docs, "language")
+    predicted = language.predict(docs, language.learn(docs, fold("doc_id", 5) != 0), name)
+    found = F.col(name)["lang_pred"]
+    return predicted.filter(found != language.UNKNOWN).withColumn("lang", F.coalesce("lang", found)).select(_own(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,6 +38,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced, n_chars as it is then."""
     clean = secrets.redact(docs)
+    if "n_chars" not in docs.columns:
+        return clean
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
@@ -44,8 +50,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids and digests of every document."""
-    encoded = bpe.encode(docs, tokenizer_path())
-    return encoded.select("doc_id", "lang", "source", "encoded.*")
+    name = unused(docs, "encoded")
+    return bpe.encode(docs, tokenizer_path(), result=name).select("doc_id", "lang", "source", f"{name}.*")
+
+
+def _own(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
 
 
 STAGES = [

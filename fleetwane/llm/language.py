@@ -31,6 +31,8 @@ BLANK = 32
 KEPT_VECTORS = 20_000
 #: Texts counted together.
 MOST_TEXTS = 512
+#: Texts times different trigrams in one table.
+MOST_CELLS = 1 << 22
 #: Alphabets up to this size are counted in a dense table.
 DENSE_ALPHABET = 128
 
@@ -81,33 +83,43 @@ def _vectors() -> _Vectors:
 def profiles(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(start, end, counts, keys): trigram counts of the texts from start to end, and the trigrams' keys."""
     for start, end in chunks(texts, MOST_TEXTS):
-        part = [t.lower() for t in texts[start:end]]
-        codes = np.frombuffer(("\n".join(part) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
-        letter = _is_letter()[codes]
-        keep = letter | np.concatenate(([True], letter[:-1]))
-        owner = np.repeat(np.arange(len(part)), [len(t) + 1 for t in part])[keep]
-        symbols = np.where(letter, codes, BLANK)[keep].astype(np.int64)
-        inside = owner[2:] == owner[:-2] if len(owner) > 2 else np.zeros(0, bool)
-        a, b, c, owner = symbols[:-2][inside], symbols[1:-1][inside], symbols[2:][inside], owner[2:][inside]
-        yield start, end, *_counted(a, b, c, owner, len(part))
-
-
-def _counted(a: np.ndarray, b: np.ndarray, c: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    alphabet = np.flatnonzero(np.bincount(np.concatenate((a, b, c)).astype(np.int64), minlength=1)) if len(a) else np.zeros(0, np.int64)
-    if len(alphabet) <= DENSE_ALPHABET:
-        size = max(len(alphabet), 1)
-        small = np.zeros(int(alphabet.max()) + 1 if len(alphabet) else 1, np.int64)
-        small[alphabet] = np.arange(len(alphabet))
-        dense = (small[a] * size + small[b]) * size + small[c]
-        present = np.flatnonzero(np.bincount(dense, minlength=1)) if len(a) else np.zeros(0, np.int64)
-        index = np.zeros(size**3, np.int32)
-        index[present] = np.arange(len(present))
-        which = index[dense] if len(a) else np.zeros(0, np.int32)
-        keys = (alphabet[present // (size * size)] << 42) | (alphabet[present // size % size] << 21) | alphabet[present % size] if len(a) else present
-    else:
-        keys, which = np.unique((a << 42) | (b << 21) | c, return_inverse=True)
+        yield from _profiles([t.lower() for t in texts[start:end]], start)
+
+
+def _profiles(part: list[str], start: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    codes = np.frombuffer(("\n".join(part) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = _is_letter()[codes]
+    keep = letter | np.concatenate(([True], letter[:-1]))
+    owner = np.repeat(np.arange(len(part)), [len(t) + 1 for t in part])[keep]
+    symbols = np.where(letter, codes, BLANK)[keep].astype(np.int64)
+    inside = owner[2:] == owner[:-2] if len(owner) > 2 else np.zeros(0, bool)
+    a, b, c, owner = symbols[:-2][inside], symbols[1:-1][inside], symbols[2:][inside], owner[2:][inside]
+    keys, which = _keyed(a, b, c)
+    n = len(part)
+    if n > 1 and n * len(keys) > MOST_CELLS:  # many different letters: fewer texts at a time
+        yield from _profiles(part[: n // 2], start)
+        yield from _profiles(part[n // 2 :], start + n // 2)
+        return
     counts = np.bincount(owner * max(len(keys), 1) + which, minlength=n * len(keys)).reshape(n, len(keys)) if len(keys) else np.zeros((n, 0))
-    return counts.astype(np.float32), keys
+    yield start, start + n, counts.astype(np.float32), keys
+
+
+def _keyed(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of the trigrams, each once and sorted, and the place of each trigram among them."""
+    if not len(a):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    alphabet = np.flatnonzero(np.bincount(np.concatenate((a, b, c)).astype(np.int64)))
+    if len(alphabet) > DENSE_ALPHABET:
+        return np.unique((a << 42) | (b << 21) | c, return_inverse=True)
+    size = len(alphabet)
+    small = np.zeros(int(alphabet.max()) + 1, np.int64)
+    small[alphabet] = np.arange(size)
+    dense = (small[a] * size + small[b]) * size + small[c]
+    present = np.flatnonzero(np.bincount(dense))
+    index = np.zeros(size**3, np.int32)
+    index[present] = np.arange(len(present))
+    keys = (alphabet[present // (size * size)] << 42) | (alphabet[present // size % size] << 21) | alphabet[present % size]
+    return keys, index[dense]
 
 
 def bundles(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray]]:

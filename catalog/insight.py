@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from catalog import tables as T
 from catalog import trees
 from catalog.registry import r, register, rounded
-from fleetwane.learning import importance, models
+from fleetwane.learning import attribution, importance, models
 from fleetwane.operators import components
 from fleetwane.operators.permute import permuted
 from fleetwane.session import store
@@ -94,3 +96,60 @@ def _scored(feature: str) -> str:
 def _(spark, folder):
     run, table = trees._fit(spark, folder, models.FOREST, trees.FOREST)
     return rounded(importance.permutation_importance(run.model, store(table, "table"), run.features, ["reading_id"]))
+
+
+def _expectations() -> str:
+    """CTEs v0 ... v7: the tree's expectation for each cell when only a subset of the features is known (bit k: the k-th)."""
+    depth, keys = trees.FOREST["max_depth"], ", ".join(trees.FEATURES)
+    splits = " UNION ".join(f"SELECT node, feature, v FROM tree_b{k}" for k in range(depth))
+    counts = " UNION ".join(f"SELECT node, sum(n) AS n FROM tree_{k} GROUP BY node" for k in range(depth + 1))
+    ctes = [f"splits AS ({splits})", f"counts AS ({counts})"]
+    ctes.append(
+        "turns AS (SELECT node, feature, v, (SELECT n FROM counts l WHERE l.node = 2 * s.node) / (SELECT n FROM counts w WHERE w.node = s.node) AS goes_left FROM splits s)"
+    )
+    for known in range(8):
+        listed = ", ".join(f"'{f}'" for k, f in enumerate(trees.FEATURES) if known >> k & 1) or "''"
+        ctes.append(f"k{known}_0 AS (SELECT {keys}, 1 AS node, 1::DOUBLE AS w FROM cells)")
+        for k in range(depth):
+            before = f"k{known}_{k}"
+            ctes.append(
+                f"k{known}_{k + 1} AS (SELECT {keys}, node, w FROM {before} ANTI JOIN turns USING (node) "
+                f"UNION ALL SELECT {keys}, 2 * node + CASE WHEN {trees.VALUE} <= v THEN 0 ELSE 1 END, w FROM {before} JOIN turns USING (node) WHERE feature IN ({listed}) "
+                f"UNION ALL SELECT {keys}, 2 * node + side, w * CASE WHEN side = 0 THEN goes_left ELSE 1 - goes_left END "
+                f"FROM {before} JOIN turns USING (node), (VALUES (0), (1)) t(side) WHERE feature NOT IN ({listed}))"
+            )
+        ctes.append(f"v{known} AS (SELECT {keys}, sum(w * p) AS v FROM k{known}_{depth} JOIN leaves USING (node) GROUP BY {keys})")
+    return ", ".join(ctes)
+
+
+def _share(i: int) -> str:
+    """The Shapley value of the i-th of three features from the eight expectations."""
+    weights = {0: "1 / 3.0::DOUBLE", 1: "1 / 6.0::DOUBLE", 2: "1 / 3.0::DOUBLE"}
+    return " + ".join(f"(v{known | 1 << i}.v - v{known}.v) * ({weights[known.bit_count()]})" for known in range(8) if not known >> i & 1)
+
+
+@register(
+    "tree_attributions",
+    f"WITH {trees.CELLS}, {trees.FOREST_SQL}, leaves AS (SELECT node, sum(s) / sum(n) AS p FROM tree_{trees.FOREST['max_depth']} GROUP BY node), {_expectations()} "
+    f"SELECT {', '.join(trees.FEATURES)}, {r('v0.v', 'expected')}, " + ", ".join(r(_share(i), f"{f}_share") for i, f in enumerate(trees.FEATURES))
+    + " FROM v0 " + " ".join(f"JOIN v{k} USING ({', '.join(trees.FEATURES)})" for k in range(1, 8)),
+)
+def _(spark, folder):
+    """What each feature adds to the prediction for every combination of values."""
+    run, table = trees._fit(spark, folder, models.FOREST, trees.FOREST)
+    ready = models.prepare_model_input(table, run.features).distinct()
+    for stage in run.model.stages[:-1]:
+        ready = stage.transform(ready)
+    shares = attribution.attributions(ready, run.model.stages[-1], run.features, mean=True)
+    return rounded(shares.select(*run.features, "expected", *(f"{f}_share" for f in run.features)))
+
+
+@register("attributions_add_up", f"WITH {T.LABELED} SELECT count(*) AS n, 0::BIGINT AS differ FROM labeled")
+def _(spark, folder):
+    """For how many readings the attributions and the expectation miss a boosted model's prediction."""
+    run, table = trees._fit(spark, folder, models.LEAFWISE, {"n_estimators": 4, "num_leaves": 15, "learning_rate": 0.1, "random_state": 42})
+    scored = run.model.transform(models.prepare_model_input(table, run.features))
+    shares = attribution.attributions(scored, run.model.stages[-1], run.features, mean=False)
+    total = sum((F.col(f"{f}_share") for f in run.features), F.col("expected"))
+    close = F.abs(total - F.col("prediction")) <= 1e-9 * (1 + F.abs("prediction"))
+    return shares.agg(F.count(F.lit(1)).alias("n"), F.count_if(~close).alias("differ"))

@@ -20,6 +20,7 @@ columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 from collections.abc import Iterator
@@ -28,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer as Library
 
 from fleetwane.llm.bpe import Tokenizer
 from fleetwane.llm.text import chunks, over_batches
@@ -44,22 +46,45 @@ PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id
 
 
 class Ids:
-    """Texts to token ids; words that were met before are looked up, others merged exactly."""
+    """Texts to token ids; words that were met before are looked up, new ones are encoded by the library, many at a time."""
 
-    def __init__(self, tokenizer: Tokenizer):
-        self.tokenizer = tokenizer
-        self.known: dict[str, np.ndarray] = {}
+    def __init__(self, path: str):
+        self.tokenizer, self.library = Tokenizer(path), Library.from_file(path)
+        self.library.no_padding()
+        self.library.no_truncation()
+        ends = [i for token, i in self.tokenizer.vocab.items() if token.endswith(self.tokenizer.end)]
+        self.ends_word = np.zeros(max(self.tokenizer.tokens) + 1, bool)
+        self.ends_word[ends] = bool(self.tokenizer.end)
+        self.known: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.tokenizer.words(t) for t in texts]
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
-        known, merge = self.known, self.tokenizer.merge
-        for word in set().union(*split).difference(known):
-            known[word] = np.array(merge(word), "<u4").tobytes()
+        known = self.known
+        self._meet(list(set().union(*split).difference(known)))
         end = np.array([END_TOKEN], "<u4").tobytes()
         return [np.frombuffer(b"".join([*map(known.__getitem__, words), end]), "<u4") for words in split]
 
+    def _meet(self, new: list[str]) -> None:
+        """A word's last token, and no other, has the mark of a word's end; what the library takes otherwise is merged one by one."""
+        special = self.tokenizer.special
+        plain = [w for w in new if w not in special]
+        ids = np.array(self.library.encode(" ".join(plain), add_special_tokens=False).ids, "<u4")
+        cuts = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
+        if len(cuts) == len(plain) and (cuts[-1] if cuts else 0) == ids.nbytes:
+            raw = ids.tobytes()
+            self.known.update((w, raw[a:b]) for w, a, b in zip(plain, [0, *cuts], cuts))
+            plain = []
+        for word in [*plain, *special.keys() & set(new)]:
+            self.known[word] = np.array(self.tokenizer.merge(word), "<u4").tobytes()
+
+
+@functools.lru_cache(1)
+def _ids(path: str) -> Ids:
+    """One for all tasks of a worker."""
+    return Ids(path)
+
 
 def pieces(n: int, capacity: int = CAPACITY, least: int = LEAST) -> list[tuple[int, int]]:
     """(start, length) of the pieces of n tokens."""
@@ -140,7 +165,7 @@ def pack(
     kind = dict(docs.dtypes)["doc_id"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        encode = Ids(Tokenizer(SparkFiles.get(name)))
+        encode = _ids(SparkFiles.get(name))
         bins = Bins(TaskContext.get().partitionId() << 33, capacity)
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]

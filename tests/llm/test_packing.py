@@ -62,6 +62,14 @@ def test_bins_hold_a_fixed_count():
     assert all(n & (n - 1) == 0 for n in sizes.values())
 
 
+def test_new_words_equal_the_library(truth):
+    own = packing.Ids(tokenizer_path())
+    texts = ["It's a dog's 's 'll", "ñandú 漢字 😀 İ ΑΣ ́x e\u0301", "<|endoftext|> a<|startoftext|>b", "", "12 3.4.5 ... -- \x00 \u00a0x", "x" * 3000]
+    for _ in range(2):
+        assert [x.tolist() for x in own(texts)] == [truth(t) for t in texts]
+    assert own(["a b"])[0].tolist() == truth("a b")
+
+
 def test_query_packs_every_id_once(spark, tables, truth):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{tables}/documents.parquet").collect()}
     rows = QUERIES["op13_packing"](spark, tables).collect()

@@ -164,7 +164,8 @@ def noisy_score(seed: str = SEED) -> Column:
 def draw(weighed: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WORDS, seed: str = SEED) -> DataFrame:
     """Every row with ``score`` and ``rank``: 1, 2, ... by falling score for the drawn ones, null for the others."""
     order = [F.desc("ready"), F.desc("score"), F.asc_nulls_last("doc_id"), F.asc("weight"), F.asc("n_features")]
-    scored = weighed.withColumn("score", noisy_score(seed)).withColumn("ready", F.col("n_words") >= least_words)
+    # stored first: a sort by range reads its input twice
+    scored = store(weighed.withColumn("score", noisy_score(seed)).withColumn("ready", F.col("n_words") >= least_words), "weighed")
     # the place in the sorted part, with the part's number above; stored, so that both stay what they are
     at = F.monotonically_increasing_id()
     placed = store(scored.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", at), "scored")

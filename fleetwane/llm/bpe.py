@@ -285,7 +285,7 @@ def make_lexicon(docs: DataFrame, tokenizer_path: str, most: int = LEXICON_WORDS
 
 
 class Known:
-    """Words that a task has met: their ids, one after another, and their tokens as text."""
+    """Words that a task has met, and their ids, one after another."""
 
     def __init__(self, tokenizer: Tokenizer, lexicon: Lexicon):
         self.tokenizer, self.lexicon = tokenizer, lexicon
@@ -293,7 +293,6 @@ class Known:
 
     def clear(self) -> None:
         self.slot: dict[str, int] = {}
-        self.texts: list[str] = []
         self.ids = np.zeros(0, np.uint32)
         self.size = np.zeros(0, np.int64)
         self.first = np.zeros(0, np.int64)
@@ -301,14 +300,16 @@ class Known:
     def meet(self, words: list[str]) -> None:
         """Take in new words: from the lexicon if it has them, else by exact merges."""
         found = self.lexicon.find(words)
-        special, merge, token = self.tokenizer.special, self.tokenizer.merge, self.tokenizer.tokens.__getitem__
-        ids, offset = np.asarray(self.lexicon.ids), np.asarray(self.lexicon.offset).tolist() if len(words) > 1000 else self.lexicon.offset
-        own = [ids[offset[k] : offset[k + 1]].tolist() if k >= 0 and w not in special else merge(w) for w, k in zip(words, found.tolist())]
+        special, merge = self.tokenizer.special, self.tokenizer.merge
+        ids, known = np.asarray(self.lexicon.ids), found >= 0
+        begin, end = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        begin[known], end[known] = self.lexicon.offset[found[known]], self.lexicon.offset[found[known] + 1]
+        spans = zip(words, begin.tolist(), end.tolist())
+        own = [ids[a:b] if b > a and w not in special else np.array(merge(w), np.uint32) for w, a, b in spans]
         start = len(self.slot)
         self.slot.update(zip(words, range(start, start + len(words))))
-        self.texts += [" ".join(map(token, x)) for x in own]
         size = np.fromiter(map(len, own), np.int64, len(own))
-        flat = np.fromiter((i for x in own for i in x), np.uint32, int(size.sum()))
+        flat = np.concatenate(own) if own else np.zeros(0, np.uint32)
         self.first = np.concatenate((self.first, len(self.ids) + np.cumsum(size) - size))
         self.size = np.concatenate((self.size, size))
         self.ids = np.concatenate((self.ids, flat))
@@ -328,6 +329,7 @@ class Encode:
 
     def __call__(self, texts: list[str]) -> dict[str, list]:
         known = _known(self.lexicon, self.name)
+        token = known.tokenizer.tokens.__getitem__
         out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []} | ({"ids": []} if self.with_ids else {})
         for start, end in chunks(texts):
             split = [known.tokenizer.words(t) for t in texts[start:end]]
@@ -347,7 +349,7 @@ class Encode:
                 own = known.ids[np.repeat(known.first[index] - before, size) + np.arange(total)]
                 out["n_tokens"].append(total)
                 out["ids_sha256"].append(hashlib.sha256(own.astype("<u4").tobytes()).hexdigest())
-                out["decoded_sha256"].append(hashlib.sha256(" ".join(filter(None, map(known.texts.__getitem__, which))).encode()).hexdigest())
+                out["decoded_sha256"].append(hashlib.sha256(" ".join(map(token, own.tolist())).encode()).hexdigest())
                 if self.with_ids:
                     out["ids"].append(own.astype(np.int32))
         return out

@@ -178,6 +178,12 @@ class Predict:
             centred = table - self.middle
             self.table = (centred / np.maximum(np.linalg.norm(centred, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
+    @staticmethod
+    def close() -> None:
+        """Workers live on for other stages; the vectors do not."""
+        _vectors.cache_clear()
+        _letter.cache_clear()
+
     def __call__(self, texts: list[str]) -> dict[str, list]:
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         letters = [any(map(str.isalpha, t)) for t in texts]

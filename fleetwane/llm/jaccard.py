@@ -3,9 +3,12 @@
 A document's set holds its distinct 5-word shingles as 64-bit tokens whose order is global:
 shingles with the rarest words first (word counts over all documents, in a fixed number of
 bins), then by hash. Similar sets share a certain number of tokens of their prefixes in that
-order, so a class of equal sets that shares too few with all others is done. The rest, tied
-by the prefix tokens that they share, form families; nothing outside a family can link to
-it. Within a family the ordered sets are stored in a trie; each set walks it, paths shared by
+order, so a class of equal sets that shares too few with all others is done. The rest are
+ordered again, by how many of them hold a token: tokens that one set holds alone come first and are only
+counted, and a set that shares less than PERCENT % of its tokens is done. Prefixes in that order have the
+rarest shared tokens, and what they tie together are the families; nothing outside a family can
+link to it, and passages that many documents share do not tie them while other words set them
+apart. Within a family the ordered sets are stored in a trie; each set walks it, paths shared by
 several sets are counted once, and a subtree is left as soon as the tokens that remain cannot
 make up the overlap. Large families are cut into blocks that meet through pivots first; then
 each set that is not yet connected to a block, but shares enough prefix tokens with it, meets it.
@@ -41,6 +44,9 @@ ORDER_BITS = 12
 #: Of so many tokens of a set one more is taken into the prefix, and one more must be shared there.
 EXTRA = 8
 
+#: Times that sets are ordered by the counts of their tokens among the sets that are left.
+ROUNDS = 2
+
 #: Sets that one block of a family holds, and sets that all its blocks share.
 BLOCK = 256
 PIVOTS = 8
@@ -224,17 +230,41 @@ def candidates(docs: DataFrame, known: DataFrame, levels: np.ndarray) -> DataFra
     return store(size.join(shared, "cls").filter(F.col("n") >= _least_shared(F.col("size"))).select("cls", "size", "id"), "candidates")
 
 
+def shared_sets(own: DataFrame) -> DataFrame:
+    """The stored (cls, size, tokens) of candidates (cls, tokens) that share PERCENT % of their tokens with others, and those, rarest first.
+
+    A set similar to another shares as many, so what shares fewer goes, and after that its
+    tokens count no more. A token is counted over all sets and joined as a table of one row per token,
+    so one that very many sets hold is only a skewed key of a join.
+    """
+    held = own.select("cls", F.size("tokens").alias("size"), "tokens")
+    for _ in range(ROUNDS):
+        each = held.select("cls", "size", F.explode("tokens").alias("token"))
+        counts = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("least"), F.max("cls").alias("most"))
+        common = store(counts.filter("least < most").select("token", "n"), "common")
+        # rows of one class that come twice are one
+        rarest_first = F.sort_array(F.collect_set(F.struct("n", "token")))["token"]
+        held = each.join(common, "token").groupBy("cls", "size").agg(rarest_first.alias("tokens"))
+        held = store(held.filter(100 * F.size("tokens") >= PERCENT * F.col("size")), "shared")
+    return held
+
+
+def _shared_prefix(length: Column) -> Column:
+    """The tokens of a row of ``shared_sets`` among the first ``length`` of its whole set; those held by it alone come before them."""
+    alone = F.col("size") - F.size("tokens")
+    return F.slice("tokens", F.lit(1), F.greatest(F.lit(0), length - alone).cast("int"))
+
+
 def families(own: DataFrame) -> DataFrame:
-    """The stored (cls, family, n) of candidates (cls, tokens) tied by shared prefix tokens; n is the family's size."""
-    size = F.size("tokens")
-    prefix = own.select("cls", size.alias("size"), F.explode(F.slice("tokens", F.lit(1), _prefix_size(size))).alias("token"))
-    for _ in range(2):  # what shared its tokens with classes that are gone goes as well
-        common = store(prefix.groupBy("token").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).filter("least < most"), "common")
-        prefix = store(prefix.drop("least").join(common.select("token", "least"), "token"), "shared")
-        enough = prefix.groupBy("cls").agg(F.count("*").alias("n"), F.max("size").alias("s")).filter(F.col("n") >= _least_shared(F.col("s")))
-        prefix = prefix.join(store(enough.select("cls"), "enough"), "cls")
-    least = store(prefix.groupBy("token").agg(F.min("cls").alias("b")), "least")
-    ties = prefix.select("cls", "token").join(least, "token").select(F.col("cls").alias("a"), "b").distinct()
+    """The stored (cls, family, n) of sets (``shared_sets``) tied by tokens of their prefixes; n is the family's size.
+
+    Similar sets have a token in common among the first size - ceil(PERCENT % of size) + 1 of each.
+    """
+    first = F.col("size") - F.floor((F.col("size") * PERCENT + 99) / 100) + 1
+    prefix = own.select("cls", F.explode(_shared_prefix(first)).alias("token"))
+    ends = prefix.groupBy("token").agg(F.min("cls").alias("b"), F.max("cls").alias("most"))
+    least = store(ends.filter("b < most").select("token", "b"), "least")
+    ties = prefix.join(least, "token").select(F.col("cls").alias("a"), "b").distinct()
     found = store(components(ties).select(F.col("node").alias("cls"), F.col("component").alias("family")), "families")
     return store(found.join(found.groupBy("family").agg(F.count("*").alias("n")), "family"), "families")
 
@@ -245,12 +275,15 @@ def families(own: DataFrame) -> DataFrame:
 class Trie:
     """Ordered sets (arrays of token ranks), with paths without branches in one node.
 
+    ``sizes`` counts the tokens of each set with those that no other set holds and that are left out.
     A node is (start, end, set, children, shortest, longest, ended): its tokens are those
-    of the set ``set`` from start to end; ``ended`` are the sets that end there.
+    of the set ``set`` from start to end; ``shortest`` is the smallest size below it, ``longest``
+    the length of the longest path; ``ended`` are the sets that end there.
     """
 
-    def __init__(self, ordered: list[np.ndarray]):
+    def __init__(self, ordered: list[np.ndarray], sizes: list[int] | None = None):
         self.sets = ordered
+        self.sizes = sizes or [len(s) for s in ordered]
         order = sorted(range(len(ordered)), key=lambda i: ordered[i].astype(">u4").tobytes())
         self.root = self._node(order, 0)
 
@@ -267,8 +300,7 @@ class Trie:
                 k += 1
             children.append(self._node(rest[:k], end))
             rest = rest[k:]
-        sizes = [len(self.sets[i]) for i in order]
-        return depth, end, order[0], children, min(sizes), max(sizes), ended
+        return depth, end, order[0], children, min(self.sizes[i] for i in order), max(len(self.sets[i]) for i in order), ended
 
     def similar(self, has: np.ndarray, size: int) -> Iterator[int]:
         """Stored sets similar to the set of ``size`` tokens marked in ``has``."""
@@ -279,7 +311,7 @@ class Trie:
                 continue
             overlap += int(np.count_nonzero(has[self.sets[held][start:end]]))
             for i in ended:
-                if 100 * overlap >= PERCENT * (size + end - overlap):
+                if 100 * overlap >= PERCENT * (size + self.sizes[i] - overlap):
                     yield i
             if children and self._most(overlap, size, longest - end) >= self._needed(size, shortest):
                 open_nodes += [(child, overlap) for child in children]
@@ -293,8 +325,8 @@ class Trie:
         return PERCENT * (size + other)
 
 
-def linked(stored: list[np.ndarray], probes: list[np.ndarray], names: list[int], stored_names: list[int]) -> list[tuple[int, int]]:
-    """Links between probes and stored sets that connect them (no more than connect)."""
+def linked(stored: list[tuple[int, int, np.ndarray]], probes: list[tuple[int, int, np.ndarray]]) -> list[tuple[int, int]]:
+    """Links between probes and stored sets, each (name, size, tokens), that connect them (no more than connect)."""
     above: dict[int, int] = {}
 
     def top(x: int) -> int:
@@ -305,20 +337,20 @@ def linked(stored: list[np.ndarray], probes: list[np.ndarray], names: list[int],
 
     if not stored or not probes:
         return []
-    values, ranks = np.unique(np.concatenate(stored), return_inverse=True)
-    cuts = np.cumsum([len(s) for s in stored])[:-1]
-    trie = Trie(np.split(ranks.astype(np.uint32), cuts))
+    values, ranks = np.unique(np.concatenate([tokens for _, _, tokens in stored]), return_inverse=True)
+    cuts = np.cumsum([len(tokens) for _, _, tokens in stored])[:-1]
+    trie = Trie(np.split(ranks.astype(np.uint32), cuts), [size for _, size, _ in stored])
     has, out = np.zeros(len(values), bool), []
-    for name, probe in zip(names, probes):
-        at = np.searchsorted(values, probe)
-        at = at[at < len(values)] if len(at) and at[-1] == len(values) else at
-        own = at[values[at] == probe[: len(at)]]
+    for name, size, probe in probes:
+        at = np.minimum(np.searchsorted(values, probe), len(values) - 1)
+        own = at[values[at] == probe]
         has[own] = True
-        for i in trie.similar(has, len(probe)):
-            a, b = top(name), top(stored_names[i])
+        for i in trie.similar(has, size):
+            other = stored[i][0]
+            a, b = top(name), top(other)
             if a != b:
                 above[max(a, b)] = min(a, b)
-                out.append((name, stored_names[i]))
+                out.append((name, other))
         has[own] = False
     return out
 
@@ -327,7 +359,7 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Rows sorted by (family, part), roles 0 (stored), 1 (probe) or 2 (both) -> links (a, b)."""
     key, group = None, []
     for batch in batches:
-        names, tokens = batch.column("cls").to_pylist(), batch.column("tokens")
+        names, sizes, tokens = batch.column("cls").to_pylist(), batch.column("size").to_pylist(), batch.column("tokens")
         offsets, flat = tokens.offsets.to_numpy(), tokens.values.to_numpy().view(_U)
         roles = batch.column("role").to_pylist()
         links = []
@@ -335,19 +367,18 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             if k != key:
                 links += _group_links(group)
                 key, group = k, []
-            group.append((names[i], roles[i], flat[offsets[i] : offsets[i + 1]].copy()))
+            group.append((roles[i], (names[i], sizes[i], flat[offsets[i] : offsets[i + 1]].copy())))
         yield {"a": [x for x, _ in links], "b": [y for _, y in links]}
     links = _group_links(group)
     yield {"a": [x for x, _ in links], "b": [y for _, y in links]}
 
 
-def _group_links(group: list[tuple[int, int, np.ndarray]]) -> list[tuple[int, int]]:
-    stored, probes = [g for g in group if g[1] != 1], [g for g in group if g[1] != 0]
-    return linked([g[2] for g in stored], [g[2] for g in probes], [g[0] for g in probes], [g[0] for g in stored])
+def _group_links(group: list[tuple[int, tuple[int, int, np.ndarray]]]) -> list[tuple[int, int]]:
+    return linked([row for role, row in group if role != 1], [row for role, row in group if role != 0])
 
 
 def _by_part(rows: DataFrame) -> DataFrame:
-    dealt = rows.select("family", "part", "cls", "role", "tokens").repartition("family", "part").sortWithinPartitions("family", "part")
+    dealt = rows.select("family", "part", "cls", "role", "size", "tokens").repartition("family", "part").sortWithinPartitions("family", "part")
     return over_batches(dealt, _joined, "a long, b long")
 
 
@@ -375,7 +406,8 @@ def _candidate_sets(docs: DataFrame, chosen: DataFrame, levels: np.ndarray) -> D
 def links(docs: DataFrame, known: DataFrame, levels: np.ndarray) -> DataFrame:
     """(a, b) links between classes; together they connect what is similar."""
     sets_ = _candidate_sets(docs, candidates(docs, known, levels), levels)
-    own = store(sets_.join(families(sets_), "cls"), "family-sets")
+    shared = shared_sets(sets_)
+    own = store(shared.join(families(shared), "cls"), "family-sets")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     part = F.pmod(F.xxhash64("cls"), blocks).cast("int")
     first = own.withColumn("part", part).withColumn("role", F.lit(2))
@@ -388,13 +420,12 @@ def links(docs: DataFrame, known: DataFrame, levels: np.ndarray) -> DataFrame:
 
     # large families: components of the first round, in blocks, and what may link them
     label = F.coalesce(F.col("component"), F.col("cls"))
-    labelled = large.join(components(done), F.col("cls") == F.col("node"), "left").select("cls", F.size("tokens").alias("size"), label.alias("label"))
+    labelled = large.join(components(done), F.col("cls") == F.col("node"), "left").select("cls", "size", label.alias("label"))
     labelled = store(labelled, "labels")
     sizes = labelled.groupBy("label").agg(F.count("*").alias("m"))
     block = F.xxhash64("label", F.pmod(F.xxhash64("cls"), F.ceil(F.col("m") / BLOCK)))
     placed = store(labelled.join(sizes, "label").select("cls", "size", "label", "m", block.alias("block")), "placed")
-    size = F.size("tokens")
-    prefix = large.select("cls", F.explode(F.slice("tokens", F.lit(1), _prefix_size(size))).alias("token")).join(placed, "cls")
+    prefix = large.select("cls", F.explode(_shared_prefix(_prefix_size(F.col("size")))).alias("token")).join(placed, "cls")
     several = prefix.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("token")
     prefix = store(prefix.join(several, "token"), "prefixes")
     others = prefix.select("token", F.col("block").alias("b"), F.col("label").alias("l"), F.col("m").alias("k")).distinct()
@@ -402,8 +433,8 @@ def links(docs: DataFrame, known: DataFrame, levels: np.ndarray) -> DataFrame:
     met = prefix.join(others, "token").filter(smaller).groupBy("cls", "size", "b").count()
     met = store(met.filter(F.col("count") >= _least_shared(F.col("size"))).select("cls", "b"), "met")
     asked = met.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
-    own = own.select("cls", "tokens")
-    columns = [F.col("b").alias("family"), F.col("chunk").alias("part"), "cls", "role", "tokens"]
+    own = own.select("cls", "size", "tokens")
+    columns = [F.col("b").alias("family"), F.col("chunk").alias("part"), "cls", "role", "size", "tokens"]
     stored = met.join(asked, "b").withColumn("chunk", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int")).join(own, "cls").withColumn("role", F.lit(0))
     probes = placed.select("cls", "block").join(asked, F.col("block") == F.col("b")).join(own, "cls")
     probes = probes.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("role", F.lit(1))

@@ -4,10 +4,11 @@ Four base kinds are found by fixed expressions and their checks. Generators with
 propose further, overlapping spans: spelled-out addresses, numbers without a country code,
 groups of digits with other separators, longer dotted or colon-separated numbers. What these
 propose has no label. Gradient boosted trees learn format and context from base spans that are
-rewritten into those formats where they stand (positive) and from matches of the base
-expressions that fail their checks, as they are and rewritten likewise (negative; only those
-that overlap neither a base span nor a proposal). Of each kind, the threshold is the lowest at
-which the rewritten ones of a held-out part are precise. What passes and does not overlap a
+rewritten into those formats where they stand (positive), and from what cannot be personal data in the
+same formats (negative): the words around a match put together like an address, area codes that no
+number has, cards with a wrong check digit, rows of bytes, and matches of the base expressions
+that fail their checks (only those that overlap neither a base span nor a proposal). Of each
+generator, the threshold is the lowest at which the rewritten ones of a held-out part are precise. What passes and does not overlap a
 base span is added under the kind of its generator.
 
 Everything is DataFrame functions. Places of matches come from the lengths of the pieces
@@ -43,7 +44,7 @@ BASE = {
 #: Generators: kind and expression. The first four are the base ones.
 PROPOSALS = (
     *((k, BASE[k]) for k in KINDS),
-    ("email", r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++\x20?(?:\(at\)|\[at\]|\x20at\x20|@)\x20?[a-z0-9-]++(?:\x20?(?:\(dot\)|\[dot\]|\x20dot\x20|\.)\x20?[a-z0-9-]++)++"),
+    ("email", r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++(?<!\.)(?:\x20?(?:\(at\)|\[at\]|@)\x20?|\x20at\x20)[a-z0-9-]++(?:(?:\x20?(?:\(dot\)|\[dot\])\x20?|\x20dot\x20|\.)[a-z0-9-]++)++"),
     ("phone", r"(?<![0-9+])(?:00[1-9][0-9]{0,2}[\x20.-]?)?\(?[0-9]{3}\)?[\x20./-]{1,2}[0-9]{3}[\x20./-][0-9]{4}(?![0-9])"),
     ("card", r"(?<![0-9])[0-9]{4}(?:[\x20._/-]{1,2}[0-9]{4}){2}[\x20._/-]{1,2}[0-9]{1,7}(?![0-9])"),
     ("ip", r"(?i)(?<![0-9a-f:])(?:[0-9a-f]{1,4}:){7}[0-9a-f]{1,4}(?![0-9a-f:])"),
@@ -59,13 +60,16 @@ CUES = {
     "phone": "phone|tel|call|mobile|fax",
 }
 
+#: Endings of domains that set an address apart from two sentences without a blank between them.
+ENDINGS = "com|org|net|edu|gov|info|io|co|eu|uk|de|fr|es|it|nl|ch|at"
+
 #: Distinct examples that the trees learn from at most (those with the smallest hash), trees and depth.
 SAMPLE = 20_000
 TREES = 12
 DEPTH = 3
 #: One part in so many of all examples is held out of the sample to set the thresholds.
 HELD_OUT = 4
-#: Precision that examples of a kind above its threshold must have there, and how many there must be.
+#: Precision that examples of a generator above its threshold must have there, and how many there must be.
 PRECISION = 0.99
 LEAST_HELD_OUT = 20
 
@@ -136,6 +140,7 @@ def _features(rows: DataFrame) -> DataFrame:
     cues = [F.when((kind == KINDS.index(k)) & around.rlike(rf"\b(?:{words})"), 1).otherwise(0) for k, words in CUES.items()]
     features = {
         "kind": kind,
+        "gen": F.col("gen"),
         "length": F.length(hit),
         "digits": F.length(digits),
         "letters": F.length(F.regexp_replace(hit, "[^A-Za-z]", "")),
@@ -147,6 +152,8 @@ def _features(rows: DataFrame) -> DataFrame:
         "check": F.when((F.length(digits) >= 12) & (F.length(digits) <= 19), F.when(luhn(digits), 2).otherwise(1)).otherwise(0),
         "first": F.coalesce(F.substring(digits, 1, 1).try_cast("int"), F.lit(-1)),
         "ending": F.length(F.regexp_extract(hit, "([A-Za-z]*)$", 1)),
+        "known_ending": F.when(F.lower(hit).rlike(rf"(?:\.|dot[)\]]?\x20?)(?:{ENDINGS})$"), 1).otherwise(0),
+        "brackets": F.when(hit.rlike(r"[(\[]"), 1).otherwise(0),
         "joined_left": F.when(F.col("left").rlike("[A-Za-z0-9]$"), 1).otherwise(0),
         "joined_right": F.when(F.col("right").rlike("^[A-Za-z0-9]"), 1).otherwise(0),
         "cue": sum(cues),
@@ -196,39 +203,54 @@ def _examples(rows: DataFrame) -> DataFrame:
         return F.when(when, F.struct(text.alias("hit"), F.lit(gen).alias("gen"), F.lit(float(label)).alias("label"), F.lit(True).alias("rewritten")))
 
     base, gen, n = F.col("base"), F.col("gen"), F.length(digits)
-    spelled = F.concat(F.substring_index(hit, "@", 1), at, F.replace(F.substring_index(hit, "@", -1), F.lit("."), dot))
+    ten = F.right(digits, F.lit(10))
+    no_area = F.concat(one_of("0", "1"), F.right(digits, F.lit(9)))
+    wrong_check = F.concat(F.left(digits, n - 1), ((F.right(digits, F.lit(1)).try_cast("int") + 1) % 10).cast("string"))
+    parts = [F.lower(F.lpad(F.hex(F.get(F.split(hit, r"\."), F.lit(i)).try_cast("long")), 2, "0")) for i in range(4)]
+    as_v6 = F.concat(one_of("0:0:0:0:0:ffff:", "2002:"), parts[0], parts[1], F.lit(":"), parts[2], parts[3], one_of("", ":0:0:0:0:1"))
+    last, following = F.regexp_extract("left", "([A-Za-z]+)[^A-Za-z]*$", 1), r"([A-Za-z]+)[^A-Za-z]+([A-Za-z]+)"
+    next_word, after = F.regexp_extract("right", following, 1), F.regexp_extract("right", following, 2)
+    # digits, or none, tell nothing about an address
+    coin = F.pmod(F.xxhash64(order), F.lit(2)) == 0
+    prose = F.concat(last, F.when(coin, F.right(order.cast("string"), F.lit(2))).otherwise(""), F.lit(" at "), next_word, F.lit("."), F.when(F.pmod(order, F.lit(2)) == 0, F.initcap(after)).otherwise(after))
+    is_prose = (last != "") & (after != "") & ~F.lower(after).rlike(f"^(?:{ENDINGS})$")
+    local_part = F.substring_index(hit, "@", 1)
+    bare = F.regexp_replace(local_part, "[0-9]", "")
+    local_part = F.when(coin & bare.rlike("[A-Za-z]$"), bare).otherwise(local_part)
+    spelled = F.concat(local_part, at, F.replace(F.substring_index(hit, "@", -1), F.lit("."), dot))
     made = F.array(
         F.struct(hit.alias("hit"), gen.alias("gen"), F.when(base, 1.0).otherwise(0.0).alias("label"), F.lit(False).alias("rewritten")),
         example(4, spelled, base & (gen == 0), 1),
-        example(5, local(F.right(digits, F.lit(10))), base & (gen == 3), 1),
+        example(5, local(ten), base & (gen == 3) & ten.rlike("^[2-9][0-9]{2}[2-9]"), 1),
         example(6, grouped(digits, 4, between), base & (gen == 2), 1),
-        example(7, grouped(F.md5(hit), 4, F.lit(":")), base & (gen == 1), 1),
-        example(4, F.concat(digits, at, F.left(digits, F.lit(3)), dot, F.right(digits, F.lit(2))), ~base, 0),
-        example(5, local(F.right(digits, F.lit(10))), ~base & (n >= 10), 0),
+        example(7, as_v6, base & (gen == 1), 1),
+        example(4, prose, is_prose, 0),
+        example(5, local(no_area), (n >= 10) & ((base & (gen == 3)) | ~base), 0),
+        example(6, grouped(wrong_check, 4, between), base & (gen == 2), 0),
         example(6, grouped(F.left(digits, F.lit(19)), 4, between), ~base & (n >= 14) & ~luhn(F.left(digits, F.lit(19))), 0),
-        example(7, grouped(F.rpad(digits, 16, digits), 2, F.lit(":")), ~base & (n >= 4), 0),
+        example(7, grouped(F.rpad(digits, 16, digits), 2, F.lit(":")), (n >= 4) & (~base | (gen == 1)), 0),
     )
     each = rows.select("left", "right", order.alias("order"), F.explode(F.filter(made, lambda x: x.isNotNull())).alias("e"))
     return each.select("e.*", "left", "right", "order")
 
 
 def _thresholds(scored: DataFrame) -> dict[int, float]:
-    """By kind, the lowest probability from which on the held-out examples are precise; a hundred steps."""
+    """By generator, the lowest probability from which on the held-out examples are precise; a hundred steps."""
     step = F.floor(F.col("probability_1") * 100)
-    steps = scored.groupBy(F.col("f_kind").cast("int").alias("kind"), step.alias("step")).agg(F.count("*").alias("n"), F.sum("label").alias("right")).collect()
+    steps = scored.groupBy(F.col("f_gen").cast("int").alias("gen"), step.alias("step")).agg(F.count("*").alias("n"), F.sum("label").alias("right")).collect()
     best, seen = {}, {}
     for r in sorted(steps, key=lambda r: -r["step"]):
-        n, right = seen.get(r["kind"], (0, 0))
-        n, right = seen[r["kind"]] = n + r["n"], right + r["right"]
+        n, right = seen.get(r["gen"], (0, 0))
+        n, right = seen[r["gen"]] = n + r["n"], right + r["right"]
         if n >= LEAST_HELD_OUT and right >= PRECISION * n:
-            best[r["kind"]] = r["step"] / 100
+            best[r["gen"]] = r["step"] / 100
     return best
 
 
 def _added(rows: DataFrame) -> DataFrame | None:
     """uid, start, kind, end of proposals that the trees select beyond the base spans."""
     examples = _examples(rows.filter(F.col("gen").isNotNull()))
-    fold = F.pmod(F.col("order"), F.lit(HELD_OUT))
+    fold = F.pmod(F.xxhash64("order", F.lit("fold")), F.lit(HELD_OUT))  # apart from the choices of formats
     once = examples.filter(fold != 0).dropDuplicates(["hit", "left", "right", "gen"])
     learn = store(_features(once.orderBy("order", "gen").limit(SAMPLE)).select("features", "label"), "sample")
     if {r["label"] for r in learn.select("label").distinct().collect()} != {0.0, 1.0}:
@@ -236,11 +258,11 @@ def _added(rows: DataFrame) -> DataFrame | None:
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1, maxBins=32).fit(learn)
     probability = vector_to_array("probability")[1].alias("probability_1")
     held_out = _features(examples.filter((fold == 0) & F.col("rewritten")))
-    thresholds = _thresholds(model.transform(held_out).select("f_kind", "label", probability))
+    thresholds = _thresholds(model.transform(held_out).select("f_gen", "label", probability))
     if not thresholds:
         return None
-    scored = model.transform(_features(rows.filter((F.col("gen") >= len(KINDS)) & ~F.col("positive")))).select("uid", "start", "kind", "end", probability)
-    least = F.element_at(F.array(*(F.lit(thresholds.get(k, 2.0)) for k in range(len(KINDS)))), F.col("kind") + 1)
+    scored = model.transform(_features(rows.filter((F.col("gen") >= len(KINDS)) & ~F.col("positive")))).select("uid", "start", "kind", "gen", "end", probability)
+    least = F.element_at(F.array(*(F.lit(thresholds.get(g, 2.0)) for g in range(len(PROPOSALS)))), F.col("gen") + 1)
     return scored.filter(F.col("probability_1") >= least).select("uid", "start", "kind", "end")
 
 

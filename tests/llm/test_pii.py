@@ -93,3 +93,45 @@ def test_trees_add_other_formats(spark):
     rows = {r.doc_id: r for r in pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     check(rows.values(), dict(enumerate(texts)))
     assert [rows[i].spans for i in planted] == ["email:9:43", "phone:10:24", "email:0:100"]
+
+
+def test_numbers_in_other_formats_are_added_and_prose_is_not(spark):
+    rng = random.Random(7)
+    syllables = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en"]
+
+    def word():
+        return "".join(rng.choice(syllables) for _ in range(rng.randint(1, 4)))
+
+    def words(n):
+        return " ".join(word() for _ in range(n))
+
+    def card():
+        body = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        return next(body + c for c in "0123456789" if luhn(body + c))
+
+    def phone():
+        return f"({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)}"
+
+    texts = []
+    for i in range(300):
+        texts.append(f"{words(6)} {word()}.{word()}{i}@{word()}.{rng.choice(['com', 'org', 'net'])} {words(6)}")
+        texts.append(f"{words(6)} +1 {phone()} {words(6)} {card()} {words(6)} 10.{rng.randint(0, 255)}.{rng.randint(0, 255)}.{rng.randint(1, 255)} {words(6)}")
+    first = len(texts)
+    prose = [f"{words(4)} {word()}. At {word()}. {word().title()} {words(3)} {word()} at {word()}.{word().title()} {words(4)}" for _ in range(200)]
+    formats = {
+        "phone": lambda: phone().replace("(", "").replace(") ", "-"),
+        "card": lambda: ".".join(re.findall("....", card())),
+    }
+    planted = [(kind, make()) for kind, make in formats.items() for _ in range(200)]
+    lines = [f"{words(5)} {hit} {words(5)}" for _, hit in planted]
+    everything = texts + prose + lines
+    rows = {r.doc_id: r for r in pii.find(spark.createDataFrame(list(enumerate(everything)), "doc_id long, text string")).collect()}
+    check(rows.values(), dict(enumerate(everything)))
+    assert sum(rows[first + i].n_added for i in range(len(prose))) == 0
+    right, added = dict.fromkeys(formats, 0), dict.fromkeys(formats, 0)
+    for i, (kind, hit) in enumerate(planted):
+        row = rows[first + len(prose) + i]
+        start = lines[i].index(hit)
+        right[kind] += f"{kind}:{start}:{start + len(hit)}" in row.spans.split(",")
+        added[kind] += row.n_added
+    assert all(right[k] >= 160 and right[k] >= 0.95 * added[k] for k in formats), (right, added)

@@ -60,7 +60,7 @@ CUES = {
     "phone": "phone|tel|call|mobile|fax",
 }
 
-#: Endings of domains that set an address apart from two sentences without a blank between them.
+#: Endings of domains that set an address apart from two sentences without a blank between them (all small or all capital letters).
 ENDINGS = "com|org|net|edu|gov|info|io|co|eu|uk|de|fr|es|it|nl|ch|at"
 
 #: Distinct examples that the trees learn from at most (those with the smallest hash), trees and depth.
@@ -137,22 +137,24 @@ def _features(rows: DataFrame) -> DataFrame:
     hit, around = F.col("hit"), F.lower(F.concat_ws(" ", "left", "right"))
     digits = F.regexp_replace(hit, "[^0-9]", "")
     kind = F.element_at(F.array(*(F.lit(KINDS.index(k)) for k, _ in PROPOSALS)), F.col("gen") + 1)
+    # how many digits or letters an address has says nothing about it
+    number = kind != KINDS.index("email")
     cues = [F.when((kind == KINDS.index(k)) & around.rlike(rf"\b(?:{words})"), 1).otherwise(0) for k, words in CUES.items()]
     features = {
         "kind": kind,
         "gen": F.col("gen"),
-        "length": F.length(hit),
-        "digits": F.length(digits),
-        "letters": F.length(F.regexp_replace(hit, "[^A-Za-z]", "")),
+        "length": F.when(number, F.length(hit)).otherwise(0),
+        "digits": F.when(number, F.length(digits)).otherwise(0),
+        "letters": F.when(number, F.length(F.regexp_replace(hit, "[^A-Za-z]", ""))).otherwise(0),
         "spaces": F.length(F.regexp_replace(hit, "[^ ]", "")),
         "dots": F.length(F.regexp_replace(hit, r"[^.]", "")),
         "dashes": F.length(F.regexp_replace(hit, "[^-/_:]", "")),
         "at": F.when(hit.contains("@"), 1).otherwise(0),
         "plus": F.when(hit.startswith("+"), 1).otherwise(0),
-        "check": F.when((F.length(digits) >= 12) & (F.length(digits) <= 19), F.when(luhn(digits), 2).otherwise(1)).otherwise(0),
-        "first": F.coalesce(F.substring(digits, 1, 1).try_cast("int"), F.lit(-1)),
+        "check": F.when(number & (F.length(digits) >= 12) & (F.length(digits) <= 19), F.when(luhn(digits), 2).otherwise(1)).otherwise(0),
+        "first": F.when(number, F.coalesce(F.substring(digits, 1, 1).try_cast("int"), F.lit(-1))).otherwise(-1),
         "ending": F.length(F.regexp_extract(hit, "([A-Za-z]*)$", 1)),
-        "known_ending": F.when(F.lower(hit).rlike(rf"(?:\.|dot[)\]]?\x20?)(?:{ENDINGS})$"), 1).otherwise(0),
+        "known_ending": F.when(hit.rlike(rf"(?:\.|(?i:dot)[)\]]?\x20?)(?:{ENDINGS}|{ENDINGS.upper()})$"), 1).otherwise(0),
         "brackets": F.when(hit.rlike(r"[(\[]"), 1).otherwise(0),
         "joined_left": F.when(F.col("left").rlike("[A-Za-z0-9]$"), 1).otherwise(0),
         "joined_right": F.when(F.col("right").rlike("^[A-Za-z0-9]"), 1).otherwise(0),
@@ -212,8 +214,9 @@ def _examples(rows: DataFrame) -> DataFrame:
     next_word, after = F.regexp_extract("right", following, 1), F.regexp_extract("right", following, 2)
     # digits, or none, tell nothing about an address
     coin = F.pmod(F.xxhash64(order), F.lit(2)) == 0
-    prose = F.concat(last, F.when(coin, F.right(order.cast("string"), F.lit(2))).otherwise(""), F.lit(" at "), next_word, F.lit("."), F.when(F.pmod(order, F.lit(2)) == 0, F.initcap(after)).otherwise(after))
-    is_prose = (last != "") & (after != "") & ~F.lower(after).rlike(f"^(?:{ENDINGS})$")
+    after = F.when(F.pmod(order, F.lit(2)) == 0, F.initcap(after)).otherwise(after)
+    prose = F.concat(last, F.when(coin, F.right(order.cast("string"), F.lit(2))).otherwise(""), F.lit(" at "), next_word, F.lit("."), after)
+    is_prose = (last != "") & (after != "") & ~after.rlike(f"^(?:{ENDINGS}|{ENDINGS.upper()})$")
     local_part = F.substring_index(hit, "@", 1)
     bare = F.regexp_replace(local_part, "[0-9]", "")
     local_part = F.when(coin & bare.rlike("[A-Za-z]$"), bare).otherwise(local_part)

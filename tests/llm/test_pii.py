@@ -95,7 +95,7 @@ def test_trees_add_other_formats(spark):
     assert [rows[i].spans for i in planted] == ["email:9:43", "phone:10:24", "email:0:100"]
 
 
-def test_numbers_in_other_formats_are_added_and_prose_is_not(spark):
+def test_other_formats_are_added_and_prose_is_not(spark):
     rng = random.Random(7)
     syllables = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en"]
 
@@ -119,6 +119,7 @@ def test_numbers_in_other_formats_are_added_and_prose_is_not(spark):
     first = len(texts)
     prose = [f"{words(4)} {word()}. At {word()}. {word().title()} {words(3)} {word()} at {word()}.{word().title()} {words(4)}" for _ in range(200)]
     formats = {
+        "email": lambda: f"{word()}{rng.choice(['', '.' + word(), '7'])}{rng.choice([' (at) ', '(at)', ' [at] ', ' at '])}{word()}{rng.choice(['.', ' dot ', '[dot]'])}{rng.choice(['com', 'org'])}",
         "phone": lambda: phone().replace("(", "").replace(") ", "-"),
         "card": lambda: ".".join(re.findall("....", card())),
     }

@@ -63,10 +63,11 @@ CUES = {
 #: Endings of domains that set an address apart from two sentences without a blank between them (all small or all capital letters).
 ENDINGS = "com|org|net|edu|gov|info|io|co|eu|uk|de|fr|es|it|nl|ch|at"
 
-#: Distinct examples that the trees learn from at most (those with the smallest hash), trees and depth.
+#: Distinct examples that the trees learn from at most (those with the smallest hash), trees, depth and step.
 SAMPLE = 20_000
 TREES = 12
-DEPTH = 3
+DEPTH = 4
+STEP = 0.3
 #: One part in so many of all examples is held out of the sample to set the thresholds.
 HELD_OUT = 4
 #: Precision that examples of a generator above its threshold must have there, and how many there must be.
@@ -258,7 +259,7 @@ def _added(rows: DataFrame) -> DataFrame | None:
     learn = store(_features(once.orderBy("order", "gen").limit(SAMPLE)).select("features", "label"), "sample")
     if {r["label"] for r in learn.select("label").distinct().collect()} != {0.0, 1.0}:
         return None
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1, maxBins=32).fit(learn)
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=1, maxBins=32).fit(learn)
     probability = vector_to_array("probability")[1].alias("probability_1")
     held_out = _features(examples.filter((fold == 0) & F.col("rewritten")))
     thresholds = _thresholds(model.transform(held_out).select("f_gen", "label", probability))

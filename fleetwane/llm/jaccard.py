@@ -425,7 +425,9 @@ def links(docs: DataFrame, known: DataFrame, levels: np.ndarray) -> DataFrame:
     sizes = labelled.groupBy("label").agg(F.count("*").alias("m"))
     block = F.xxhash64("label", F.pmod(F.xxhash64("cls"), F.ceil(F.col("m") / BLOCK)))
     placed = store(labelled.join(sizes, "label").select("cls", "size", "label", "m", block.alias("block")), "placed")
-    prefix = large.select("cls", F.explode(_shared_prefix(_prefix_size(F.col("size")))).alias("token")).join(placed, "cls")
+    # joined as one row per class, then a row per token
+    prefix = large.select("cls", _shared_prefix(_prefix_size(F.col("size"))).alias("first")).join(placed, "cls")
+    prefix = prefix.select("cls", "size", "label", "m", "block", F.explode("first").alias("token"))
     several = prefix.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("token")
     prefix = store(prefix.join(several, "token"), "prefixes")
     others = prefix.select("token", F.col("block").alias("b"), F.col("label").alias("l"), F.col("m").alias("k")).distinct()

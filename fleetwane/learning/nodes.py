@@ -213,13 +213,14 @@ def deep_enough(tree: Sequence[Node], leaves: int, depth: int, least: int) -> bo
     """Whether a tree grown by level to ``depth`` decides which leaves best-first growth makes.
 
     It does not if a node that had to stop at the last level might win more than what was chosen last.
+    Only children of chosen splits count: growth never comes to the other nodes of that level.
     """
     chosen = best_first(tree, leaves)
     enough = len(chosen) == leaves - 1
     last = min((tree[i].weight for i in chosen), default=0.0) if enough else 0.0
-    return not any(
-        node.left < 0 and node.n >= 2 * least and node.squares > last for node, level in zip(tree, levels(tree)) if level == depth
-    )
+    level = levels(tree)
+    reached = [tree[child] for i in chosen for child in (tree[i].left, tree[i].right) if level[child] == depth]
+    return not any(node.left < 0 and node.n >= 2 * least and node.squares > last for node in reached)
 
 
 def levels(tree: Sequence[Node]) -> list[int]:

@@ -98,6 +98,27 @@ def test_best_leaf_next(table, rows, leaves):
     assert nodes.node_table(model).filter("tree = 1 and left < 0").count() == leaves
 
 
+def node(i, total, squares, n, gain=-1.0, left=-1, right=-1):
+    return nodes.Node(i, total / n, 0.0, (float(n), total, squares), n, gain, left, right, 0 if left >= 0 else -1, 0.5 if left >= 0 else None)
+
+
+def test_only_children_of_chosen_splits_ask_for_depth():
+    # the right child may win nothing, the left one's split is worth 1 of its 50 squares
+    tree = [node(0, 0.0, 90.0, 40, 1.0, 1, 2), node(1, 0.0, 50.0, 20, 0.05, 3, 4), node(2, 0.0, 0.0, 20), node(3, 0.0, 45.0, 10), node(4, 0.0, 5.0, 10)]
+    assert nodes.best_first(tree, 2) == [0] and nodes.deep_enough(tree, 2, 2, 3)  # nodes 3 and 4 are never reached
+    assert nodes.best_first(tree, 3) == [0, 1] and not nodes.deep_enough(tree, 3, 2, 3)
+    assert nodes.deep_enough(tree, 3, 2, 6)  # too few rows to split
+
+
+def test_noise_is_not_grown_to_the_end(table):
+    noise = table.drop("RUL").withColumn("RUL", F.pmod(F.xxhash64("a", "b", "c"), 1000).cast("double")).persist()
+    own = [((r.a, r.b, r.c), r.RUL) for r in noise.collect()]
+    want, depth = grown(own, 2, 3, 4)
+    model = models.train_boosted_leafwise({"n_estimators": 1, "num_leaves": 4, "learning_rate": 1.0, "min_child_samples": 3}).fit(noise)
+    assert agree(predictions(model, noise), want)
+    assert model.getMaxDepth() <= depth + 1 + models.DEEPER  # not until nodes have too few rows to split
+
+
 def test_leafwise_rounds(table, rows):
     model = models.train_boosted_leafwise({"n_estimators": 2, "num_leaves": 4, "learning_rate": 0.6, "min_child_samples": 1}).fit(table)
     fitted = dict.fromkeys([x for x, _ in rows], sum(y for _, y in rows) / len(rows))

@@ -115,9 +115,8 @@ def over_units(
 
     keys = hot.select(unit)
     regular = _whole_units(df.join(keys, unit, "left_anti"), ordered, per_unit, head, head_rows, unit, order)
-    segments = math.ceil(2 * many / rows_at_once)
     split = _split_units(
-        df.join(keys, unit, "left_semi"), ordered, lookback, per_unit, head, head_rows, unit, order, segments
+        df.join(keys, unit, "left_semi"), ordered, lookback, per_unit, head, head_rows, unit, order, many, rows_at_once
     )
     return regular.unionByName(split).drop(_ARRIVAL)
 
@@ -139,13 +138,23 @@ def _whole_units(df, ordered, per_unit, head, head_rows, unit, order) -> DataFra
     )
 
 
-def _split_units(df, ordered, lookback, per_unit, head, head_rows, unit, order, segments) -> DataFrame:
+def _ranges(df: DataFrame, rows: int, rows_at_once: int) -> int:
+    """Partitions that ``rows`` rows are sorted in: by their bytes, not one for each segment; small limits make many segments."""
+    segments = math.ceil(2 * rows / rows_at_once)
+    by_size = math.ceil(2 * rows * len(df.columns) / HOT_VALUES)
+    return min(segments, max(by_size, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def _split_units(df, ordered, lookback, per_unit, head, head_rows, unit, order, many, rows_at_once) -> DataFrame:
     columns = df.columns
     # Written once, so that the bounds of the segments stay fixed for the branches below.
-    # Only rows of hot units come here.
+    # Only rows of hot units come here. A row's place is its partition's number and its
+    # place there, so segments are runs of places, of half the rows that a task may sort.
     sequence = order
-    ranges = df.repartitionByRange(segments, unit, *ascending(sequence))
-    rows = store(ranges.withColumn(_SEGMENT, F.spark_partition_id()), "segments")
+    ranges = df.repartitionByRange(_ranges(df, many, rows_at_once), unit, *ascending(sequence))
+    places = ranges.sortWithinPartitions(unit, *ascending(sequence)).withColumn(_SEGMENT, F.monotonically_increasing_id())
+    segment = F.expr(f"{_SEGMENT} div {math.ceil(rows_at_once / 2)}L")
+    rows = store(places.withColumn(_SEGMENT, segment), "segments")
 
     # The last rows of each segment, copied to the following segments that reach them.
     backwards = Window.partitionBy(unit, _SEGMENT).orderBy(*(F.col(c).desc_nulls_first() for c in sequence))

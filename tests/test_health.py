@@ -177,6 +177,25 @@ def test_identical_copies_of_a_row_are_spread(spark):
     assert same(split.collect(), whole.collect())
 
 
+def test_small_segments_share_partitions(spark, monkeypatch):
+    stored = {}
+
+    def store(df, label):
+        stored[label] = kept(df, label)
+        return stored[label]
+
+    kept = panel.store
+    monkeypatch.setattr(panel, "store", store)
+    df = big_panel(spark)
+    split = health.rolling_features(df, S, hot_rows=6, order=("time_in_cycles", "place"))
+    rows = stored["segments"]
+    assert len(rows.inputFiles()) <= 8  # shuffle partitions of the session, not a partition for each segment
+    sizes = rows.groupBy("unit", "__segment").count()
+    assert sizes.count() >= rows.count() / 3 and sizes.agg(F.max("count")).first()[0] <= 3
+    whole = health.rolling_features(df, S, hot_rows=10**9, order=("time_in_cycles", "place"))
+    assert same(split.collect(), whole.collect())
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
 def test_per_unit_table_is_stored_and_joined(spark, folder, how):
     more = spark.createDataFrame([(None, 3, 1, 1.0, 1.0), (77, 3, 1, 1.0, 1.0)], big_panel(spark).schema)

@@ -44,8 +44,9 @@ ORDER_BITS = 12
 #: Of so many tokens of a set one more is taken into the prefix, and one more must be shared there.
 EXTRA = 8
 
-#: Times that sets are ordered by the counts of their tokens among the sets that are left.
-ROUNDS = 2
+#: Bits that mark the ids or classes of candidates, and those in a row of Spark's bitmaps.
+ID_BITS = 1 << 26
+_BITMAP = 1 << 15
 
 #: Sets that one block of a family holds, and sets that all its blocks share.
 BLOCK = 256
@@ -159,11 +160,7 @@ def document_classes(docs: DataFrame, levels: np.ndarray) -> DataFrame:
 
 
 def _prefixes(levels: np.ndarray):
-    """Rows (token, cls, n) of classes by prefix token, combined in each chunk of texts.
-
-    Where a chunk has several classes of a token, the first stands for them (n = -1); for the
-    others only the number of such tokens is kept (n > 0, with the class for a token). Else n = 0.
-    """
+    """Rows (token, cls, n) of classes by prefix token, combined (``_combined``) in each chunk of texts."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -174,22 +171,39 @@ def _prefixes(levels: np.ndarray):
                 size = np.diff(first)[chosen]
                 take = prefix_sizes(size)
                 at = np.arange(int(take.sum())) - np.repeat(np.cumsum(take) - take, take) + np.repeat(first[chosen], take)
-                token, cls = tokens[at].view(np.int64), np.repeat(own, take)
-                order = np.argsort(token, kind="stable")
-                token, cls = token[order], cls[order]
-                head = np.concatenate(([True], token[1:] != token[:-1])) if len(token) else np.zeros(0, bool)
-                places = np.flatnonzero(head)
-                several = np.diff(np.concatenate((places, [len(token)]))) > 1
-                tied, n = np.unique(cls[~head], return_counts=True)
-                yield {
-                    "token": np.concatenate((token[head], tied)),
-                    "cls": np.concatenate((cls[head], tied)),
-                    "n": np.concatenate((np.where(several, -1, 0), n)),
-                }
+                yield _combined(tokens[at].view(np.int64), np.repeat(own, take))
 
     return task
 
 
+def _combined(token: np.ndarray, cls: np.ndarray) -> dict:
+    """Rows (token, cls, n) of the tokens of some classes.
+
+    Where several classes have a token, the first stands for them (n = -1); for the
+    others only the number of such tokens is kept (n > 0, with the class for a token). Else n = 0.
+    """
+    order = np.argsort(token, kind="stable")
+    token, cls = token[order], cls[order]
+    head = np.concatenate(([True], token[1:] != token[:-1])) if len(token) else np.zeros(0, bool)
+    places = np.flatnonzero(head)
+    several = np.diff(np.concatenate((places, [len(token)]))) > 1
+    tied, n = np.unique(cls[~head], return_counts=True)
+    return {
+        "token": np.concatenate((token[head], tied)),
+        "cls": np.concatenate((cls[head], tied)),
+        "n": np.concatenate((np.where(several, -1, 0), n)),
+    }
+
+
+def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows (cls, tokens) -> rows (token, cls, n), combined in each batch."""
+    for batch in batches:
+        offsets, flat = batch.column("tokens").offsets.to_numpy(), batch.column("tokens").values.to_numpy()
+        rows = _combined(flat[offsets[0] : offsets[-1]], np.repeat(batch.column("cls").to_numpy(), np.diff(offsets)))
+        order = np.argsort(rows["cls"], kind="stable")  # rows of a class side by side take fewer bytes
+        yield {name: values[order] for name, values in rows.items()}
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Rows sorted by token -> (cls, n): how many of its prefix tokens each class shares with other classes."""
     held_token = held_cls = held_n = np.zeros(0, np.int64)
@@ -221,11 +235,15 @@ def _summed(cls: np.ndarray, n: np.ndarray) -> dict:
     return {"cls": names, "n": np.bincount(place, n, len(names)).astype(np.int64) if len(names) else names}
 
 
+def _sharing(rows: DataFrame) -> DataFrame:
+    """(cls, n): how many of its tokens (rows of ``_combined``) each class shares with others."""
+    counts = over_batches(rows.repartition("token").sortWithinPartitions("token"), _shared, "cls long, n long")
+    return counts.groupBy("cls").agg(F.sum("n").alias("n"))
+
+
 def candidates(docs: DataFrame, known: DataFrame, levels: np.ndarray) -> DataFrame:
     """The stored (cls, size, id) of classes that share enough prefix tokens with others to be similar to one."""
-    rows = over_batches(docs.select("text"), _prefixes(levels), "token long, cls long, n int")
-    counts = over_batches(rows.repartition("token").sortWithinPartitions("token"), _shared, "cls long, n long")
-    shared = counts.groupBy("cls").agg(F.sum("n").alias("n"))
+    shared = _sharing(over_batches(docs.select("text"), _prefixes(levels), "token long, cls long, n int"))
     size = known.filter("cls is not null").groupBy("cls").agg(F.max("n_shingles").alias("size"), F.min("doc_id").alias("id"))
     return store(size.join(shared, "cls").filter(F.col("n") >= _least_shared(F.col("size"))).select("cls", "size", "id"), "candidates")
 
@@ -234,19 +252,21 @@ def shared_sets(own: DataFrame) -> DataFrame:
     """The stored (cls, size, tokens) of candidates (cls, tokens) that share PERCENT % of their tokens with others, and those, rarest first.
 
     A set similar to another shares as many, so what shares fewer goes, and after that its
-    tokens count no more. A token is counted over all sets and joined as a table of one row per token,
+    tokens count no more. The first time shared tokens are only counted, with no token brought back
+    to its sets; then a token is counted over all sets and joined as a table of one row per token,
     so one that very many sets hold is only a skewed key of a join.
     """
-    held = own.select("cls", F.size("tokens").alias("size"), "tokens")
-    for _ in range(ROUNDS):
-        each = held.select("cls", "size", F.explode("tokens").alias("token"))
-        counts = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("least"), F.max("cls").alias("most"))
-        common = store(counts.filter("least < most").select("token", "n"), "common")
-        # rows of one class that come twice are one
-        rarest_first = F.sort_array(F.collect_set(F.struct("n", "token")))["token"]
-        held = each.join(common, "token").groupBy("cls", "size").agg(rarest_first.alias("tokens"))
-        held = store(held.filter(100 * F.size("tokens") >= PERCENT * F.col("size")), "shared")
-    return held
+    enough = 100 * F.col("n") >= PERCENT * F.col("size")
+    sizes = own.select("cls", F.size("tokens").alias("size")).distinct()
+    passed = sizes.join(_sharing(over_batches(own, _whole_sets, "token long, cls long, n int")), "cls").filter(enough)
+    held = _marked(own, "cls", store(passed.select("cls"), "passed"))
+    each = held.select("cls", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
+    counts = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("least"), F.max("cls").alias("most"))
+    common = store(counts.filter("least < most").select("token", "n"), "common")
+    # rows of one class that come twice are one
+    rarest_first = F.sort_array(F.collect_set(F.struct("n", "token")))["token"]
+    shared = each.join(common, "token").groupBy("cls", "size").agg(rarest_first.alias("tokens"))
+    return store(shared.filter(100 * F.size("tokens") >= PERCENT * F.col("size")), "shared")
 
 
 def _shared_prefix(length: Column) -> Column:
@@ -382,20 +402,46 @@ def _by_part(rows: DataFrame) -> DataFrame:
     return over_batches(dealt, _joined, "a long, b long")
 
 
+def _marked(rows: DataFrame, key: str, chosen: DataFrame) -> DataFrame:
+    """The rows whose key has its bit among those of the one column of ``chosen``.
+
+    All rows with a chosen key, and few others as long as chosen keys are much fewer than bits;
+    nothing is shuffled but bits.
+    """
+
+    def place(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(ID_BITS))
+
+    at = chosen.select(place(chosen.columns[0]).alias("place"))
+    at = at.select(F.floor(F.col("place") / _BITMAP).alias("nth"), (F.col("place") % _BITMAP).alias("bit"))
+    marks = np.zeros((ID_BITS // _BITMAP, _BITMAP // 8), np.uint8)
+    for r in at.groupBy("nth").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():  # ID_BITS bits at most
+        marks[r.nth] = np.frombuffer(r.bits, np.uint8)
+    marks, names = marks.ravel(), rows.columns
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            place = batch.column("place").to_numpy()
+            found = batch.filter(pa.array((marks[place >> 3] >> (place & 7) & 1).astype(bool)))
+            yield {name: found.column(name) for name in names}
+
+    schema = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    return over_batches(rows.select("*", place(key).alias("place")), task, schema)
+
+
 def _candidate_sets(docs: DataFrame, chosen: DataFrame, levels: np.ndarray) -> DataFrame:
-    """The stored (cls, tokens) of one document of each class."""
-    texts = docs.select("doc_id", "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("id"))).select("text", "cls")
+    """The stored (cls, tokens) of the classes with these ids; other classes may be among them, and a class may come several times."""
+    texts = _marked(docs.select("doc_id", "text"), "doc_id", chosen.select("id")).select("text")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        seen: set[int] = set()  # of this task's part of the classes
+        seen: set[int] = set()  # of this task's part of the candidates
         for batch in batches:
-            texts, wanted = [t or "" for t in batch.column("text").to_pylist()], batch.column("cls").to_pylist()
+            texts = [t or "" for t in batch.column("text").to_pylist()]
             for start, end in chunks(texts):
                 tokens, first = sets(texts[start:end], levels)
-                own, right = classes(tokens, first).tolist(), []
+                own, size, right = classes(tokens, first).tolist(), np.diff(first), []
                 for i, cls in enumerate(own):
-                    # rows of one id with different texts: only the class that was asked for; equal ones: once
-                    if cls == wanted[start + i] and cls not in seen:
+                    if size[i] and cls not in seen:
                         seen.add(cls)
                         right.append(i)
                 yield {"cls": [own[i] for i in right], "tokens": [tokens[first[i] : first[i + 1]].view(np.int64) for i in right]}

@@ -63,6 +63,42 @@ def test_trie_finds_all_similar_sets():
         assert set(trie.similar(has, len(x))) == want
 
 
+def shuffled_rows(node):
+    """Rows written by the exchanges of a plan without adaptive execution."""
+    own = node.metrics().apply("shuffleRecordsWritten").value() if node.nodeName() == "Exchange" else 0
+    return own + sum(shuffled_rows(node.children().apply(i)) for i in range(node.children().size()))
+
+
+def test_texts_are_not_shuffled_for_candidates(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr("id as doc_id", "concat_ws(' ', 'a', id, id + 1, 'b', 'c', id, 'd') as text")
+    docs = docs.unionByName(docs.filter("doc_id % 1000 = 7").selectExpr("cast(null as long) as doc_id", "concat(text, ' e') as text"))
+    levels = np.zeros(jaccard.BINS, np.uint16)
+    known = jaccard.document_classes(docs, levels).filter("doc_id is null or doc_id % 500 = 7").selectExpr("cls", "1L as size", "doc_id as id")
+    known = known.persist()
+    stored, keep = [], jaccard.store
+    monkeypatch.setattr(jaccard, "store", lambda df, label: stored.append(df) or keep(df, label))
+    options = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in options.items():
+        spark.conf.set(name, value)
+    try:
+        found = {(r.cls, len(r.tokens)) for r in jaccard._candidate_sets(docs, known, levels).collect()}
+        (plan,) = stored
+        plan.collect()
+        assert shuffled_rows(plan._jdf.queryExecution().executedPlan()) <= 100  # not all 3003 texts
+    finally:
+        for name in options:
+            spark.conf.unset(name)
+    assert {r.cls for r in known.collect()} <= {cls for cls, _ in found} and len(found) <= 20 and {n for _, n in found} <= {3, 4}
+
+
+def test_marked_rows_hold_all_chosen_keys(spark):
+    rows = spark.range(5000).selectExpr("if(id % 97 = 0, null, cast(id as string)) as k", "id as v")
+    chosen = rows.filter("v < 200").select("k")
+    kept = {r.v for r in jaccard._marked(rows, "k", chosen).collect()}
+    assert {v for v in range(5000) if v < 200 or v % 97 == 0} <= kept and len(kept) < 300
+    assert jaccard._marked(rows, "k", chosen.filter("false")).count() == 0
+
+
 def test_components(spark):
     pairs = [(5, 4), (4, 3), (9, 8), (1, 5), (7, 7), (12, 11), (11, 10), (10, 12)] + [(100 + i, 101 + i) for i in range(40)]
     rows = components(spark.createDataFrame(pairs, "a long, b long")).collect()

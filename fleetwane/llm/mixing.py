@@ -70,7 +70,8 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP)
         if row[0] == seen or row[2] is None:
             break
         seen, share, free = row[0], big(F.lit(row[1])), big(F.lit(row[2]))
-    part = (F.col("weight") * F.lit(row[1] or 0)).cast("double") / F.lit(float(row[2] or 1))
+    # a decimal, as above: a total below 2**31 is an int literal, its product with a weight need not fit one
+    part = (big(F.col("weight")) * F.lit(row[1] or 0)).cast("double") / F.lit(float(row[2] or 1))
     target = F.when(capped, (cap * F.col("source_size")).cast("double")).otherwise(part)
     return table.select("source", "source_size", target.alias("target"))
 

@@ -3,6 +3,9 @@ import random
 import re
 from fractions import Fraction
 
+import pytest
+
+import corpus_pipeline
 from fleetwane.llm import mixing
 
 
@@ -64,3 +67,25 @@ def test_repeated_rows_are_the_mix(spark, odd_docs, no_docs):
     doubled = {(8, size("same text here, same text here"))}  # a repeated row
     assert {k: v for k, v in words.items() if v} == {k: v * (2 if k in doubled else 1) for k, v in taken.items() if v}
     assert mixing.mix(no_docs).count() == 0 and mixing.repeated(no_docs).count() == 0
+
+
+@pytest.fixture()
+def long_texts(monkeypatch):
+    """Texts count ten million times their words, so that few rows have the words of many gigabytes."""
+    monkeypatch.setattr(mixing, "n_words", lambda text, count=mixing.n_words: count(text) * 10_000_000)
+
+
+def many_words(total):
+    """Documents of five sources, one null and one capped, that have ``total`` words."""
+    rng = random.Random(total)
+    docs = [(i, ["a", "b", "c", None][i % 4] if i else "tiny", rng.randint(1, 3) if i else 1) for i in range(total // 4)]
+    docs.append((len(docs), "a", total - sum(n for *_, n in docs)))
+    return [(i, s, " ".join("x" * n)) for i, s, n in docs]
+
+
+@pytest.mark.parametrize("total", [100, 700])  # the words fit an int, then only a long
+def test_stage_repeats_by_more_words_than_an_int(spark, long_texts, total):
+    docs = many_words(total)
+    _, _, copies = brute([(i, s, 10_000_000 * size(t)) for i, s, t in docs])
+    out = corpus_pipeline.mix_sources(spark, spark.createDataFrame(docs, "doc_id long, source string, text string"), "")
+    assert sorted(r.doc_id for r in out.collect()) == sorted(i for (i, *_), n in zip(docs, copies) for _ in range(n))

@@ -89,3 +89,13 @@ def test_stage_repeats_by_more_words_than_an_int(spark, long_texts, total):
     _, _, copies = brute([(i, s, 10_000_000 * size(t)) for i, s, t in docs])
     out = corpus_pipeline.mix_sources(spark, spark.createDataFrame(docs, "doc_id long, source string, text string"), "")
     assert sorted(r.doc_id for r in out.collect()) == sorted(i for (i, *_), n in zip(docs, copies) for _ in range(n))
+
+
+@pytest.mark.parametrize("total", [100, 700])
+def test_mix_of_more_words_than_an_int_equals_brute_force(spark, long_texts, total):
+    docs = many_words(total)
+    sized = [(i, s, 10_000_000 * size(t)) for i, s, t in docs]
+    words, target, copies = brute(sized)
+    rows = mixing.mix(spark.createDataFrame(docs, "doc_id long, source string, text string")).collect()
+    got = sorted((r.doc_id, r["size"], r.source_size, r.target, r.taken) for r in rows)
+    assert got == [(i, n, words[s], target[s], n * c) for (i, s, n), c in zip(sized, copies)]
